@@ -1,0 +1,78 @@
+"""Versioned parquet tables: write a new version, then publish it.
+
+Overwriting a table that the same plan reads is refused by Spark, and there is
+no MERGE on plain parquet, so a merged state is written as a new version
+directory and published by appending one commit row. Readers take the latest
+commit; a crash before the commit leaves the previous version in force, and a
+retried batch id is recognised and skipped (exactly-once with foreachBatch).
+All paths live on the shared folder the caller passes in.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+COMMIT_SCHEMA = "version long, batch_id long, rows long, note string"
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.partition_by = tuple(partition_by)
+
+    @property
+    def _commits_path(self) -> str:
+        return f"{self.root}/_commits"
+
+    def _commits(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(COMMIT_SCHEMA).json(self._commits_path)
+        except AnalysisException:
+            return None
+
+    def exists(self) -> bool:
+        """S10."""
+        return self.latest_version() is not None
+
+    def latest_version(self) -> int | None:
+        c = self._commits()
+        if c is None:
+            return None
+        return c.agg(F.max("version").alias("v")).first()["v"]
+
+    def has_batch(self, batch_id: int) -> bool:
+        c = self._commits()
+        return c is not None and not c.filter(F.col("batch_id") == batch_id).isEmpty()
+
+    def version_path(self, version: int) -> str:
+        return f"{self.root}/v={version:08d}"
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The published (or a given) version; None before the first commit."""
+        v = self.latest_version() if version is None else version
+        if v is None:
+            return None
+        return self.spark.read.parquet(self.version_path(v))
+
+    def commit(self, df: DataFrame, batch_id: int | None = None, note: str = "") -> int:
+        """Write ``df`` as the next version, then publish it."""
+        cur = self.latest_version()
+        v = 0 if cur is None else cur + 1
+        w = df.write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(self.version_path(v))
+        self.spark.createDataFrame([(v, batch_id, None, note)], COMMIT_SCHEMA).coalesce(1).write.mode(
+            "append").json(self._commits_path)
+        return v
+
+
+def publish_view(df: DataFrame, name: str) -> DataFrame:
+    """``CREATE OR REPLACE VIEW name AS SELECT * FROM fact`` as a temp view."""
+    df.createOrReplaceTempView(name)
+    return df
