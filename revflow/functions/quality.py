@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REASONS = "dq_failure_reasons"
-EMPTY_REASONS = F.array().cast(T.ArrayType(T.StringType()))
+
+
+def empty_reasons() -> Column:
+    return F.array().cast(T.ArrayType(T.StringType()))
 
 BAD_RECORD_COLUMNS = (
     "quarantine_id",
@@ -35,13 +38,13 @@ BAD_RECORD_COLUMNS = (
 
 def _collect(reasons: Sequence[Column]) -> Column:
     if not reasons:
-        return EMPTY_REASONS
+        return empty_reasons()
     return F.array_compact(F.array(*reasons)).cast(T.ArrayType(T.StringType()))
 
 
 def add_reasons(df: DataFrame, reasons: Sequence[Column]) -> DataFrame:
     """Union new reasons into ``dq_failure_reasons`` (created empty if absent)."""
-    current = F.coalesce(F.col(REASONS), EMPTY_REASONS) if REASONS in df.columns else EMPTY_REASONS
+    current = F.coalesce(F.col(REASONS), empty_reasons()) if REASONS in df.columns else empty_reasons()
     if not reasons and REASONS in df.columns:
         return df
     return df.withColumn(REASONS, F.array_union(current, _collect(reasons)))
@@ -160,7 +163,7 @@ def conform_types(df: DataFrame, schema: T.StructType, keep_raw: bool = False) -
 
 def split_valid_invalid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) by the size of the reason array (never NULL here)."""
-    n = F.size(F.coalesce(F.col(REASONS), EMPTY_REASONS))
+    n = F.size(F.coalesce(F.col(REASONS), empty_reasons()))
     return df.filter(n == 0), df.filter(n > 0)
 
 

@@ -62,9 +62,11 @@ def silver_source(bronze: DataFrame, spec: EntitySpec, run_id: str, run_ts: Colu
 
 def silver_merge(target: DataFrame | None, source: DataFrame, spec: EntitySpec, run_id: str,
                  run_ts: Column | None = None, **kw) -> DataFrame:
-    """M1 into ``target`` (bootstrapped empty from the source schema when None)."""
+    """M1 into ``target``. Without a target (first run) only clause (c) can fire,
+    so the bootstrap is the source's upserts, with the target's column set."""
     if target is None:
-        target = silver_schema_frame(source)
+        return (source.filter(F.col("bronze_is_delete") == F.lit(False))
+                .select(*silver_schema_frame(source).columns))
     return merge_current_state(target, source, spec, run_id, run_ts, **kw)
 
 
@@ -74,3 +76,26 @@ def silver_state_of_feed(feed: DataFrame, spec: EntitySpec, run_id: str, run_ts:
     bronze = bronze_rows(feed, spec, run_id, run_ts)
     source, _ = silver_source(bronze, spec, run_id, run_ts, tie_breakers)
     return silver_merge(None, source, spec, run_id, run_ts)
+
+
+def merge_batches(spark, valid: DataFrame, spec: EntitySpec, batch_col: str, stage_path: str,
+                  run_id_of, run_ts_of, tie_breakers: Sequence[str | Column] = (), **merge_kw) -> DataFrame:
+    """The incremental path: apply M1 to each batch of ``valid`` in order.
+
+    The increment is staged once, partitioned by batch (X28), so every step
+    reads one partition; after each merge the state is checkpointed to the
+    shared checkpoint folder to cut lineage (the loop count is the number of
+    batches, not rows). ``run_id_of`` / ``run_ts_of`` map a batch value to its
+    run id and run time.
+    """
+    valid.write.mode("overwrite").partitionBy(batch_col).parquet(stage_path)
+    staged = spark.read.parquet(stage_path)
+    batches = [r[0] for r in staged.select(batch_col).distinct().orderBy(batch_col).collect()]
+    state = None
+    for b in batches:
+        run_id, run_ts = run_id_of(b), F.lit(run_ts_of(b)).cast("timestamp")
+        inc = staged.filter(F.col(batch_col) == F.lit(b)).drop(batch_col)
+        latest = latest_per_key(inc, [spec.primary_key], silver_order(tie_breakers))
+        src = prepare_silver_source(latest, spec, run_id, run_ts)
+        state = silver_merge(state, src, spec, run_id, run_ts, **merge_kw).checkpoint(eager=True)
+    return state

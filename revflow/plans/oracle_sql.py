@@ -356,3 +356,49 @@ FROM fact_activity"""
 
 ORACLES["activity_opportunity_map"] = with_(ACTIVITY_CTES) + """
 SELECT activity_id, opportunity_id, activity_type FROM fact_activity WHERE opportunity_id IS NOT NULL"""
+
+STATE_SELECT = """SELECT user_id, event_id, modifiedon, change_operation, amount, event_type, bronze_op_type, is_active,
+  silver_deleted_ts, silver_last_event_ts, silver_last_run_id, silver_updated_ts FROM {p}_state"""
+
+ORACLES["cdc_classification"] = with_(ev_ctes()) + """
+SELECT event_id, change_operation, bronze_op_type, bronze_op_type = 'DELETE' AS bronze_is_delete,
+  'event_user' AS bronze_entity_name, 'bronze-events' AS bronze_pipeline_run_id,
+  'dataverse_synapse_link' AS bronze_source_type, 'append_only' AS bronze_write_mode,
+  'process_delete_events' AS bronze_delete_handling
+FROM ev_bronze"""
+
+ORACLES["latest_per_key"] = with_(ev_ctes()) + """
+SELECT user_id, event_id, modifiedon, bronze_op_type, amount FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY modifiedon DESC NULLS LAST,
+    batch_ingest_ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn FROM ev_valid) WHERE rn = 1"""
+
+ORACLES["silver_current_state"] = with_(ev_ctes(), state_ctes("s")) + STATE_SELECT.format(p="s")
+ORACLES["silver_incremental_merge"] = ORACLES["silver_current_state"]
+ORACLES["silver_hard_delete"] = with_(ev_ctes(), state_ctes("s", hard=True)) + STATE_SELECT.format(p="s")
+ORACLES["silver_backfill"] = with_(
+    ev_ctes(where="batch_ingest_ts >= TIMESTAMP '2024-01-10 00:00:00' AND "
+                  "batch_ingest_ts < TIMESTAMP '2024-01-20 00:00:00'"),
+    state_ctes("s")) + STATE_SELECT.format(p="s")
+
+ORACLES["change_feed"] = with_(
+    ev_ctes(), "ev_old AS (SELECT * FROM ev_valid WHERE batch_date < DATE '2024-01-16')",
+    state_ctes("o", src="ev_old"), state_ctes("n")) + """
+SELECT coalesce(n.user_id, o.user_id) AS user_id,
+  CASE WHEN o.user_id IS NULL THEN 'insert' WHEN n.user_id IS NULL THEN 'delete' ELSE 'update' END AS change_type,
+  o.event_id AS old_event_id, o.is_active AS old_is_active, n.event_id AS new_event_id, n.is_active AS new_is_active
+FROM o_state o FULL OUTER JOIN n_state n ON o.user_id = n.user_id
+WHERE o.user_id IS NULL OR n.user_id IS NULL OR o.event_id IS DISTINCT FROM n.event_id
+   OR o.is_active IS DISTINCT FROM n.is_active OR o.silver_deleted_ts IS DISTINCT FROM n.silver_deleted_ts"""
+
+ORACLES["stage_movement"] = with_(ev_ctes()) + """
+, daily AS (
+  SELECT user_id, batch_date AS snapshot_date, event_type AS stage_name, amount AS estimated_value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, batch_date ORDER BY modifiedon DESC NULLS LAST,
+      event_id DESC NULLS LAST) AS rn FROM ev_valid WHERE NOT is_del) WHERE rn = 1
+)
+SELECT user_id, snapshot_date, stage_name, estimated_value,
+  lag(stage_name) OVER w AS previous_stage, lag(estimated_value) OVER w AS previous_amount,
+  estimated_value - lag(estimated_value) OVER w AS amount_change,
+  CASE WHEN lag(stage_name) OVER w IS NULL THEN 'NEW' WHEN lag(stage_name) OVER w <> stage_name THEN 'MOVED'
+       ELSE 'SAME' END AS movement
+FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY snapshot_date)"""

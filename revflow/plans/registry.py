@@ -38,6 +38,9 @@ def query(name: str):
 def prepare(spark: SparkSession) -> None:
     """Pin the session clock zone so wall-clock fixture times round-trip exactly."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from revflow.session import ensure_checkpoint_dir as _ecd
+
+    _ecd(spark)
 
 
 def finalize(df: DataFrame) -> DataFrame:
@@ -246,3 +249,121 @@ def q_activity_duration(spark, sf):
 def q_activity_map(spark, sf):
     prepare(spark)
     return dims.activity_opportunity_map(fact_activity(spark, sf))
+
+
+# --- change log: bronze, silver state, history ------------------------------
+
+from datetime import date, datetime, timedelta  # noqa: E402
+
+from revflow.functions.quality import split_valid_invalid  # noqa: E402
+from revflow.operators.dedup import latest_per_key  # noqa: E402
+from revflow.operators.diff import table_diff  # noqa: E402
+from revflow.operators.replay import replay_current_state  # noqa: E402
+from revflow.plans.medallion import merge_batches  # noqa: E402
+from revflow.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+
+STATE_COLUMNS = ("user_id", "event_id", "modifiedon", "change_operation", "amount", "event_type", "bronze_op_type",
+                 "is_active", "silver_deleted_ts", "silver_last_event_ts", "silver_last_run_id", "silver_updated_ts")
+
+
+def event_bronze(spark, sf) -> DataFrame:
+    feed = feeds.event_changes(spark, sf)
+    return bronze_rows(feed, EVENT_SPEC, "bronze-events", F.col("batch_ingest_ts"))
+
+
+def event_valid(spark, sf) -> DataFrame:
+    valid, _ = split_valid_invalid(checked(event_bronze(spark, sf), EVENT_SPEC))
+    return valid
+
+
+def event_state(spark, sf, hard: bool = False, where=None) -> DataFrame:
+    valid = event_valid(spark, sf)
+    if where is not None:
+        valid = valid.filter(where)
+    return replay_current_state(valid, EVENT_SPEC, "batch_date", "batch_run_id", "batch_ingest_ts",
+                                EVENT_TIE_BREAKERS, hard_delete=hard).select(*STATE_COLUMNS)
+
+
+@query("cdc_classification")
+def q_cdc_classification(spark, sf):
+    """P1 + P2: change classification and lineage of every change row."""
+    prepare(spark)
+    return event_bronze(spark, sf).select(
+        "event_id", "change_operation", "bronze_op_type", "bronze_is_delete", "bronze_entity_name",
+        "bronze_pipeline_run_id", "bronze_source_type", "bronze_write_mode", "bronze_delete_handling")
+
+
+@query("latest_per_key")
+def q_latest_per_key(spark, sf):
+    """W1 over the whole change log: latest change per user."""
+    prepare(spark)
+    return finalize(latest_per_key(event_valid(spark, sf), ["user_id"], ["bronze_business_event_ts",
+                                                                        "bronze_ingest_ts", "event_id"])
+                    .select("user_id", "event_id", "modifiedon", "bronze_op_type", "amount"))
+
+
+@query("silver_current_state")
+def q_silver_state(spark, sf):
+    """M1 over 30 daily batches, computed in one pass (closed-form replay)."""
+    prepare(spark)
+    return finalize(event_state(spark, sf))
+
+
+def _run_id_of(b: date) -> str:
+    return f"silver-{b:%Y%m%d}"
+
+
+def _run_ts_of(b: date) -> str:
+    return f"{b + timedelta(days=1):%Y-%m-%d} 00:00:00"
+
+
+@query("silver_incremental_merge")
+def q_silver_incremental(spark, sf):
+    """M1 applied batch after batch with the keyed merge (the incremental path)."""
+    prepare(spark)
+    state = merge_batches(spark, event_valid(spark, sf), EVENT_SPEC, "batch_date",
+                          scratch_path(spark, "bronze-events"), _run_id_of, _run_ts_of, EVENT_TIE_BREAKERS)
+    return finalize(state.select(*STATE_COLUMNS))
+
+
+@query("silver_hard_delete")
+def q_silver_hard(spark, sf):
+    """The hard-delete strategy (a delete removes the row)."""
+    prepare(spark)
+    return finalize(event_state(spark, sf, hard=True))
+
+
+BACKFILL = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+
+
+@query("silver_backfill")
+def q_silver_backfill(spark, sf):
+    """Only changes ingested inside the backfill window [from, to)."""
+    prepare(spark)
+    ts = F.col("bronze_ingest_ts")
+    window = (ts >= F.to_timestamp(F.lit(BACKFILL[0]))) & (ts < F.to_timestamp(F.lit(BACKFILL[1])))
+    return finalize(event_state(spark, sf, where=window))
+
+
+CHANGE_FEED_CUT = "2024-01-16"
+
+
+@query("change_feed")
+def q_change_feed(spark, sf):
+    """Inserts, updates and deletes between the state before the cut and the final state."""
+    prepare(spark)
+    old = event_state(spark, sf, where=F.col("batch_date") < F.to_date(F.lit(CHANGE_FEED_CUT)))
+    new = event_state(spark, sf)
+    return table_diff(old, new, ["user_id"], ["event_id", "is_active", "silver_deleted_ts"],
+                      carry=["event_id", "is_active"])
+
+
+@query("stage_movement")
+def q_stage_movement(spark, sf):
+    """Each user's daily state (stage = event type) against the day before."""
+    prepare(spark)
+    valid = event_valid(spark, sf).filter(~F.col("bronze_is_delete"))
+    daily = latest_per_key(valid, ["user_id", "batch_date"], ["bronze_business_event_ts", "event_id"])
+    snaps = daily.select("user_id", F.col("batch_date").alias("snapshot_date"),
+                         F.col("event_type").alias("stage_name"), F.col("amount").alias("estimated_value"))
+    return marts.stage_movement(snaps, "user_id", "snapshot_date")
