@@ -402,3 +402,148 @@ SELECT user_id, snapshot_date, stage_name, estimated_value,
   CASE WHEN lag(stage_name) OVER w IS NULL THEN 'NEW' WHEN lag(stage_name) OVER w <> stage_name THEN 'MOVED'
        ELSE 'SAME' END AS movement
 FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY snapshot_date)"""
+
+M_SEG = "CASE WHEN (segment IS NULL OR trim(segment) = '') THEN 'MANDATORY_NULL:segment' END"
+M_KEY = "CASE WHEN (c_custkey IS NULL OR trim(CAST(c_custkey AS VARCHAR)) = '') THEN 'MANDATORY_NULL:c_custkey' END"
+NEG = "CASE WHEN c_acctbal IS NOT NULL AND c_acctbal < 0 THEN 'NEGATIVE_VALUE:c_acctbal' END"
+
+
+def n_nonnull(*exprs: str) -> str:
+    return "(" + " + ".join(f"CASE WHEN ({e}) IS NULL THEN 0 ELSE 1 END" for e in exprs) + ")"
+
+
+CUSTOMER_CTES = f"""
+cust AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN NULL WHEN c_mktsegment = 'HOUSEHOLD' THEN ' ' ELSE c_mktsegment END
+      AS segment
+  FROM customer
+),
+cust_dq AS (
+  SELECT *, concat_ws('|', {M_KEY}, {M_SEG}, {NEG}) AS reasons, {n_nonnull(M_KEY, M_SEG, NEG)} AS n_reasons
+  FROM cust
+)"""
+
+ORACLES["dq_reasons"] = with_(CUSTOMER_CTES) + f"""
+SELECT c_custkey, concat_ws('|', {M_SEG}, 'MISSING_COLUMN:c_phone', {NEG}) AS reasons,
+  CAST({n_nonnull(M_SEG, NEG)} + 1 AS BIGINT) AS reason_count
+FROM cust"""
+
+ORACLES["dq_split"] = with_(CUSTOMER_CTES) + """
+SELECT count(*) FILTER (WHERE n_reasons = 0) AS valid_rows, count(*) FILTER (WHERE n_reasons > 0) AS invalid_rows
+FROM cust_dq"""
+
+BAD = f"""
+, bad AS (
+  SELECT 'dq-customer' AS run_id, 'customer' AS entity_name, 'silver' AS layer_name,
+    CAST(c_custkey AS VARCHAR) AS record_key, reasons AS failed_rule_name,
+    reasons AS failure_reason, CAST(NULL AS VARCHAR) AS source_file_path,
+    'quarantined' AS status, {OPS_RUN} AS quarantined_ts
+  FROM cust_dq WHERE n_reasons > 0
+)"""
+
+ORACLES["bad_records"] = with_(CUSTOMER_CTES) + BAD + "SELECT * FROM bad"
+
+ORACLES["quarantine_summary"] = with_(CUSTOMER_CTES) + BAD + """
+SELECT entity_name, layer_name, failed_rule_name, status, CAST(quarantined_ts AS DATE) AS quarantine_date,
+  count(*) AS quarantined_record_count, max(quarantined_ts) AS latest_quarantine_ts
+FROM bad GROUP BY ALL"""
+
+ORACLES["dq_positive_amount"] = with_(CUSTOMER_CTES) + """
+SELECT c_custkey, 'NOT_POSITIVE:c_acctbal' AS reasons FROM cust WHERE c_acctbal IS NOT NULL AND c_acctbal <= 0"""
+
+ORACLES["dq_date_order"] = """
+SELECT l_orderkey * 10 + l_linenumber AS quoteid, l_shipdate, o_orderdate, 'DATE_ORDER:o_orderdate,l_shipdate' AS reasons
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE l_shipdate IS NOT NULL AND o_orderdate IS NOT NULL AND l_shipdate < o_orderdate"""
+
+ORACLES["dq_owner_mandatory"] = """
+SELECT count(*) FILTER (WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL) AS valid_rows,
+  count(*) FILTER (WHERE o_custkey IS NULL OR o_orderkey IS NULL) AS invalid_rows FROM orders"""
+
+ORACLES["dq_duplicate_keys"] = """
+SELECT l_orderkey * 10 + l_linenumber AS quoteid, count(*) AS copies, 'DUPLICATE_KEY' AS reasons
+FROM lineitem GROUP BY 1 HAVING count(*) > 1"""
+
+ORACLES["dq_timeliness"] = with_(ev_ctes()) + """
+SELECT event_id, user_id, 'LATE_ARRIVAL:modifiedon' AS reasons FROM ev_bronze
+WHERE epoch_us(batch_ingest_ts) // 1000000 - epoch_us(modifiedon) // 1000000 > 43200"""
+
+ORACLES["type_conformance"] = """
+SELECT p_partkey, TRY_CAST(CAST(p_size AS VARCHAR) AS INTEGER) AS p_size,
+  CAST(TRY_CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(12,2)) AS DOUBLE) AS p_retailprice,
+  TRY_CAST(p_brand AS INTEGER) AS p_brand, CAST(NULL AS VARCHAR) AS p_container,
+  concat_ws('|', CASE WHEN p_brand IS NOT NULL AND TRY_CAST(p_brand AS INTEGER) IS NULL
+                      THEN 'BAD_TYPE:p_brand' END) AS reasons
+FROM part"""
+
+SNAP = f"""
+, snap AS (
+  SELECT *, TIMESTAMP '{AS_OF_SALES}' AS snapshot_ts, DATE '{AS_OF_SALES[:10]}' AS snapshot_date,
+    TIMESTAMP '{AS_OF_SALES}' AS snapshot_hour, 'daily' AS snapshot_grain, 'snapshot-20010801' AS snapshot_run_id,
+    date_diff('day', created_date, DATE '{AS_OF_SALES[:10]}') AS days_open,
+    date_diff('day', DATE '{AS_OF_SALES[:10]}', expected_close_date) AS days_to_expected_close
+  FROM fact_opportunity
+),
+snap_b AS (
+  SELECT *, CASE WHEN days_open <= 7 THEN '0-7 days' WHEN days_open <= 30 THEN '8-30 days'
+    WHEN days_open <= 60 THEN '31-60 days' WHEN days_open <= 90 THEN '61-90 days' ELSE '90+ days' END
+    AS pipeline_age_bucket FROM snap
+)"""
+
+ORACLES["opportunity_snapshot"] = with_(OPP_CTES) + SNAP + """
+SELECT opportunity_id, snapshot_ts, snapshot_date, snapshot_hour, snapshot_grain, snapshot_run_id,
+  CAST(days_open AS INTEGER) AS days_open, CAST(days_to_expected_close AS INTEGER) AS days_to_expected_close,
+  pipeline_age_bucket FROM snap_b"""
+
+ORACLES["snapshot_age_buckets"] = with_(OPP_CTES) + SNAP + f"""
+SELECT pipeline_age_bucket, count(*) AS opportunity_count, {money('estimated_value')} AS pipeline_value
+FROM snap_b GROUP BY 1"""
+
+ORACLES["recent_runs"] = with_(RUN_CTES) + "SELECT * FROM runs ORDER BY created_ts DESC"
+ORACLES["failed_runs"] = with_(RUN_CTES) + "SELECT * FROM runs WHERE status = 'failed' ORDER BY updated_ts DESC"
+
+AGE = f"(epoch_us({{t}}) // 1000000 - epoch_us(updated_ts) // 1000000)"
+
+ORACLES["layer_freshness"] = with_(RUN_CTES) + f"""
+SELECT * EXCLUDE (rn), round({AGE.format(t=OPS_RUN)} / 60.0, 2) AS minutes_since_success FROM (
+  SELECT *, row_number() OVER (PARTITION BY entity_name, layer_name ORDER BY updated_ts DESC, run_id DESC) AS rn
+  FROM runs WHERE status IN ('success', 'partial_success')) WHERE rn = 1"""
+
+ORACLES["health_summary"] = with_(RUN_CTES) + f"""
+SELECT entity_name, layer_name, status AS latest_status, updated_ts AS latest_run_ts, source_row_count, rows_quarantined,
+  CASE WHEN status = 'failed' THEN 'RED' WHEN status = 'partial_success' THEN 'AMBER'
+       WHEN {AGE.format(t=OPS_RUN)} / 60.0 > 30 THEN 'AMBER' ELSE 'GREEN' END AS health_status
+FROM (SELECT *, row_number() OVER (PARTITION BY entity_name, layer_name ORDER BY updated_ts DESC, run_id DESC) AS rn
+      FROM runs) WHERE rn = 1"""
+
+CURRENT_WM = """
+, wm_cur AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_name, layer_name
+    ORDER BY updated_ts DESC, run_id DESC) AS rn FROM watermarks) WHERE rn = 1
+)"""
+
+ORACLES["current_watermarks"] = with_(RUN_CTES) + CURRENT_WM + "SELECT * FROM wm_cur"
+
+STALE = """
+SELECT *, round({age} / 60.0, 2) AS minutes_since_watermark_update,
+  CASE WHEN layer_name IN ('bronze', 'silver', 'gold') AND {age} / 60.0 > 30 THEN 'STALE_' || upper(layer_name)
+       WHEN layer_name = 'gold_snapshot' AND {age} / 3600.0 > 26 THEN 'STALE_SNAPSHOT' ELSE 'OK' END AS freshness_status,
+  {t} AS as_of
+FROM wm_cur"""
+
+ORACLES["stale_watermarks"] = with_(RUN_CTES) + CURRENT_WM + STALE.format(
+    age=AGE.format(t=OPS_RUN), t=OPS_RUN) + "\nUNION ALL\n" + STALE.format(
+    age=AGE.format(t=f"TIMESTAMP '{AS_OF_OPS_LATE}'"), t=f"TIMESTAMP '{AS_OF_OPS_LATE}'")
+
+ORACLES["run_registry_fold"] = with_(RUN_CTES) + """
+SELECT * REPLACE (run_end_ts AS updated_ts) FROM runs"""
+
+ORACLES["run_metrics"] = with_(RUN_CTES) + """
+SELECT entity_name, layer_name, count(*) AS runs,
+  count(*) FILTER (WHERE status IN ('success', 'partial_success')) AS succeeded_runs,
+  count(*) FILTER (WHERE status = 'failed') AS failed_runs,
+  sum(source_row_count) AS rows_ingested, sum(rows_quarantined) AS rows_quarantined,
+  avg(epoch_us(run_end_ts) // 1000000 - epoch_us(run_start_ts) // 1000000) AS avg_runtime_seconds,
+  count(*) FILTER (WHERE status IN ('success', 'partial_success')) / count(*) AS success_rate
+FROM runs GROUP BY ALL"""

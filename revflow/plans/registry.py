@@ -367,3 +367,233 @@ def q_stage_movement(spark, sf):
     snaps = daily.select("user_id", F.col("batch_date").alias("snapshot_date"),
                          F.col("event_type").alias("stage_name"), F.col("amount").alias("estimated_value"))
     return marts.stage_movement(snaps, "user_id", "snapshot_date")
+
+
+# --- data quality and quarantine ----------------------------------------------
+
+from revflow.functions import quality as dq  # noqa: E402
+from revflow.operators import control  # noqa: E402
+from revflow.operators.snapshot import build_snapshot, upsert_snapshot  # noqa: E402
+from revflow.plans import ops_views  # noqa: E402
+
+CUSTOMER_SPEC = EntitySpec(name="customer", primary_key="c_custkey",
+                           mandatory_columns=("c_custkey", "segment"), non_negative_columns=("c_acctbal",))
+
+
+def customer_checked(spark, sf, mandatory=CUSTOMER_SPEC.mandatory_columns) -> DataFrame:
+    df = feeds.customer_feed(spark, sf)
+    return dq.apply_non_negative_checks(dq.apply_mandatory_checks(df, mandatory), CUSTOMER_SPEC.non_negative_columns)
+
+
+def customer_bad_records(spark, sf) -> DataFrame:
+    _, invalid = dq.split_valid_invalid(customer_checked(spark, sf))
+    return dq.build_bad_records(invalid, "dq-customer", "customer", "silver", "c_custkey", _ts(AS_OF_OPS))
+
+
+@query("dq_reasons")
+def q_dq_reasons(spark, sf):
+    """Mandatory (NULL, blank, absent column) and non-negative reasons per row."""
+    prepare(spark)
+    df = customer_checked(spark, sf, ("c_custkey", "segment", "c_phone"))
+    return df.select("c_custkey", F.concat_ws("|", dq.REASONS).alias("reasons"),
+                     F.size(dq.REASONS).cast("long").alias("reason_count"))
+
+
+@query("dq_split")
+def q_dq_split(spark, sf):
+    """valid + invalid = input."""
+    prepare(spark)
+    valid, invalid = dq.split_valid_invalid(customer_checked(spark, sf))
+    v = valid.agg(F.count(F.lit(1)).alias("valid_rows"))
+    i = invalid.agg(F.count(F.lit(1)).alias("invalid_rows"))
+    return v.crossJoin(i)  # two single-row aggregates
+
+
+@query("bad_records")
+def q_bad_records(spark, sf):
+    """The quarantine envelope of the invalid rows (id and JSON payload left out of the comparison)."""
+    prepare(spark)
+    return finalize(customer_bad_records(spark, sf).drop("quarantine_id", "raw_record"))
+
+
+@query("quarantine_summary")
+def q_quarantine_summary(spark, sf):
+    """A2 over the quarantined rows."""
+    prepare(spark)
+    return finalize(ops_views.quarantine_summary(customer_bad_records(spark, sf)))
+
+
+@query("dq_positive_amount")
+def q_dq_positive(spark, sf):
+    """Balances must be strictly positive."""
+    prepare(spark)
+    df = feeds.customer_feed(spark, sf)
+    df = dq.add_reasons(df, [dq.positive_rule(df, "c_acctbal")])
+    _, bad = dq.split_valid_invalid(df)
+    return bad.select("c_custkey", F.concat_ws("|", dq.REASONS).alias("reasons"))
+
+
+@query("dq_date_order")
+def q_dq_date_order(spark, sf):
+    """X11: a line may not ship before its order date."""
+    prepare(spark)
+    li = feeds.table(spark, sf, "lineitem").select(feeds.quote_key().alias("quoteid"), "l_orderkey", "l_shipdate")
+    o = feeds.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    df = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    df = dq.add_reasons(df, [dq.date_order_rule(df, "o_orderdate", "l_shipdate")])
+    _, bad = dq.split_valid_invalid(df)
+    return bad.select("quoteid", "l_shipdate", "o_orderdate", F.concat_ws("|", dq.REASONS).alias("reasons"))
+
+
+@query("dq_owner_mandatory")
+def q_dq_owner(spark, sf):
+    """Owner id is mandatory on opportunities."""
+    prepare(spark)
+    df = dq.apply_mandatory_checks(feeds.opportunity_feed(spark, sf), ["ownerid", "opportunityid"])
+    valid, invalid = dq.split_valid_invalid(df)
+    return valid.agg(F.count(F.lit(1)).alias("valid_rows")).crossJoin(
+        invalid.agg(F.count(F.lit(1)).alias("invalid_rows")))
+
+
+@query("dq_duplicate_keys")
+def q_dq_duplicates(spark, sf):
+    """Every copy of a repeated quote key is flagged."""
+    prepare(spark)
+    df = feeds.quote_changes(spark, sf)
+    df = dq.add_reasons(df, [dq.duplicate_key_rule(["quoteid"])])
+    _, bad = dq.split_valid_invalid(df)
+    return bad.groupBy("quoteid").agg(F.count(F.lit(1)).alias("copies"),
+                                      F.first(F.concat_ws("|", dq.REASONS)).alias("reasons"))
+
+
+@query("dq_timeliness")
+def q_dq_timeliness(spark, sf):
+    """Changes that landed more than 12 hours after they happened."""
+    prepare(spark)
+    df = event_bronze(spark, sf)
+    df = dq.add_reasons(df, [dq.timeliness_rule("modifiedon", "bronze_ingest_ts", 12 * 3600)])
+    _, bad = dq.split_valid_invalid(df)
+    return bad.select("event_id", "user_id", F.concat_ws("|", dq.REASONS).alias("reasons"))
+
+
+PART_DECLARED = T.StructType([
+    T.StructField("p_partkey", T.LongType()), T.StructField("p_size", T.IntegerType()),
+    T.StructField("p_retailprice", T.DecimalType(12, 2)), T.StructField("p_brand", T.IntegerType()),
+    T.StructField("p_container", T.StringType()),
+])
+
+
+@query("type_conformance")
+def q_type_conformance(spark, sf):
+    """A string-typed feed cast to its declared schema; failed casts become BAD_TYPE reasons."""
+    prepare(spark)
+    raw = feeds.table(spark, sf, "part").select(*[F.col(c).cast("string").alias(c) for c in
+                                                  ("p_partkey", "p_size", "p_retailprice", "p_brand")])
+    df = dq.conform_types(raw, PART_DECLARED)
+    return df.select("p_partkey", "p_size", F.col("p_retailprice").cast("double").alias("p_retailprice"),
+                     "p_brand", "p_container", F.concat_ws("|", dq.REASONS).alias("reasons"))
+
+
+# --- snapshots ----------------------------------------------------------------
+
+SNAPSHOT_COLUMNS = ("opportunity_id", "snapshot_ts", "snapshot_date", "snapshot_hour", "snapshot_grain",
+                    "snapshot_run_id", "days_open", "days_to_expected_close", "pipeline_age_bucket")
+
+
+def opportunity_snapshot(spark, sf) -> DataFrame:
+    fact = fact_opportunity(spark, sf)
+    snap = build_snapshot(fact, AS_OF_SALES, "snapshot-20010801", OPPORTUNITY, _ts(AS_OF_SALES))
+    once = upsert_snapshot(None, snap)
+    return upsert_snapshot(once, snap)  # a rerun of the same snapshot changes nothing (M4)
+
+
+@query("opportunity_snapshot")
+def q_snapshot(spark, sf):
+    """P13-P16 + M4: the daily snapshot, merged twice (idempotent)."""
+    prepare(spark)
+    return finalize(opportunity_snapshot(spark, sf).select(*SNAPSHOT_COLUMNS))
+
+
+@query("snapshot_age_buckets")
+def q_age_buckets(spark, sf):
+    prepare(spark)
+    return opportunity_snapshot(spark, sf).groupBy("pipeline_age_bucket").agg(
+        F.count(F.lit(1)).alias("opportunity_count"), marts.money_sum("estimated_value").alias("pipeline_value"))
+
+
+# --- control tables and ops views -----------------------------------------------
+
+@query("recent_runs")
+def q_recent_runs(spark, sf):
+    """L1 over the run registry."""
+    prepare(spark)
+    return ops_views.recent_runs(feeds.run_events(spark, sf))
+
+
+@query("failed_runs")
+def q_failed_runs(spark, sf):
+    """F8 + L2."""
+    prepare(spark)
+    return ops_views.failed_runs(feeds.run_events(spark, sf))
+
+
+@query("layer_freshness")
+def q_layer_freshness(spark, sf):
+    """F9 + W2 at a fixed clock."""
+    prepare(spark)
+    return ops_views.layer_freshness(feeds.run_events(spark, sf), AS_OF_OPS)
+
+
+@query("health_summary")
+def q_health(spark, sf):
+    """W3 at a fixed clock."""
+    prepare(spark)
+    return ops_views.health_summary(feeds.run_events(spark, sf), AS_OF_OPS)
+
+
+@query("current_watermarks")
+def q_current_watermarks(spark, sf):
+    """M5 + F10: exactly one current watermark per (entity, layer)."""
+    prepare(spark)
+    wm = control.mark_current(feeds.watermark_events(spark, sf), ["updated_ts", "run_id"])
+    return wm.filter(F.col("is_current"))
+
+
+@query("stale_watermarks")
+def q_stale_watermarks(spark, sf):
+    """O1 at two clocks: 30-minute layer rule and the 26-hour snapshot rule."""
+    prepare(spark)
+    from revflow.plans.oracle_sql import AS_OF_OPS_LATE
+
+    wm = control.mark_current(feeds.watermark_events(spark, sf), ["updated_ts", "run_id"])
+    out = None
+    for as_of in (AS_OF_OPS, AS_OF_OPS_LATE):
+        v = ops_views.stale_watermarks(wm, as_of).withColumn("as_of", _ts(as_of))
+        out = v if out is None else out.unionByName(v)
+    return finalize(out)
+
+
+@query("run_registry_fold")
+def q_run_fold(spark, sf):
+    """M6 + M7: start and end events per run folded into the registry."""
+    prepare(spark)
+    runs = feeds.run_events(spark, sf)
+    start = runs.select(*[F.col(c) if c in ("run_id", "parent_run_id", "pipeline_name", "entity_name", "layer_name",
+                                            "trigger_type", "attempt_no", "run_start_ts", "created_ts")
+                          else (F.lit("running") if c == "status" else
+                                F.lit(0).cast("long") if c == "rows_quarantined" else
+                                F.col("run_start_ts") if c == "updated_ts" else
+                                F.lit(None).cast(runs.schema[c].dataType)).alias(c) for c in runs.columns])
+    end = runs.select(*[F.col(c) if c in ("run_id", "run_end_ts", "status", "source_high_watermark",
+                                          "source_row_count", "target_row_count", "rows_quarantined",
+                                          "error_message")
+                        else (F.col("run_end_ts") if c == "updated_ts" else
+                              F.lit(None).cast(runs.schema[c].dataType)).alias(c) for c in runs.columns])
+    return control.fold_runs(start.unionByName(end))
+
+
+@query("run_metrics")
+def q_run_metrics(spark, sf):
+    """Runs, success rate, rows and mean runtime per (entity, layer)."""
+    prepare(spark)
+    return ops_views.run_metrics(feeds.run_events(spark, sf))
