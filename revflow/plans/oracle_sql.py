@@ -547,3 +547,18 @@ SELECT entity_name, layer_name, count(*) AS runs,
   avg(epoch_us(run_end_ts) // 1000000 - epoch_us(run_start_ts) // 1000000) AS avg_runtime_seconds,
   count(*) FILTER (WHERE status IN ('success', 'partial_success')) / count(*) AS success_rate
 FROM runs GROUP BY ALL"""
+
+ORACLES["bronze_stream"] = with_(ev_ctes()) + f"""
+SELECT event_id, user_id, change_operation, bronze_op_type, bronze_op_type = 'DELETE' AS bronze_is_delete,
+  'event_user' AS bronze_entity_name, 'bronze-stream' AS bronze_pipeline_run_id,
+  DATE '{AS_OF_OPS[:10]}' AS ingestion_date, 'events.parquet' AS source_file_name
+FROM ev_bronze"""
+
+ORACLES["cdc_stream_state"] = with_(
+    ev_ctes(batch="CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END",
+            ingest=OPS_RUN,
+            run="CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'stream-0' ELSE 'stream-1' END"),
+    state_ctes("s")) + STATE_SELECT.format(p="s")
+
+ORACLES["compacted_fact"] = with_(OPP_CTES) + """
+SELECT opportunity_id, owner_id, state_code, estimated_value, created_date FROM fact_opportunity"""

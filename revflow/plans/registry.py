@@ -597,3 +597,71 @@ def q_run_metrics(spark, sf):
     """Runs, success rate, rows and mean runtime per (entity, layer)."""
     prepare(spark)
     return ops_views.run_metrics(feeds.run_events(spark, sf))
+
+
+# --- streaming ----------------------------------------------------------------
+
+from revflow.operators.layout import compact, file_count  # noqa: E402
+from revflow.sources.tables import VersionedTable  # noqa: E402
+from revflow.streaming.cdc import CurrentStateWriter, start_current_state_stream  # noqa: E402
+from revflow.streaming.ingest import bronze_stream, read_feed_stream, run_bronze_available_now  # noqa: E402
+
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+])
+
+
+@query("bronze_stream")
+def q_bronze_stream(spark, sf):
+    """The change file streamed into a bronze table
+    partitioned by ingestion date; a second availableNow run adds nothing."""
+    prepare(spark)
+    base = scratch_path(spark, "bronze-stream")
+    raw = read_feed_stream(spark, sf, EVENT_SCHEMA, glob="events.parquet")
+    bronze = bronze_stream(feeds.event_changes_of(raw), EVENT_SPEC, "bronze-stream", _ts(AS_OF_OPS))
+    for _ in range(2):
+        run_bronze_available_now(bronze, f"{base}/table", f"{base}/_checkpoint")
+    out = spark.read.parquet(f"{base}/table")
+    return out.select("event_id", "user_id", "change_operation", "bronze_op_type", "bronze_is_delete",
+                      "bronze_entity_name", "bronze_pipeline_run_id", "ingestion_date",
+                      F.element_at(F.split("bronze_source_file_path", "/"), -1).alias("source_file_name"))
+
+
+STREAM_CUT = "2024-01-16"
+
+
+@query("cdc_stream_state")
+def q_cdc_stream(spark, sf):
+    """T5: two file drops streamed through foreachBatch (dedup + M1 into a
+    bucketed, versioned state); each drop is one micro-batch."""
+    prepare(spark)
+    base = scratch_path(spark, "cdc-stream")
+    landing = f"{base}/landing"
+    events = feeds.table(spark, sf, "events")
+    cut = F.to_timestamp(F.lit(STREAM_CUT))
+    state = VersionedTable(spark, f"{base}/state")
+    writer = CurrentStateWriter(state, EVENT_SPEC, lambda b: f"stream-{b}", _ts(AS_OF_OPS), EVENT_TIE_BREAKERS,
+                                buckets=16)
+    for drop in (events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)):
+        drop.write.mode("append").parquet(landing)
+        raw = read_feed_stream(spark, landing, EVENT_SCHEMA)
+        bronze = bronze_stream(feeds.event_changes_of(raw), EVENT_SPEC, "bronze-stream", _ts(AS_OF_OPS))
+        start_current_state_stream(bronze, writer, f"{base}/_checkpoint").awaitTermination()
+    return finalize(state.read().select(*STATE_COLUMNS))
+
+
+@query("compacted_fact")
+def q_compacted(spark, sf):
+    """A fragmented fact table rewritten as fewer key-clustered files, same content."""
+    prepare(spark)
+    base = scratch_path(spark, "compaction")
+    fact = fact_opportunity(spark, sf).select("opportunity_id", "owner_id", "state_code", "estimated_value",
+                                             "created_date")
+    fact.repartition(32).write.parquet(f"{base}/v0")
+    before = file_count(spark.read.parquet(f"{base}/v0"))
+    out = compact(spark, f"{base}/v0", f"{base}/v1", ["opportunity_id"], rows_per_file=50_000)
+    if file_count(out) > before:
+        raise RuntimeError("compaction produced more files than it read")
+    return out

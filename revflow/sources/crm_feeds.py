@@ -43,7 +43,11 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     A batch lands at the midnight after its day (``bronze_ingest_ts``) and is
     merged by run ``silver-<yyyymmdd>`` at that time.
     """
-    ev = table(spark, sf_dir, "events")
+    return event_changes_of(table(spark, sf_dir, "events"))
+
+
+def event_changes_of(ev: DataFrame) -> DataFrame:
+    """The change-log projection of any events frame (batch or stream)."""
     batch = F.to_date("ts")
     landed = F.date_add(batch, 1).cast("timestamp")
     return ev.select(

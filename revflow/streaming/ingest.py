@@ -25,12 +25,14 @@ def trigger_kwargs(mode: str, interval: str | None = None) -> dict:
 
 
 def read_feed_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
     """Each new file of ``path`` is read once. The schema is required
     (use ``files.infer_feed_schema`` on the landed files)."""
     r = spark.readStream.format(check_format(fmt)).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if glob:
+        r = r.option("pathGlobFilter", glob)
     if fmt == "csv":
         r = r.option("header", "true")
     return r.load(path)
