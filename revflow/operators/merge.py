@@ -52,6 +52,10 @@ def _tgt(c: str) -> Column:
     return F.col(f"tgt.{c}")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 matched: Sequence[Clause], not_matched: Sequence[Clause]) -> DataFrame:
     cols = target.columns
@@ -72,26 +76,31 @@ def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str],
     # -1: target-only row (kept as is); -2: source row that no clause took (dropped)
     fallback = F.when(_tgt(_T).isNotNull(), F.lit(-1)).otherwise(F.lit(-2))
     act = fallback if act is None else act.otherwise(fallback)
-    j = j.withColumn(_ACT, act)
-    keep = ~F.col(_ACT).isin([i for i, (_, cl) in enumerate(clauses) if cl.action == DELETE] + [-2])
-    out = []
+    deleting = [i for i, (_, cl) in enumerate(clauses) if cl.action == DELETE] + [-2]
+    # Assigned expressions become helper columns; the per-column CASE over the
+    # chosen clause is then stated as SQL text in one projection (one round trip).
+    helpers, cases = [], []
     for c in cols:
-        expr = None
+        branches = []
         for i, (_, cl) in enumerate(clauses):
             if cl.action == DELETE:
                 continue
             if cl.action in (UPDATE_ALL, INSERT_ALL):
-                v = _src(c) if c in source.columns else F.lit(None)
+                v = f"src.{_q(c)}" if c in source.columns else "NULL"
             elif c in cl.action:
-                v = cl.action[c]
+                h = f"__v{i}_{len(helpers)}"
+                helpers.append(cl.action[c].alias(h))
+                v = _q(h)
             elif _scope_is_insert(cl, not_matched):
-                v = F.lit(None)
+                v = "NULL"
             else:
-                continue  # matched clause that does not assign c keeps the target value
-            expr = F.when(F.col(_ACT) == i, v) if expr is None else expr.when(F.col(_ACT) == i, v)
-        base = _tgt(c)
-        out.append((base if expr is None else expr.otherwise(base)).cast(target.schema[c].dataType).alias(c))
-    return j.filter(keep).select(*out)
+                continue  # a matched clause that does not assign c keeps the target value
+            branches.append(f"WHEN {i} THEN {v}")
+        base = f"tgt.{_q(c)}"
+        expr = f"CASE {_q(_ACT)} {' '.join(branches)} ELSE {base} END" if branches else base
+        cases.append(f"CAST({expr} AS {target.schema[c].dataType.simpleString()}) AS {_q(c)}")
+    j = j.select("*", act.alias(_ACT), *helpers).filter(~F.col(_ACT).isin(deleting))
+    return j.selectExpr(*cases)
 
 
 def _scope_is_insert(cl: Clause, not_matched: Sequence[Clause]) -> bool:

@@ -82,20 +82,24 @@ def merge_batches(spark, valid: DataFrame, spec: EntitySpec, batch_col: str, sta
                   run_id_of, run_ts_of, tie_breakers: Sequence[str | Column] = (), **merge_kw) -> DataFrame:
     """The incremental path: apply M1 to each batch of ``valid`` in order.
 
-    The increment is staged once, partitioned by batch (X28), so every step
-    reads one partition; after each merge the state is checkpointed to the
-    shared checkpoint folder to cut lineage (the loop count is the number of
-    batches, not rows). ``run_id_of`` / ``run_ts_of`` map a batch value to its
-    run id and run time.
+    Every batch's dedup is independent of the others, so the winners of all
+    (key, batch) pairs are found in one windowed pass and staged partitioned
+    by batch (X28). The loop then only merges: each step reads one staged
+    partition, joins it with the state and writes the new state as a table in
+    the shared checkpoint folder, which also cuts the lineage. The loop count
+    is the number of batches, not rows. ``run_id_of`` / ``run_ts_of`` map a
+    batch value to its run id and run time.
     """
-    valid.write.mode("overwrite").partitionBy(batch_col).parquet(stage_path)
-    staged = spark.read.parquet(stage_path)
+    winners = latest_per_key(valid, [spec.primary_key, batch_col], silver_order(tie_breakers))
+    winners.write.mode("overwrite").partitionBy(batch_col).parquet(f"{stage_path}/winners")
+    staged = spark.read.parquet(f"{stage_path}/winners")
     batches = [r[0] for r in staged.select(batch_col).distinct().orderBy(batch_col).collect()]
     state = None
-    for b in batches:
+    for i, b in enumerate(batches):
         run_id, run_ts = run_id_of(b), F.lit(run_ts_of(b)).cast("timestamp")
         inc = staged.filter(F.col(batch_col) == F.lit(b)).drop(batch_col)
-        latest = latest_per_key(inc, [spec.primary_key], silver_order(tie_breakers))
-        src = prepare_silver_source(latest, spec, run_id, run_ts)
-        state = silver_merge(state, src, spec, run_id, run_ts, **merge_kw).checkpoint(eager=True)
+        src = prepare_silver_source(inc, spec, run_id, run_ts)
+        merged = silver_merge(state, src, spec, run_id, run_ts, **merge_kw)
+        merged.write.mode("overwrite").parquet(f"{stage_path}/state-{i:05d}")
+        state = spark.read.schema(merged.schema).parquet(f"{stage_path}/state-{i:05d}")
     return state

@@ -562,3 +562,9 @@ ORACLES["cdc_stream_state"] = with_(
 
 ORACLES["compacted_fact"] = with_(OPP_CTES) + """
 SELECT opportunity_id, owner_id, state_code, estimated_value, created_date FROM fact_opportunity"""
+
+ORACLES["gold_incremental_merge"] = with_(ev_ctes(), state_ctes("s")) + """
+SELECT user_id, event_id, event_type, amount, modifiedon AS modified_ts, is_active,
+  silver_last_event_ts AS source_event_ts, silver_last_run_id AS source_run_id,
+  silver_updated_ts AS gold_source_updated_ts
+FROM s_state WHERE is_active"""

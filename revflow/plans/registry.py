@@ -326,6 +326,36 @@ def q_silver_incremental(spark, sf):
     return finalize(state.select(*STATE_COLUMNS))
 
 
+# Gold mapping of the change-log entity (business key user_id).
+EVENT_GOLD = EVENT_SPEC.with_(business_key="user_id", column_mapping=(
+    ("user_id", "user_id"), ("event_id", "event_id"), ("event_type", "event_type"), ("amount", "amount"),
+    ("modified_ts", "modifiedon")))
+GOLD_COLUMNS = ("user_id", "event_id", "event_type", "amount", "modified_ts", "is_active", "source_event_ts",
+                "source_run_id", "gold_source_updated_ts")
+
+
+@query("gold_incremental_merge")
+def q_gold_incremental(spark, sf):
+    """F2 + M2: gold built from the silver state before the cut, then merged with
+    the silver rows updated after it (deletes leave gold); equals the active rows."""
+    prepare(spark)
+    from revflow.operators.facts import build_fact_rows
+    from revflow.operators.merge import merge_fact
+
+    cut = F.to_date(F.lit(CHANGE_FEED_CUT))
+    old = replay_current_state(event_valid(spark, sf).filter(F.col("batch_date") < cut), EVENT_SPEC, "batch_date",
+                               "batch_run_id", "batch_ingest_ts", EVENT_TIE_BREAKERS)
+    new = replay_current_state(event_valid(spark, sf), EVENT_SPEC, "batch_date", "batch_run_id", "batch_ingest_ts",
+                               EVENT_TIE_BREAKERS)
+    gold_ts = _ts(AS_OF_OPS)
+    first = build_fact_rows(old, EVENT_GOLD, gold_ts)
+    gold = merge_fact(first.drop("gold_delete_flag").limit(0), first, "user_id")
+    watermark = old.agg(F.max("silver_updated_ts")).first()[0]  # A3: one scalar
+    increment = new.filter(F.col("silver_updated_ts") > F.lit(watermark))  # F2, strict
+    gold = merge_fact(gold, build_fact_rows(increment, EVENT_GOLD, gold_ts), "user_id")
+    return finalize(gold.select(*GOLD_COLUMNS))
+
+
 @query("silver_hard_delete")
 def q_silver_hard(spark, sf):
     """The hard-delete strategy (a delete removes the row)."""
