@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,14 +92,17 @@ def timeliness_rule(event_col: str, ingest_col: str, max_delay_seconds: int) ->
     return F.when(delay > F.lit(max_delay_seconds), F.lit(f"LATE_ARRIVAL:{event_col}"))
 
 
-def duplicate_key_rule(keys: Sequence[str]) -> Column:
-    """A key seen more than once in the same input fails (all copies).
+def with_duplicate_key_reason(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every copy of a key seen more than once in the input fails.
 
-    One window partitioned by the key; the count is a running aggregate, so a
-    hot key is a sorted stream rather than a materialised group.
+    Counts per key are a partial aggregation (a hot key collapses map-side);
+    the repeated keys are then joined back. A whole-partition window would
+    instead buffer a hot key's rows in one task.
     """
-    w = Window.partitionBy(*keys)
-    return F.when(F.count(F.lit(1)).over(w) > F.lit(1), F.lit("DUPLICATE_KEY"))
+    dups = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).filter(F.col("__copies") > 1)
+            .select(*keys, F.lit("DUPLICATE_KEY").alias("__dup")))
+    flagged = df.join(dups, list(keys), "left")
+    return add_reasons(flagged, [F.col("__dup")]).drop("__dup")
 
 
 # --- rule sets ---------------------------------------------------------------

@@ -120,8 +120,10 @@ def run_bronze(ws: Workspace, spec: EntitySpec, landing: str, schema: T.StructTy
                               trigger_mode)
         q.awaitTermination()
         try:
+            # only the partitions this run can have written are listed and read
             written = (ws.spark.read.parquet(ws.path("bronze", spec.name))
-                       .filter(F.col("bronze_pipeline_run_id") == run_id).count())
+                       .filter((F.col("ingestion_date") >= F.lit(now.date())) &
+                               (F.col("bronze_pipeline_run_id") == run_id)).count())
         except AnalysisException:
             written = 0
         end = utcnow()

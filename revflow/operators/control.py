@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revflow.operators.joins import join_small
+
 RUN_REGISTRY_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("parent_run_id", T.StringType()),
@@ -113,7 +115,9 @@ def mark_current(watermarks: DataFrame, order: Sequence[str] = ("updated_ts",))
     """M5: ``is_current`` is true only for the latest row per (entity, layer)."""
     latest = watermarks.groupBy("entity_name", "layer_name").agg(
         F.max(F.struct(*[F.col(c) for c in order])).alias("__latest"))
-    joined = watermarks.join(latest, ["entity_name", "layer_name"], "left")
+    # one row per (entity, layer): broadcast after a size check, so a hot
+    # (entity, layer) never meets a shuffle
+    joined = join_small(watermarks, latest, ["entity_name", "layer_name"], "left")
     cur = F.struct(*[F.col(c) for c in order]) == F.col("__latest")
     return joined.withColumn("is_current", F.coalesce(cur, F.lit(False))).select(*watermarks.columns)
 

@@ -1,0 +1,24 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a "small" side is not broadcast (AQE may still choose to).
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
+               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` with a side expected to be small (an aggregate per key).
+
+    ``small`` is counted first (one scalar to the driver); it is broadcast
+    only when it has at most ``max_rows`` rows. Beyond that the join is a
+    plain shuffle join and AQE's skew handling splits a hot key of ``big``.
+    """
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), list(keys), how)
+    return big.join(small, list(keys), how)

@@ -141,7 +141,7 @@ def inactive_opportunities(fact_opportunity: DataFrame, fact_activity: DataFrame
     """Open opportunities without any activity in the ``days`` before ``as_of``."""
     t = _ts(as_of)
     recent = fact_activity.filter((F.col("created_ts") >= t - F.expr(f"INTERVAL {int(days)} DAYS"))
-                                  & (F.col("created_ts") < t)).select("opportunity_id")
+                                  & (F.col("created_ts") < t)).select("opportunity_id").distinct()
     return fact_opportunity.filter(F.col("state_code") == OPEN).join(recent, "opportunity_id", "left_anti")
 
 

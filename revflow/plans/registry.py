@@ -489,8 +489,7 @@ def q_dq_owner(spark, sf):
 def q_dq_duplicates(spark, sf):
     """Every copy of a repeated quote key is flagged."""
     prepare(spark)
-    df = feeds.quote_changes(spark, sf)
-    df = dq.add_reasons(df, [dq.duplicate_key_rule(["quoteid"])])
+    df = dq.with_duplicate_key_reason(feeds.quote_changes(spark, sf), ["quoteid"])
     _, bad = dq.split_valid_invalid(df)
     return bad.groupBy("quoteid").agg(F.count(F.lit(1)).alias("copies"),
                                       F.first(F.concat_ws("|", dq.REASONS)).alias("reasons"))

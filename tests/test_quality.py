@@ -66,7 +66,8 @@ def test_extended_rules(spark):
          (1, 5.0, "2024-01-01", "2024-01-02", "2024-01-01 00:00:00", "2024-01-01 01:00:00")],
         "id long, amt double, created string, close string, ev string, ing string")
     out = dq.add_reasons(df, [dq.positive_rule(df, "amt"), dq.date_order_rule(df, "created", "close"),
-                              dq.timeliness_rule("ev", "ing", 3600 * 12), dq.duplicate_key_rule(["id"])])
+                              dq.timeliness_rule("ev", "ing", 3600 * 12)])
+    out = dq.with_duplicate_key_reason(out, ["id"])
     rows = sorted((r.amt, sorted(r.dq_failure_reasons)) for r in out.collect())
     assert rows[0] == (0.0, sorted(["NOT_POSITIVE:amt", "DATE_ORDER:created,close", "LATE_ARRIVAL:ev",
                                     "DUPLICATE_KEY"]))
