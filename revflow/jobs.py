@@ -3,7 +3,7 @@
 A workspace is one shared folder (a path on the cluster's shared storage):
 
     bronze/<entity>/            parquet appended by the stream, partitioned by ingestion_date
-    silver/<entity>/v=<n>       versioned current state, partitioned by key bucket
+    silver/<entity>/            current state by key bucket; a merge rewrites touched buckets only
     gold/<fact>/v=<n>           versioned active facts
     gold/fact_pipeline_snapshot/v=<n>  snapshots, partitioned by snapshot_date
     control/run_registry        append-only run events (folded on read)
@@ -30,12 +30,13 @@ from pyspark.sql.utils import AnalysisException
 from revflow.operators import control
 from revflow.operators.facts import build_activity_rows, build_fact_rows
 from revflow.operators.layout import compact
-from revflow.operators.merge import BUCKET, bucket_of, merge_fact
+from revflow.operators.merge import BUCKET, merge_fact
 from revflow.operators.snapshot import build_snapshot, upsert_snapshot
 from revflow.plans import marts
-from revflow.plans.medallion import silver_increment, silver_merge, silver_source
+from revflow.plans.medallion import silver_increment, silver_source
 from revflow.sources.files import append
-from revflow.sources.tables import VersionedTable, publish_view
+from revflow.sources.tables import BucketedTable, VersionedTable, publish_view
+from revflow.streaming.cdc import commit_bucketed
 from revflow.spec import APPOINTMENT, OPPORTUNITY, PHONECALL, EntitySpec
 from revflow.streaming.ingest import bronze_stream, read_feed_stream, start_bronze_sink
 
@@ -53,8 +54,8 @@ class Workspace:
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def silver(self, entity: str) -> VersionedTable:
-        return VersionedTable(self.spark, self.path("silver", entity), partition_by=(BUCKET,))
+    def silver(self, entity: str) -> BucketedTable:
+        return BucketedTable(self.spark, self.path("silver", entity), BUCKET)
 
     def gold(self, fact: str, partition_by=()) -> VersionedTable:
         return VersionedTable(self.spark, self.path("gold", fact), partition_by=partition_by)
@@ -153,16 +154,12 @@ def run_silver(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | Non
                 _end(ws, run_id, utcnow(), status="skipped")
                 return "skipped"
             source, bad = silver_source(inc, spec, run_id, run_ts)
-            source = source.withColumn(BUCKET, bucket_of([spec.primary_key], ws.buckets))
             stats = inc.agg(F.count(F.lit(1)).alias("n"), F.max("bronze_ingest_ts").alias("hw")).first()
             bad = bad.persist()
             n_bad = bad.count()
             if n_bad:
                 append(bad, ws.path("control", "bad_records"), ["entity_name"])
-            table = ws.silver(spec.name)
-            merged = silver_merge(table.read(), source, spec, run_id, run_ts, bucket_col=BUCKET,
-                                  time_guard=time_guard)
-            table.commit(merged, note=run_id)
+            commit_bucketed(ws.silver(spec.name), source, spec, run_id, run_ts, ws.buckets, time_guard=time_guard)
             bad.unpersist()
             hw = stats["hw"] or now  # A3 over every row read, valid or not
             status = "partial_success" if n_bad else "success"
@@ -277,22 +274,33 @@ def serving_views(ws: Workspace, as_of: str) -> dict[str, DataFrame]:
 
 def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract", "phonecall", "appointment"),
                     rows_per_file: int = 1_000_000) -> list[str]:
-    """Compact the latest silver and gold versions into new versions; a
+    """Compact the current silver and gold tables into new versions; a
     table that fails is reported and skipped, the others continue."""
     done = []
-    tables = [(ws.silver(e), [ENT.primary_key]) for e in entities if (ENT := _spec(e))]
-    tables += [(ws.gold(f"fact_{e}"), [_spec(e).business_key]) for e in entities if e not in ("phonecall", "appointment")]
-    for table, keys in tables:
+    for e in entities:
+        spec = _spec(e)
         try:
-            v = table.latest_version()
-            if v is None:
-                continue
-            staged = f"{table.root}/_compact_{v}"
-            out = compact(ws.spark, table.version_path(v), staged, keys, rows_per_file, table.partition_by)
-            table.commit(out, note=f"compaction of v{v}")
-            done.append(table.root)
+            table = ws.silver(e)
+            cur = table.read()
+            if cur is not None:
+                buckets = [b for b, _ in table.bucket_versions()]
+                # one clustered file per bucket: rows of a bucket stay in one task
+                table.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.primary_key), buckets)
+                done.append(table.root)
         except Exception:  # noqa: BLE001  one table's failure must not stop the others
+            pass
+        if e in ("phonecall", "appointment"):
             continue
+        try:
+            fact = ws.gold(f"fact_{e}")
+            v = fact.latest_version()
+            if v is not None:
+                staged = f"{fact.root}/_compact_{v}"
+                fact.commit(compact(ws.spark, fact.version_path(v), staged, [spec.business_key], rows_per_file),
+                            note=f"compaction of v{v}")
+                done.append(fact.root)
+        except Exception:  # noqa: BLE001
+            pass
     return done
 
 

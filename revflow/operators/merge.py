@@ -151,7 +151,8 @@ def prepare_silver_source(valid: DataFrame, spec: EntitySpec, run_id: str, run_t
 
 def merge_current_state(target: DataFrame, source: DataFrame, spec: EntitySpec, run_id: str,
                         run_ts: Column | None = None, time_guard: bool = False,
-                        hard_delete: bool | None = None, bucket_col: str | None = None) -> DataFrame:
+                        hard_delete: bool | None = None, bucket_col: str | None = None,
+                        touched_only: bool = False) -> DataFrame:
     """M1 (soft delete) or X30 (hard delete) of a prepared, deduplicated batch.
 
     (a) matched delete: only the active flag, deleted time and audit columns
@@ -186,7 +187,8 @@ def merge_current_state(target: DataFrame, source: DataFrame, spec: EntitySpec,
         )
     matched = [on_delete, Clause(upsert, src_up if guard is None else src_up & guard)]
     not_matched = [Clause(upsert, src_up)]
-    return keyed_merge(target, source, [spec.primary_key], matched, not_matched, bucket_col=bucket_col)
+    return keyed_merge(target, source, [spec.primary_key], matched, not_matched, bucket_col=bucket_col,
+                       touched_only=touched_only)
 
 
 def silver_schema_frame(source: DataFrame) -> DataFrame:

@@ -631,7 +631,7 @@ def q_run_metrics(spark, sf):
 # --- streaming ----------------------------------------------------------------
 
 from revflow.operators.layout import compact, file_count  # noqa: E402
-from revflow.sources.tables import VersionedTable  # noqa: E402
+from revflow.sources.tables import BucketedTable  # noqa: E402
 from revflow.streaming.cdc import CurrentStateWriter, start_current_state_stream  # noqa: E402
 from revflow.streaming.ingest import bronze_stream, read_feed_stream, run_bronze_available_now  # noqa: E402
 
@@ -670,7 +670,7 @@ def q_cdc_stream(spark, sf):
     landing = f"{base}/landing"
     events = feeds.table(spark, sf, "events")
     cut = F.to_timestamp(F.lit(STREAM_CUT))
-    state = VersionedTable(spark, f"{base}/state")
+    state = BucketedTable(spark, f"{base}/state")
     writer = CurrentStateWriter(state, EVENT_SPEC, lambda b: f"stream-{b}", _ts(AS_OF_OPS), EVENT_TIE_BREAKERS,
                                 buckets=16)
     for drop in (events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)):

@@ -76,3 +76,78 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW name AS SELECT * FROM fact`` as a temp view."""
     df.createOrReplaceTempView(name)
     return df
+
+
+MANIFEST_SCHEMA = "version long, bucket int, data_version long, batch_id long"
+VERSION_DIR = "state_version"
+
+
+class BucketedTable:
+    """Keyed state whose merges rewrite only the key buckets they touch.
+
+    Layout: ``<root>/data/state_version=<n>/<bucket_col>=<b>/`` holds the rows of bucket
+    ``b`` as written by version ``n``; ``<root>/_manifest`` is an append-only
+    log of (version, bucket, data_version) rows. The current table maps each
+    bucket to its latest data version (NULL = emptied by deletes). A version
+    becomes visible only when its manifest rows are appended, after its data
+    is written, so a crash in between leaves the previous state in force.
+
+    The manifest has at most one row per bucket and version, and reading the
+    current table passes at most B bucket paths, so the driver only ever
+    handles bucket ids, never rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, bucket_col: str = "_bucket"):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.bucket_col = bucket_col
+
+    def _manifest(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifest")
+        except AnalysisException:
+            return None
+
+    def latest_version(self) -> int | None:
+        m = self._manifest()
+        return None if m is None else m.agg(F.max("version")).first()[0]
+
+    def has_batch(self, batch_id: int) -> bool:
+        m = self._manifest()
+        return m is not None and not m.filter(F.col("batch_id") == batch_id).isEmpty()
+
+    def bucket_versions(self) -> list[tuple[int, int | None]]:
+        m = self._manifest()
+        if m is None:
+            return []
+        cur = m.groupBy("bucket").agg(F.max_by("data_version", "version").alias("dv"))
+        return [(r.bucket, r.dv) for r in cur.collect()]
+
+    def read(self) -> DataFrame | None:
+        paths = [f"{self.root}/data/{VERSION_DIR}={dv:08d}/{self.bucket_col}={b}" for b, dv in self.bucket_versions()
+                 if dv is not None]
+        if not paths:
+            return None if self.latest_version() is None else self._empty
+        df = self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths)
+        return df.drop(VERSION_DIR)
+
+    _empty = None
+
+    def commit(self, touched_rows: DataFrame, touched_buckets: list[int], batch_id: int | None = None) -> int:
+        """Write the merged rows of ``touched_buckets`` as the next version and publish."""
+        cur = self.latest_version()
+        v = 0 if cur is None else cur + 1
+        path = f"{self.root}/data/{VERSION_DIR}={v:08d}"
+        touched_rows.write.mode("overwrite").partitionBy(self.bucket_col).parquet(path)
+        written = set()
+        try:
+            for f in self.spark.read.parquet(path).inputFiles():
+                part = [p for p in f.split("/") if p.startswith(f"{self.bucket_col}=")]
+                if part:
+                    written.add(int(part[-1].split("=", 1)[1]))
+        except AnalysisException:
+            pass  # nothing written: every touched bucket is now empty
+        rows = [(v, int(b), v if int(b) in written else None, batch_id) for b in sorted(set(touched_buckets))]
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
+            f"{self.root}/_manifest")
+        return v

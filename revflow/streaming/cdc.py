@@ -13,16 +13,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revflow.operators.merge import bucket_of
+from revflow.operators.merge import BUCKET, bucket_of, merge_current_state
 from revflow.plans.medallion import silver_merge, silver_source
-from revflow.sources.tables import VersionedTable
+from revflow.sources.tables import BucketedTable, VersionedTable
 from revflow.spec import EntitySpec
 
 
 class CurrentStateWriter:
     """``foreachBatch`` callback: bronze micro-batch -> merged silver version."""
 
-    def __init__(self, state: VersionedTable, spec: EntitySpec, run_id_of: Callable[[int], str],
+    def __init__(self, state: VersionedTable | BucketedTable, spec: EntitySpec, run_id_of: Callable[[int], str],
                  run_ts: Column | None = None, tie_breakers: Sequence[str] = (), buckets: int | None = None,
                  quarantine: VersionedTable | None = None):
         self.state, self.spec = state, spec
@@ -36,17 +36,39 @@ class CurrentStateWriter:
         run_id = self.run_id_of(batch_id)
         run_ts = self.run_ts if self.run_ts is not None else F.current_timestamp()
         source, bad = silver_source(batch, self.spec, run_id, run_ts, self.tie_breakers)
+        if self.quarantine is not None:
+            self.quarantine.commit(bad, batch_id)
+        if isinstance(self.state, BucketedTable):
+            commit_bucketed(self.state, source, self.spec, run_id, run_ts, self.buckets or 64, batch_id)
+            return
         bucket_col = None
         if self.buckets:
             bucket_col = "_bucket"
             source = source.withColumn(bucket_col, bucket_of([self.spec.primary_key], self.buckets))
         target = self.state.read()
         merged = silver_merge(target, source, self.spec, run_id, run_ts, bucket_col=bucket_col)
-        if self.quarantine is not None:
-            self.quarantine.commit(bad, batch_id)
         self.state.commit(merged, batch_id, note=run_id)
 
 
+def commit_bucketed(state: BucketedTable, source: DataFrame, spec: EntitySpec, run_id: str, run_ts: Column,
+                    buckets: int, batch_id: int | None = None, **merge_kw) -> int:
+    """M1 of a prepared batch into a bucketed state: only touched buckets are
+    read, joined and rewritten. The touched-bucket ids (at most ``buckets``)
+    are the only values collected to the driver."""
+    source = source.withColumn(BUCKET, bucket_of([spec.primary_key], buckets)).persist()
+    try:
+        touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
+        target = state.read()
+        if target is None:
+            merged = silver_merge(None, source, spec, run_id, run_ts)
+        else:
+            merged = merge_current_state(target, source, spec, run_id, run_ts, bucket_col=BUCKET,
+                                         touched_only=True, **merge_kw)
+        return state.commit(merged, touched, batch_id)
+    finally:
+        source.unpersist()
+
+
 def start_current_state_stream(bronze: DataFrame, writer: CurrentStateWriter, checkpoint: str,
                                trigger: dict | None = None):
     """T5: run the writer over every micro-batch of a bronze stream."""

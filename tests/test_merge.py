@@ -97,3 +97,37 @@ def test_duplicate_guard(spark):
     with pytest.raises(ValueError):
         ensure_unique(df, ["k"], "error")
     assert sorted(tuple(r) for r in ensure_unique(df, ["k"], "latest", ["s"]).collect()) == [(1, 2), (2, 1)]
+
+
+def test_bucketed_state_rewrites_only_touched_buckets(spark, scratch):
+    from revflow.sources.tables import BucketedTable
+    from revflow.streaming.cdc import commit_bucketed
+    from helpers import log_df
+
+    state = BucketedTable(spark, f"{scratch}/state")
+    log = log_df(spark, [(k, k, float(k), "I", 1) for k in range(40)])
+    ts = F.lit(run_ts_of(1)).cast("timestamp")
+    src = prepare_silver_source(latest_per_key(log.drop("batch"), ["k"], silver_order(["seq"])), SPEC, "r1", ts)
+    commit_bucketed(state, src, SPEC, "r1", ts, 8)
+    files_before = set(state.read().inputFiles())
+    # batch 2 deletes key 3 and updates key 5: at most two buckets are rewritten
+    log2 = log_df(spark, [(3, 100, 0.0, "D", 2), (5, 101, 55.0, "U", 2)])
+    ts2 = F.lit(run_ts_of(2)).cast("timestamp")
+    src2 = prepare_silver_source(latest_per_key(log2.drop("batch"), ["k"], silver_order(["seq"])), SPEC, "r2", ts2)
+    commit_bucketed(state, src2, SPEC, "r2", ts2, 8)
+    cur = {r.k: r for r in state.read().collect()}
+    assert len(cur) == 40 and not cur[3].is_active and cur[5].v == 55.0 and cur[7].v == 7.0
+    files_after = set(state.read().inputFiles())
+
+    def dirs(files):
+        return {f.rsplit("/", 1)[0] for f in files}
+
+    changed = dirs(files_after) - dirs(files_before)
+    assert 1 <= len(changed) <= 2  # only the touched buckets were rewritten
+    assert len(dirs(files_before) & dirs(files_after)) >= len(dirs(files_before)) - 2
+    # hard delete can empty a bucket entirely
+    log3 = log_df(spark, [(k, 200 + k, 0.0, "D", 3) for k in range(40)])
+    ts3 = F.lit(run_ts_of(3)).cast("timestamp")
+    src3 = prepare_silver_source(latest_per_key(log3.drop("batch"), ["k"], silver_order(["seq"])), SPEC, "r3", ts3)
+    commit_bucketed(state, src3, SPEC, "r3", ts3, 8, hard_delete=True)
+    assert state.read() is None or state.read().count() == 0
