@@ -170,6 +170,12 @@ def split_valid_invalid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(n == 0), df.filter(n > 0)
 
 
+def split_counts(df: DataFrame) -> DataFrame:
+    """A4 / F5 counts in one pass: valid and invalid rows (they add up to the input)."""
+    n = F.size(F.coalesce(F.col(REASONS), empty_reasons()))
+    return df.agg(F.count_if(n == 0).alias("valid_rows"), F.count_if(n > 0).alias("invalid_rows"))
+
+
 def build_bad_records(
     invalid: DataFrame,
     run_id: str,

@@ -64,22 +64,32 @@ def quote_trend(fact_quote: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("quote_count"), money_sum("quote_amount").alias("quote_value"))
 
 
+def _tagged_counts(parts: dict[str, DataFrame]) -> DataFrame:
+    """One aggregation over a union of tagged rows: ``{name: frame}`` -> one row of counts.
+
+    Each frame contributes one narrow column, so this is a single partial
+    aggregation over a union: no join between the counted inputs.
+    """
+    tagged = None
+    for name, df in parts.items():
+        t = df.select(F.lit(name).alias("__part"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged.agg(*[F.count_if(F.col("__part") == name).alias(name) for name in parts])
+
+
 def quote_conversion(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_contract: DataFrame) -> DataFrame:
     """Share of opportunities with a quote and of quotes with a contract (one row).
 
-    Each side is reduced to distinct keys map-side before the semi joins, so
-    the shuffles carry keys only.
+    Each right side is reduced to distinct keys map-side before its semi join,
+    so the shuffles carry keys only.
     """
     quoted = fact_opportunity.select("opportunity_id").join(
         fact_quote.select("opportunity_id").distinct(), "opportunity_id", "left_semi")
     contracted = fact_quote.select("quote_id").join(
         fact_contract.select("quote_id").distinct(), "quote_id", "left_semi")
-    opp = fact_opportunity.agg(F.count(F.lit(1)).alias("opportunity_count"))
-    q = fact_quote.agg(F.count(F.lit(1)).alias("quote_count"))
-    oq = quoted.agg(F.count(F.lit(1)).alias("opportunities_with_quote"))
-    qc = contracted.agg(F.count(F.lit(1)).alias("quotes_with_contract"))
-    one = opp.crossJoin(q).crossJoin(oq).crossJoin(qc)  # four single-row aggregates
-    return one.select(
+    counts = _tagged_counts({"opportunity_count": fact_opportunity, "opportunities_with_quote": quoted,
+                             "quote_count": fact_quote, "quotes_with_contract": contracted})
+    return counts.select(
         "opportunity_count", "opportunities_with_quote",
         F.when(F.col("opportunity_count") > 0, F.col("opportunities_with_quote") / F.col("opportunity_count"))
         .alias("opportunity_to_quote_rate"),
@@ -120,10 +130,9 @@ def executive_kpis(fact_opportunity: DataFrame) -> DataFrame:
 
 def funnel_kpis(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_contract: DataFrame) -> DataFrame:
     """Opportunity, quote and contract counts and the end-to-end conversion rate."""
-    o = fact_opportunity.agg(F.count(F.lit(1)).alias("opportunity_count"))
-    q = fact_quote.agg(F.count(F.lit(1)).alias("quote_count"))
-    c = fact_contract.agg(F.count(F.lit(1)).alias("contract_count"))
-    return o.crossJoin(q).crossJoin(c).withColumn(  # single-row aggregates
+    counts = _tagged_counts({"opportunity_count": fact_opportunity, "quote_count": fact_quote,
+                             "contract_count": fact_contract})
+    return counts.withColumn(
         "conversion_rate",
         F.when(F.col("opportunity_count") > 0, F.col("contract_count") / F.col("opportunity_count")))
 

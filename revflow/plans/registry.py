@@ -433,10 +433,7 @@ def q_dq_reasons(spark, sf):
 def q_dq_split(spark, sf):
     """valid + invalid = input."""
     prepare(spark)
-    valid, invalid = dq.split_valid_invalid(customer_checked(spark, sf))
-    v = valid.agg(F.count(F.lit(1)).alias("valid_rows"))
-    i = invalid.agg(F.count(F.lit(1)).alias("invalid_rows"))
-    return v.crossJoin(i)  # two single-row aggregates
+    return dq.split_counts(customer_checked(spark, sf))
 
 
 @query("bad_records")
@@ -479,10 +476,7 @@ def q_dq_date_order(spark, sf):
 def q_dq_owner(spark, sf):
     """Owner id is mandatory on opportunities."""
     prepare(spark)
-    df = dq.apply_mandatory_checks(feeds.opportunity_feed(spark, sf), ["ownerid", "opportunityid"])
-    valid, invalid = dq.split_valid_invalid(df)
-    return valid.agg(F.count(F.lit(1)).alias("valid_rows")).crossJoin(
-        invalid.agg(F.count(F.lit(1)).alias("invalid_rows")))
+    return dq.split_counts(dq.apply_mandatory_checks(feeds.opportunity_feed(spark, sf), ["ownerid", "opportunityid"]))
 
 
 @query("dq_duplicate_keys")
