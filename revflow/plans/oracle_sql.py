@@ -568,3 +568,14 @@ SELECT user_id, event_id, event_type, amount, modifiedon AS modified_ts, is_acti
   silver_last_event_ts AS source_event_ts, silver_last_run_id AS source_run_id,
   silver_updated_ts AS gold_source_updated_ts
 FROM s_state WHERE is_active"""
+
+FEED_SELECT = """SELECT opportunityid, name, ownerid, createdon, estimatedclosedate, estimatedvalue, closeprobability,
+  statecode, stepname, CASE WHEN createdon >= TIMESTAMP '1998-01-01 00:00:00' THEN stepname END AS channel,
+  '{fmt}' AS format FROM opp_feed"""
+
+ORACLES["feed_formats"] = with_(OPP_CTES) + FEED_SELECT.format(fmt="json") + "\nUNION ALL\n" + \
+    FEED_SELECT.format(fmt="csv")
+
+ORACLES["medallion_jobs_fact"] = with_(OPP_CTES) + """
+SELECT opportunity_id, opportunity_name, owner_id, created_ts, expected_close_date, estimated_value, probability,
+  state_code, stage_name, weighted_amount, expected_close_month, is_active FROM fact_opportunity"""

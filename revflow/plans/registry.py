@@ -688,3 +688,61 @@ def q_compacted(spark, sf):
     if file_count(out) > before:
         raise RuntimeError("compaction produced more files than it read")
     return out
+
+
+# --- formats, schema evolution and the job chain -------------------------------
+
+from revflow.sources.files import infer_feed_schema, read_feed  # noqa: E402
+
+FEED_COLUMNS = ("opportunityid", "name", "ownerid", "createdon", "estimatedclosedate", "estimatedvalue",
+                "closeprobability", "statecode", "stepname")
+
+
+@query("feed_formats")
+def q_feed_formats(spark, sf):
+    """The feed landed as JSON and CSV in two drops, the second with an
+    added column; the merged schema is discovered and every drop read with it."""
+    prepare(spark)
+    base = scratch_path(spark, "formats")
+    feed = feeds.opportunity_feed(spark, sf).select(*FEED_COLUMNS)
+    late = F.col("createdon") >= F.to_timestamp(F.lit("1998-01-01 00:00:00"))
+    first = feed.filter(~late)
+    second = feed.filter(late).withColumn("channel", F.col("stepname"))  # additive column
+    schema = T.StructType([*feed.schema.fields, T.StructField("channel", T.StringType())])
+    out = None
+    for fmt in ("json", "csv"):
+        path = f"{base}/{fmt}"
+        for drop in (first, second):
+            w = drop.write.mode("append").format(fmt)
+            (w.option("header", "true") if fmt == "csv" else w).save(path)
+        if fmt == "json":
+            discovered = infer_feed_schema(spark, path, "json")
+            assert "channel" in discovered.fieldNames()
+        rows = read_feed(spark, path, schema, fmt).withColumn("format", F.lit(fmt))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("medallion_jobs_fact")
+def q_jobs_fact(spark, sf):
+    """The opportunity feed in two file drops through the
+    bronze stream, silver and gold jobs (watermarks, run registry); the gold fact's business columns."""
+    prepare(spark)
+    from datetime import datetime as _dt
+
+    from revflow import jobs
+
+    base = scratch_path(spark, "jobs")
+    ws = jobs.Workspace(spark, f"{base}/ws", buckets=16)
+    landing = f"{base}/landing"
+    feed = feeds.opportunity_feed(spark, sf)
+    late = F.col("createdon") >= F.to_timestamp(F.lit("1998-01-01 00:00:00"))
+    for i, drop in enumerate((feed.filter(~late), feed.filter(late))):
+        now = _dt(2024, 1, 1, 1 + i)
+        drop.write.mode("append").parquet(landing)
+        jobs.run_bronze(ws, OPPORTUNITY, landing, feed.schema, f"bronze-{i}", now=now)
+        jobs.run_silver(ws, OPPORTUNITY, f"silver-{i}", now=now)
+        jobs.run_gold(ws, OPPORTUNITY, f"gold-{i}", now=now)
+    return finalize(ws.gold("fact_opportunity").read().select(
+        "opportunity_id", "opportunity_name", "owner_id", "created_ts", "expected_close_date", "estimated_value",
+        "probability", "state_code", "stage_name", "weighted_amount", "expected_close_month", "is_active"))
