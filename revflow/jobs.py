@@ -4,8 +4,8 @@ A workspace is one shared folder (a path on the cluster's shared storage):
 
     bronze/<entity>/            parquet appended by the stream, partitioned by ingestion_date
     silver/<entity>/            current state by key bucket; a merge rewrites touched buckets only
-    gold/<fact>/v=<n>           versioned active facts
-    gold/fact_pipeline_snapshot/v=<n>  snapshots, partitioned by snapshot_date
+    gold/<fact>/                active facts by key bucket; a merge rewrites touched buckets only
+    gold/fact_pipeline_snapshot/  snapshots by snapshot_date; a run rewrites its own date only
     control/run_registry        append-only run events (folded on read)
     control/pipeline_watermark  append-only watermark rows (latest is current)
     control/bad_records         quarantined rows, partitioned by entity_name
@@ -29,13 +29,12 @@ from pyspark.sql.utils import AnalysisException
 
 from revflow.operators import control
 from revflow.operators.facts import build_activity_rows, build_fact_rows
-from revflow.operators.layout import compact
-from revflow.operators.merge import BUCKET, merge_fact
-from revflow.operators.snapshot import build_snapshot, upsert_snapshot
+from revflow.operators.merge import BUCKET, bucket_of, merge_fact, merge_snapshot
+from revflow.operators.snapshot import build_snapshot
 from revflow.plans import marts
 from revflow.plans.medallion import silver_increment, silver_source
 from revflow.sources.files import append
-from revflow.sources.tables import BucketedTable, VersionedTable, publish_view
+from revflow.sources.tables import BucketedTable, publish_view
 from revflow.streaming.cdc import commit_bucketed
 from revflow.spec import APPOINTMENT, OPPORTUNITY, PHONECALL, EntitySpec
 from revflow.streaming.ingest import bronze_stream, read_feed_stream, start_bronze_sink
@@ -57,8 +56,11 @@ class Workspace:
     def silver(self, entity: str) -> BucketedTable:
         return BucketedTable(self.spark, self.path("silver", entity), BUCKET)
 
-    def gold(self, fact: str, partition_by=()) -> VersionedTable:
-        return VersionedTable(self.spark, self.path("gold", fact), partition_by=partition_by)
+    def gold(self, fact: str, partition_col: str = BUCKET) -> BucketedTable:
+        return BucketedTable(self.spark, self.path("gold", fact), partition_col)
+
+    def snapshots(self) -> BucketedTable:
+        return self.gold("fact_pipeline_snapshot", "snapshot_date")
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
         try:
@@ -194,13 +196,12 @@ def run_gold(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | None
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
         rows = build_fact_rows(inc, spec, F.lit(now).cast("timestamp"))
+        rows = rows.withColumn(BUCKET, bucket_of([spec.business_key], ws.buckets))
         fact = ws.gold(f"fact_{spec.name}")
-        target = fact.read()
-        if target is None:
-            target = rows.drop("gold_delete_flag").limit(0)
-        fact.commit(merge_fact(target, rows, spec.business_key), note=run_id)
+        fact.merge(rows, lambda tgt, src: merge_fact(tgt, src, spec.business_key, BUCKET, touched_only=True),
+                   _first_fact)
         if spec.serving_view:
-            publish_view(fact.read(), spec.serving_view)
+            publish_view(fact.read().drop(BUCKET), spec.serving_view)
         stats = inc.agg(F.count(F.lit(1)).alias("n"), F.max("silver_updated_ts").alias("hw"),
                         F.count_if(F.col(spec.active_flag_column) != F.lit(False)).alias("active")).first()
         hw = stats["hw"] or now
@@ -212,6 +213,11 @@ def run_gold(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | None
     return _guard(ws, run_id, body)
 
 
+def _first_fact(rows: DataFrame) -> DataFrame:
+    """The first version of a fact: M2 into an empty target keeps the unflagged rows."""
+    return rows.filter(~F.col("gold_delete_flag")).drop("gold_delete_flag")
+
+
 def run_activity(ws: Workspace, run_id: str, now: datetime | None = None, duplicates: str = "latest") -> str:
     """Both activity kinds merged into fact_activity (full, as designed)."""
     now = now or utcnow()
@@ -222,13 +228,12 @@ def run_activity(ws: Workspace, run_id: str, now: datetime | None = None, duplic
         if phone is None or appt is None:
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
-        rows = build_activity_rows(phone, appt, F.lit(now).cast("timestamp"), duplicates)
+        rows = build_activity_rows(phone.drop(BUCKET), appt.drop(BUCKET), F.lit(now).cast("timestamp"), duplicates)
+        rows = rows.withColumn(BUCKET, bucket_of(["activity_id"], ws.buckets))
         fact = ws.gold("fact_activity")
-        target = fact.read()
-        if target is None:
-            target = rows.drop("gold_delete_flag").limit(0)
-        fact.commit(merge_fact(target, rows, "activity_id"), note=run_id)
-        publish_view(fact.read(), PHONECALL.serving_view)
+        fact.merge(rows, lambda tgt, src: merge_fact(tgt, src, "activity_id", BUCKET, touched_only=True),
+                   _first_fact)
+        publish_view(fact.read().drop(BUCKET), PHONECALL.serving_view)
         stats = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("gold_delete_flag")).alias("kept")).first()
         _end(ws, run_id, utcnow(), source_high_watermark=now.isoformat(sep=" "), source_row_count=stats["n"],
              target_row_count=stats["kept"], rows_quarantined=0)
@@ -249,9 +254,10 @@ def run_snapshot(ws: Workspace, snapshot_ts: str, run_id: str, spec: EntitySpec
         if fact is None:
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
-        snap = build_snapshot(fact, snapshot_ts, run_id, spec, F.lit(now).cast("timestamp"))
-        table = ws.gold("fact_pipeline_snapshot", partition_by=("snapshot_date",))
-        table.commit(upsert_snapshot(table.read(), snap, spec), note=run_id)
+        snap = build_snapshot(fact.drop(BUCKET), snapshot_ts, run_id, spec, F.lit(now).cast("timestamp"))
+        table = ws.snapshots()
+        keys = list(spec.snapshot.keys) if spec.snapshot else ["snapshot_ts", spec.business_key]
+        table.merge(snap, lambda tgt, src: merge_snapshot(tgt, src, keys, touched_only=True), lambda src: src)
         if spec.snapshot_view:
             publish_view(table.read(), spec.snapshot_view)
         n = fact.count()
@@ -265,15 +271,15 @@ def run_snapshot(ws: Workspace, snapshot_ts: str, run_id: str, spec: EntitySpec
 
 def serving_views(ws: Workspace, as_of: str) -> dict[str, DataFrame]:
     """The serving layer: scorecard and stale deals over the current fact."""
-    fact = ws.gold("fact_opportunity").read()
+    fact = ws.gold("fact_opportunity").read().drop(BUCKET)
     views = {"vw_rep_scorecard": marts.rep_scorecard(fact), "vw_stale_deals": marts.stale_deals(fact, as_of)}
     for name, df in views.items():
         publish_view(df, name)
     return views
 
 
-def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract", "phonecall", "appointment"),
-                    rows_per_file: int = 1_000_000) -> list[str]:
+def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract", "phonecall", "appointment")
+                    ) -> list[str]:
     """Compact the current silver and gold tables into new versions; a
     table that fails is reported and skipped, the others continue."""
     done = []
@@ -293,11 +299,10 @@ def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract",
             continue
         try:
             fact = ws.gold(f"fact_{e}")
-            v = fact.latest_version()
-            if v is not None:
-                staged = f"{fact.root}/_compact_{v}"
-                fact.commit(compact(ws.spark, fact.version_path(v), staged, [spec.business_key], rows_per_file),
-                            note=f"compaction of v{v}")
+            cur = fact.read()
+            if cur is not None:
+                buckets = [b for b, _ in fact.bucket_versions()]
+                fact.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.business_key), buckets)
                 done.append(fact.root)
         except Exception:  # noqa: BLE001
             pass

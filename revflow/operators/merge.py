@@ -196,7 +196,8 @@ def silver_schema_frame(source: DataFrame) -> DataFrame:
     return source.drop("bronze_is_delete").limit(0)
 
 
-def merge_fact(target: DataFrame, facts: DataFrame, business_key: str, bucket_col: str | None = None) -> DataFrame:
+def merge_fact(target: DataFrame, facts: DataFrame, business_key: str, bucket_col: str | None = None,
+               touched_only: bool = False) -> DataFrame:
     """M2 / M3: delete on a flagged match, update all on an unflagged match,
     insert unflagged new keys. ``facts`` carries ``gold_delete_flag``."""
     flag = _src("gold_delete_flag") == F.lit(True)
@@ -205,11 +206,11 @@ def merge_fact(target: DataFrame, facts: DataFrame, business_key: str, bucket_co
         target, facts, [business_key],
         matched=[Clause(DELETE, flag), Clause(UPDATE_ALL, unflag)],
         not_matched=[Clause(INSERT_ALL, unflag)],
-        bucket_col=bucket_col,
+        bucket_col=bucket_col, touched_only=touched_only,
     )
 
 
-def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str], touched_only: bool = False) -> DataFrame:
     """M4: idempotent upsert on (snapshot_ts, business key); never deletes.
 
     Only the snapshot dates present in ``snap`` are joined (a bounded set of
@@ -220,4 +221,4 @@ def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str]) -> D
     rest = target.join(dates, "snapshot_date", "left_anti")
     merged = _merge_core(hot, snap.select(*target.columns), keys,
                          [Clause(UPDATE_ALL)], [Clause(INSERT_ALL)])
-    return merged.unionByName(rest)
+    return merged if touched_only else merged.unionByName(rest)

@@ -78,12 +78,16 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-MANIFEST_SCHEMA = "version long, bucket int, data_version long, batch_id long"
+MANIFEST_SCHEMA = "version long, bucket string, data_version long, batch_id long"
 VERSION_DIR = "state_version"
 
 
 class BucketedTable:
-    """Keyed state whose merges rewrite only the key buckets they touch.
+    """Keyed state whose merges rewrite only the partitions they touch.
+
+    The partition column is a key bucket (``pmod(xxhash64(key), B)``) for
+    keyed state, or a date for snapshots; its values are kept as strings in
+    the manifest and typed again by partition discovery on read.
 
     Layout: ``<root>/data/state_version=<n>/<bucket_col>=<b>/`` holds the rows of bucket
     ``b`` as written by version ``n``; ``<root>/_manifest`` is an append-only
@@ -116,7 +120,7 @@ class BucketedTable:
         m = self._manifest()
         return m is not None and not m.filter(F.col("batch_id") == batch_id).isEmpty()
 
-    def bucket_versions(self) -> list[tuple[int, int | None]]:
+    def bucket_versions(self) -> list[tuple[str, int | None]]:
         m = self._manifest()
         if m is None:
             return []
@@ -133,7 +137,24 @@ class BucketedTable:
 
     _empty = None
 
-    def commit(self, touched_rows: DataFrame, touched_buckets: list[int], batch_id: int | None = None) -> int:
+    def touched_values(self, df: DataFrame) -> list:
+        """Distinct partition values of ``df`` (bounded by the partition count)."""
+        return [r[0] for r in df.select(self.bucket_col).distinct().collect()]
+
+    def merge(self, source: DataFrame, merge_touched, first_version, batch_id: int | None = None) -> int:
+        """Read the touched partitions, merge, publish. ``merge_touched(target, source)``
+        returns the merged rows of the touched partitions; ``first_version(source)``
+        the rows of the first version."""
+        source = source.persist()
+        try:
+            touched = self.touched_values(source)
+            target = self.read()
+            merged = first_version(source) if target is None else merge_touched(target, source)
+            return self.commit(merged, touched, batch_id)
+        finally:
+            source.unpersist()
+
+    def commit(self, touched_rows: DataFrame, touched_buckets: list, batch_id: int | None = None) -> int:
         """Write the merged rows of ``touched_buckets`` as the next version and publish."""
         cur = self.latest_version()
         v = 0 if cur is None else cur + 1
@@ -144,10 +165,11 @@ class BucketedTable:
             for f in self.spark.read.parquet(path).inputFiles():
                 part = [p for p in f.split("/") if p.startswith(f"{self.bucket_col}=")]
                 if part:
-                    written.add(int(part[-1].split("=", 1)[1]))
+                    written.add(part[-1].split("=", 1)[1])
         except AnalysisException:
             pass  # nothing written: every touched bucket is now empty
-        rows = [(v, int(b), v if int(b) in written else None, batch_id) for b in sorted(set(touched_buckets))]
+        touched = sorted({str(b) for b in touched_buckets})
+        rows = [(v, b, v if b in written else None, batch_id) for b in touched]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
             f"{self.root}/_manifest")
         return v

@@ -55,18 +55,13 @@ def commit_bucketed(state: BucketedTable, source: DataFrame, spec: EntitySpec, r
     """M1 of a prepared batch into a bucketed state: only touched buckets are
     read, joined and rewritten. The touched-bucket ids (at most ``buckets``)
     are the only values collected to the driver."""
-    source = source.withColumn(BUCKET, bucket_of([spec.primary_key], buckets)).persist()
-    try:
-        touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
-        target = state.read()
-        if target is None:
-            merged = silver_merge(None, source, spec, run_id, run_ts)
-        else:
-            merged = merge_current_state(target, source, spec, run_id, run_ts, bucket_col=BUCKET,
-                                         touched_only=True, **merge_kw)
-        return state.commit(merged, touched, batch_id)
-    finally:
-        source.unpersist()
+    source = source.withColumn(BUCKET, bucket_of([spec.primary_key], buckets))
+    return state.merge(
+        source,
+        lambda tgt, src: merge_current_state(tgt, src, spec, run_id, run_ts, bucket_col=BUCKET,
+                                             touched_only=True, **merge_kw),
+        lambda src: silver_merge(None, src, spec, run_id, run_ts),
+        batch_id)
 
 
 def start_current_state_stream(bronze: DataFrame, writer: CurrentStateWriter, checkpoint: str,

@@ -49,7 +49,7 @@ def test_medallion_end_to_end(spark, scratch):
     # idempotent snapshot and serving views
     assert jobs.run_snapshot(ws, AS_OF_SALES, "snap1", now=t2) == "success"
     assert jobs.run_snapshot(ws, AS_OF_SALES, "snap2", now=t2) == "success"
-    assert ws.gold("fact_pipeline_snapshot").read().count() == n - 10
+    assert ws.snapshots().read().count() == n - 10
     views = jobs.serving_views(ws, AS_OF_SALES)
     assert views["vw_rep_scorecard"].agg(F.sum("open_opportunity_count")).first()[0] == n - 10
     assert spark.table("vw_opportunity_pipeline").count() == n - 10
@@ -60,7 +60,7 @@ def test_medallion_end_to_end(spark, scratch):
     assert cur.filter("count != 1").count() == 0
 
     before = sorted(ws.gold("fact_opportunity").read().collect())
-    jobs.run_maintenance(ws, entities=("opportunity",), rows_per_file=100)
+    jobs.run_maintenance(ws, entities=("opportunity",))
     assert sorted(ws.gold("fact_opportunity").read().collect()) == before
 
 
@@ -72,3 +72,25 @@ def test_failed_run_is_logged(spark, scratch):
         pass
     r = ws.runs().filter("run_id = 'bad-run'").first()
     assert r.status == "failed" and r.error_message
+
+
+def test_activity_job(spark, scratch):
+    from revflow.spec import APPOINTMENT, PHONECALL
+
+    ws = jobs.Workspace(spark, f"{scratch}/ws3", buckets=4)
+    now = datetime(2024, 1, 31)
+    total = 0
+    for spec in (PHONECALL, APPOINTMENT):
+        feed = feeds.activity_feed(spark, SF, spec.name)
+        total += feed.count()
+        landing = f"{scratch}/landing/{spec.name}"
+        feed.write.parquet(landing)
+        jobs.run_bronze(ws, spec, landing, feed.schema, f"b-{spec.name}", now=now)
+        assert jobs.run_silver(ws, spec, f"s-{spec.name}", now=now) == "success"
+    assert jobs.run_activity(ws, "act-1", now=now) == "success"
+    fact = ws.gold("fact_activity").read()
+    assert fact.count() == total
+    assert fact.groupBy("activity_type").count().count() == 2
+    assert jobs.run_activity(ws, "act-2", now=now) == "success"  # full re-merge is idempotent
+    assert ws.gold("fact_activity").read().count() == total
+    assert spark.table("vw_sales_activity").count() == total
