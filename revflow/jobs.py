@@ -111,8 +111,14 @@ def _guard(ws: Workspace, run_id: str, fn):
 # --- bronze -----------------------------------------------------------------
 
 def run_bronze(ws: Workspace, spec: EntitySpec, landing: str, schema: T.StructType, run_id: str,
-               trigger_mode: str = "available_now", fmt: str = "parquet", now: datetime | None = None) -> int:
-    """Stream new change files into the bronze table; returns rows written by this run."""
+               trigger_mode: str = "available_now", fmt: str = "parquet", now: datetime | None = None,
+               interval: str | None = None):
+    """Stream new change files into the bronze table.
+
+    ``available_now`` ingests what has landed, stops, logs the run and returns
+    the rows it wrote (F6). ``micro_batch`` starts a continuously running query
+    and returns its handle; progress is then in the query's own metrics.
+    """
     now = now or utcnow()
     _start(ws, run_id, f"crm_bronze_{spec.name}", spec.name, "bronze", now)
 
@@ -120,7 +126,9 @@ def run_bronze(ws: Workspace, spec: EntitySpec, landing: str, schema: T.StructTy
         raw = read_feed_stream(ws.spark, landing, schema, fmt)
         bronze = bronze_stream(raw, spec, run_id)
         q = start_bronze_sink(bronze, ws.path("bronze", spec.name), ws.path("_checkpoints", "bronze", spec.name),
-                              trigger_mode)
+                              trigger_mode, interval)
+        if trigger_mode != "available_now":
+            return q
         q.awaitTermination()
         try:
             # only the partitions this run can have written are listed and read
