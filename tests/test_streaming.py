@@ -56,3 +56,20 @@ def test_foreach_batch_replay_is_skipped(spark, scratch):
     assert state.latest_version() == v0
     w(b.filter("event_id < 0"), 1)  # an empty batch still commits a version
     assert state.read().count() == state.read(v0).count()
+
+
+def test_micro_batch_bronze_run(spark, scratch):
+    from revflow import jobs
+    from revflow.spec import OPPORTUNITY
+
+    ws = jobs.Workspace(spark, f"{scratch}/ws")
+    feed = feeds.opportunity_feed(spark, SF)
+    landing = f"{scratch}/landing"
+    feed.write.parquet(landing)
+    q = jobs.run_bronze(ws, OPPORTUNITY, landing, feed.schema, "mb-1", trigger_mode="micro_batch",
+                        interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(ws.path("bronze", "opportunity")).count() == feed.count()
