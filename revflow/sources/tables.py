@@ -120,6 +120,10 @@ class BucketedTable:
         m = self._manifest()
         return m is not None and not m.filter(F.col("batch_id") == batch_id).isEmpty()
 
+    def exists(self) -> bool:
+        """S10."""
+        return self.latest_version() is not None
+
     def bucket_versions(self) -> list[tuple[str, int | None]]:
         m = self._manifest()
         if m is None:
