@@ -41,7 +41,7 @@ def stale_deals(fact_opportunity: DataFrame, as_of: str, days: int = 30) -> Data
     return fact_opportunity.filter(F.col("modified_ts") < _ts(as_of) - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
-def open_pipeline_by_stage(fact_opportunity: DataFrame) -> DataFrame:
+def open_deals_by_stage(fact_opportunity: DataFrame) -> DataFrame:
     """Open opportunities, pipeline value and weighted value per stage."""
     return (fact_opportunity.filter(F.col("state_code") == OPEN).groupBy("stage_name").agg(
         F.count(F.lit(1)).alias("open_count"),

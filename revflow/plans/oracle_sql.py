@@ -233,7 +233,7 @@ ORACLES["stale_deals"] = with_(OPP_CTES) + f"""
 SELECT opportunity_id, owner_id, modified_ts, state_code, estimated_value FROM fact_opportunity
 WHERE modified_ts < TIMESTAMP '{AS_OF_SALES}' - INTERVAL 30 DAY"""
 
-ORACLES["open_pipeline_by_stage"] = with_(OPP_CTES) + f"""
+ORACLES["open_deals_by_stage"] = with_(OPP_CTES) + f"""
 SELECT stage_name, count(*) AS open_count, {money('estimated_value')} AS pipeline_value,
   {money('weighted_amount')} AS weighted_value
 FROM fact_opportunity WHERE state_code = 'Open' GROUP BY stage_name"""

@@ -128,10 +128,10 @@ def q_stale_deals(spark, sf):
         "opportunity_id", "owner_id", "modified_ts", "state_code", "estimated_value"))
 
 
-@query("open_pipeline_by_stage")
+@query("open_deals_by_stage")
 def q_open_by_stage(spark, sf):
     prepare(spark)
-    return marts.open_pipeline_by_stage(fact_opportunity(spark, sf))
+    return marts.open_deals_by_stage(fact_opportunity(spark, sf))
 
 
 @query("win_rate")
