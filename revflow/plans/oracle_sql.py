@@ -579,3 +579,35 @@ ORACLES["feed_formats"] = with_(OPP_CTES) + FEED_SELECT.format(fmt="json") + "\n
 ORACLES["medallion_jobs_fact"] = with_(OPP_CTES) + """
 SELECT opportunity_id, opportunity_name, owner_id, created_ts, expected_close_date, estimated_value, probability,
   state_code, stage_name, weighted_amount, expected_close_month, is_active FROM fact_opportunity"""
+
+# T4: the guarded merge, stated as windows. Per key, the first batch whose winner
+# upserts creates the row; from then on a batch winner is applied iff its event
+# time is >= every earlier winner's since creation (the guard compares with the
+# stored time, which is the running maximum of applied changes).
+ORACLES["silver_late_data"] = with_(ev_ctes(
+    batch="CAST(ts AS DATE) + CASE WHEN value < 5.0 THEN 3 ELSE 0 END",
+    ingest="CAST(CAST(ts AS DATE) + CASE WHEN value < 5.0 THEN 3 ELSE 0 END + 1 AS TIMESTAMP)",
+    run="'silver-' || strftime(CAST(ts AS DATE) + CASE WHEN value < 5.0 THEN 3 ELSE 0 END, '%Y%m%d')")) + """
+, w AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, batch_date
+      ORDER BY modifiedon DESC NULLS LAST, batch_ingest_ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+    FROM ev_valid) WHERE rn = 1
+),
+created AS (SELECT user_id, min(batch_date) AS cb FROM w WHERE NOT is_del GROUP BY user_id),
+after AS (
+  SELECT w.*, max(w.modifiedon) OVER (PARTITION BY w.user_id ORDER BY w.batch_date
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+  FROM w JOIN created c ON w.user_id = c.user_id AND w.batch_date >= c.cb
+),
+applied AS (SELECT * FROM after WHERE prev_max IS NULL OR modifiedon >= prev_max),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch_date DESC) AS r
+      FROM applied) WHERE r = 1),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch_date DESC) AS r
+      FROM applied WHERE NOT is_del) WHERE r = 1)
+SELECT u.user_id, u.event_id, u.modifiedon, u.change_operation, u.amount, u.event_type, u.bronze_op_type,
+  NOT l.is_del AS is_active,
+  CASE WHEN l.is_del THEN coalesce(l.modifiedon, l.batch_ingest_ts) END AS silver_deleted_ts,
+  CASE WHEN l.is_del THEN l.modifiedon ELSE u.modifiedon END AS silver_last_event_ts,
+  CASE WHEN l.is_del THEN l.batch_run_id ELSE u.batch_run_id END AS silver_last_run_id,
+  CASE WHEN l.is_del THEN l.batch_ingest_ts ELSE u.batch_ingest_ts END AS silver_updated_ts
+FROM u JOIN l ON u.user_id = l.user_id"""

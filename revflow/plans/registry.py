@@ -746,3 +746,20 @@ def q_jobs_fact(spark, sf):
     return finalize(ws.gold("fact_opportunity").read().select(
         "opportunity_id", "opportunity_name", "owner_id", "created_ts", "expected_close_date", "estimated_value",
         "probability", "state_code", "stage_name", "weighted_amount", "expected_close_month", "is_active"))
+
+
+LATE_DAYS = 3
+
+
+@query("silver_late_data")
+def q_silver_late(spark, sf):
+    """T4: changes with a small amount land three days late; merged batch by batch
+    with the time guard, an older change never overwrites a newer state."""
+    prepare(spark)
+    valid = event_valid(spark, sf)
+    arrival = F.when(F.col("amount") < 5.0, F.date_add("batch_date", LATE_DAYS)).otherwise(F.col("batch_date"))
+    late = valid.withColumn("batch_date", arrival).withColumn(
+        "bronze_ingest_ts", F.date_add("batch_date", 1).cast("timestamp"))
+    state = merge_batches(spark, late, EVENT_SPEC, "batch_date", scratch_path(spark, "late-events"), _run_id_of,
+                          _run_ts_of, EVENT_TIE_BREAKERS, time_guard=True)
+    return finalize(state.select(*STATE_COLUMNS))
