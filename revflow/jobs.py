@@ -91,6 +91,19 @@ class Workspace:
         return control.get_current_watermark(self.watermarks(), entity, layer)
 
 
+WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _wm_text(c):
+    """A watermark rendered by Spark in the session time zone, so that reading it back
+    with ``cast('timestamp')`` in the same session gives the same instant."""
+    return F.date_format(c, WATERMARK_FORMAT)
+
+
+def _wm_now(now: datetime) -> str:
+    return now.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
 def _start(ws: Workspace, run_id: str, pipeline: str, entity: str, layer: str, now: datetime,
            trigger_type: str = "scheduled", attempt: int = 1, parent: str | None = None) -> None:
     ws.log(control.run_start_event(ws.spark, run_id, parent, pipeline, entity, layer, trigger_type, attempt, now))
@@ -164,14 +177,14 @@ def run_silver(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | Non
                 _end(ws, run_id, utcnow(), status="skipped")
                 return "skipped"
             source, bad = silver_source(inc, spec, run_id, run_ts)
-            stats = inc.agg(F.count(F.lit(1)).alias("n"), F.max("bronze_ingest_ts").alias("hw")).first()
+            stats = inc.agg(F.count(F.lit(1)).alias("n"), _wm_text(F.max("bronze_ingest_ts")).alias("hw")).first()
             bad = bad.persist()
             n_bad = bad.count()
             if n_bad:
                 append(bad, ws.path("control", "bad_records"), ["entity_name"])
             commit_bucketed(ws.silver(spec.name), source, spec, run_id, run_ts, ws.buckets, time_guard=time_guard)
             bad.unpersist()
-            hw = stats["hw"] or now  # A3 over every row read, valid or not
+            hw = stats["hw"] or _wm_now(now)  # A3 over every row read, valid or not
             status = "partial_success" if n_bad else "success"
             _end(ws, run_id, utcnow(), status=status, source_high_watermark=str(hw), source_row_count=stats["n"],
                  target_row_count=stats["n"] - n_bad, rows_quarantined=n_bad)
@@ -210,9 +223,9 @@ def run_gold(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | None
                    _first_fact)
         if spec.serving_view:
             publish_view(fact.read().drop(BUCKET), spec.serving_view)
-        stats = inc.agg(F.count(F.lit(1)).alias("n"), F.max("silver_updated_ts").alias("hw"),
+        stats = inc.agg(F.count(F.lit(1)).alias("n"), _wm_text(F.max("silver_updated_ts")).alias("hw"),
                         F.count_if(F.col(spec.active_flag_column) != F.lit(False)).alias("active")).first()
-        hw = stats["hw"] or now
+        hw = stats["hw"] or _wm_now(now)
         _end(ws, run_id, utcnow(), source_high_watermark=str(hw), source_row_count=stats["n"],
              target_row_count=stats["active"], rows_quarantined=0)
         ws.set_watermark(spec.name, "gold", "silver_updated_ts", hw, run_id, utcnow())
