@@ -29,6 +29,7 @@ def test_dedup_limits_before_the_shuffle(plans):
 
 
 def test_flagship_reads_only_needed_columns(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     df = E.queries()["rep_scorecard"](spark, SF)
     text = df._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in text.splitlines() if "FileScan parquet" in line][0]
