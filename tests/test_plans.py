@@ -13,9 +13,14 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+# These run streams, job chains or merge loops first and return a read of what they wrote.
+WRITERS = {"bronze_stream", "cdc_stream_state", "medallion_jobs_fact", "silver_incremental_merge",
+           "silver_late_data", "feed_formats", "compacted_fact", "opportunity_snapshot", "snapshot_age_buckets"}
+
+
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_of(fn(spark, SF)) for name, fn in E.queries().items()}
+    return {name: plan_of(fn(spark, SF)) for name, fn in E.queries().items() if name not in WRITERS}
 
 
 def test_no_cross_products_or_python_in_any_plan(plans):
