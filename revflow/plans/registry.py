@@ -8,17 +8,31 @@ Clocks are fixed (``as_of``), so results are reproducible.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revflow.functions import quality as dq
+from revflow.functions.quality import split_valid_invalid
+from revflow.operators import control
+from revflow.operators.dedup import latest_per_key
+from revflow.operators.diff import table_diff
 from revflow.operators.facts import current_activity, current_fact
-from revflow.plans import dims, marts
-from revflow.plans.medallion import bronze_rows, checked, silver_state_of_feed
+from revflow.operators.layout import compact, file_count
+from revflow.operators.replay import replay_current_state
+from revflow.operators.snapshot import build_snapshot
+from revflow.plans import dims, marts, ops_views
+from revflow.plans.medallion import bronze_rows, checked, merge_batches, silver_state_of_feed
 from revflow.plans.oracle_sql import AS_OF_OPS, AS_OF_SALES
+from revflow.session import ensure_checkpoint_dir, scratch_path
 from revflow.sources import crm_feeds as feeds
+from revflow.sources.files import infer_feed_schema, read_feed
+from revflow.sources.tables import BucketedTable
 from revflow.spec import APPOINTMENT, CONTRACT, OPPORTUNITY, PHONECALL, QUOTE, EntitySpec
+from revflow.streaming.cdc import CurrentStateWriter, start_current_state_stream
+from revflow.streaming.ingest import bronze_stream, read_feed_stream, run_bronze_available_now
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,9 +52,7 @@ def query(name: str):
 def prepare(spark: SparkSession) -> None:
     """Pin the session clock zone so wall-clock fixture times round-trip exactly."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    from revflow.session import ensure_checkpoint_dir as _ecd
-
-    _ecd(spark)
+    ensure_checkpoint_dir(spark)
 
 
 def finalize(df: DataFrame) -> DataFrame:
@@ -253,14 +265,7 @@ def q_activity_map(spark, sf):
 
 # --- change log: bronze, silver state, history ------------------------------
 
-from datetime import date, datetime, timedelta  # noqa: E402
 
-from revflow.functions.quality import split_valid_invalid  # noqa: E402
-from revflow.operators.dedup import latest_per_key  # noqa: E402
-from revflow.operators.diff import table_diff  # noqa: E402
-from revflow.operators.replay import replay_current_state  # noqa: E402
-from revflow.plans.medallion import merge_batches  # noqa: E402
-from revflow.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 
 STATE_COLUMNS = ("user_id", "event_id", "modifiedon", "change_operation", "amount", "event_type", "bronze_op_type",
                  "is_active", "silver_deleted_ts", "silver_last_event_ts", "silver_last_run_id", "silver_updated_ts")
@@ -401,10 +406,6 @@ def q_stage_movement(spark, sf):
 
 # --- data quality and quarantine ----------------------------------------------
 
-from revflow.functions import quality as dq  # noqa: E402
-from revflow.operators import control  # noqa: E402
-from revflow.operators.snapshot import build_snapshot, upsert_snapshot  # noqa: E402
-from revflow.plans import ops_views  # noqa: E402
 
 CUSTOMER_SPEC = EntitySpec(name="customer", primary_key="c_custkey",
                            mandatory_columns=("c_custkey", "segment"), non_negative_columns=("c_acctbal",))
@@ -632,10 +633,6 @@ def q_run_metrics(spark, sf):
 
 # --- streaming ----------------------------------------------------------------
 
-from revflow.operators.layout import compact, file_count  # noqa: E402
-from revflow.sources.tables import BucketedTable  # noqa: E402
-from revflow.streaming.cdc import CurrentStateWriter, start_current_state_stream  # noqa: E402
-from revflow.streaming.ingest import bronze_stream, read_feed_stream, run_bronze_available_now  # noqa: E402
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -700,7 +697,6 @@ def q_compacted(spark, sf):
 
 # --- formats, schema evolution and the job chain -------------------------------
 
-from revflow.sources.files import infer_feed_schema, read_feed  # noqa: E402
 
 FEED_COLUMNS = ("opportunityid", "name", "ownerid", "createdon", "estimatedclosedate", "estimatedvalue",
                 "closeprobability", "statecode", "stepname")

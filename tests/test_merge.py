@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from helpers import SPEC, log_df, run_ts_of
 from revflow.operators.dedup import ensure_unique, latest_per_key, silver_order
 from revflow.operators.merge import (
-    DELETE, Clause, bucket_of, keyed_merge, merge_current_state, merge_fact, merge_snapshot, prepare_silver_source)
+    DELETE, Clause, bucket_of, keyed_merge, merge_fact, merge_snapshot, prepare_silver_source)
 from revflow.plans.medallion import silver_merge
 
 
