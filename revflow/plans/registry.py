@@ -732,8 +732,6 @@ def q_jobs_fact(spark, sf):
     """The opportunity feed in two file drops through the
     bronze stream, silver and gold jobs (watermarks, run registry); the gold fact's business columns."""
     prepare(spark)
-    from datetime import datetime as _dt
-
     from revflow import jobs
 
     base = scratch_path(spark, "jobs")
@@ -742,7 +740,7 @@ def q_jobs_fact(spark, sf):
     feed = feeds.opportunity_feed(spark, sf)
     late = F.col("createdon") >= F.to_timestamp(F.lit("1998-01-01 00:00:00"))
     for i, drop in enumerate((feed.filter(~late), feed.filter(late))):
-        now = _dt(2024, 1, 1, 1 + i)
+        now = datetime(2024, 1, 1, 1 + i)
         drop.write.mode("append").parquet(landing)
         jobs.run_bronze(ws, OPPORTUNITY, landing, feed.schema, f"bronze-{i}", now=now)
         jobs.run_silver(ws, OPPORTUNITY, f"silver-{i}", now=now)
