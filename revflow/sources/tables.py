@@ -131,11 +131,19 @@ class BucketedTable:
         cur = m.groupBy("bucket").agg(F.max_by("data_version", "version").alias("dv"))
         return [(r.bucket, r.dv) for r in cur.collect()]
 
-    def read(self) -> DataFrame | None:
+    def read(self, only: list | None = None) -> DataFrame | None:
+        """The current table, or only the partitions in ``only`` (their paths alone are
+        listed and scanned: the pruning does not depend on the optimizer)."""
+        keep = None if only is None else {str(b) for b in only}
         paths = [f"{self.root}/data/{VERSION_DIR}={dv:08d}/{self.bucket_col}={b}" for b, dv in self.bucket_versions()
-                 if dv is not None]
+                 if dv is not None and (keep is None or b in keep)]
         if not paths:
-            return None if self.latest_version() is None else self._empty
+            if self.latest_version() is None:
+                return None
+            if only is not None:  # nothing stored yet in the touched partitions
+                full = self.read()
+                return None if full is None else full.limit(0)
+            return self._empty
         df = self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths)
         return df.drop(VERSION_DIR)
 
@@ -152,7 +160,7 @@ class BucketedTable:
         source = source.persist()
         try:
             touched = self.touched_values(source)
-            target = self.read()
+            target = self.read(only=touched)
             merged = first_version(source) if target is None else merge_touched(target, source)
             return self.commit(merged, touched, batch_id)
         finally:

@@ -57,3 +57,19 @@ def test_bucketed_merge_broadcasts_only_the_touched_set(spark):
     out = keyed_merge(tgt, src, ["k"], [Clause({"x": F.col("src.x")})], [], bucket_col="_bucket", touched_only=True)
     p = plan_of(out)
     assert "BroadcastExchange" in p and "LeftSemi" in p
+
+
+def test_bucketed_read_scans_only_touched_partitions(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from revflow.operators.merge import bucket_of
+    from revflow.sources.tables import BucketedTable
+
+    t = BucketedTable(spark, f"{scratch}/t")
+    df = spark.range(2000).select(F.col("id").alias("k")).withColumn("_bucket", bucket_of(["k"], 16))
+    t.commit(df, list(range(16)))
+    src = spark.range(2).select(F.col("id").alias("k")).withColumn("_bucket", bucket_of(["k"], 16))
+    touched = t.touched_values(src)
+    part = t.read(only=touched)
+    assert {r[0] for r in part.select("_bucket").distinct().collect()} == set(touched)
+    assert len(part.inputFiles()) < len(t.read().inputFiles())
