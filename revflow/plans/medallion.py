@@ -28,13 +28,25 @@ def bronze_rows(feed: DataFrame, spec: EntitySpec, run_id: str, ingest_ts: Colum
 
 def silver_increment(bronze: DataFrame, watermark=None, backfill: tuple | None = None) -> DataFrame:
     """Rows newer than the watermark (strict), or inside a backfill window
-    ``[from, to)`` which replaces the watermark filter."""
+    ``[from, to)`` which replaces the watermark filter.
+
+    When bronze is partitioned by ``ingestion_date`` the implied date bounds are
+    added as well, so partitions before the watermark are pruned, not scanned.
+    """
     ts = F.col("bronze_ingest_ts")
+    dated = "ingestion_date" in bronze.columns
     if backfill is not None:
-        lo, hi = backfill
-        return bronze.filter((ts >= F.lit(lo).cast("timestamp")) & (ts < F.lit(hi).cast("timestamp")))
+        lo, hi = (F.lit(x).cast("timestamp") for x in backfill)
+        cond = (ts >= lo) & (ts < hi)
+        if dated:
+            cond = cond & (F.col("ingestion_date") >= F.to_date(lo)) & (F.col("ingestion_date") <= F.to_date(hi))
+        return bronze.filter(cond)
     if watermark is not None:
-        return bronze.filter(ts > F.lit(watermark).cast("timestamp"))
+        wm = F.lit(watermark).cast("timestamp")
+        cond = ts > wm
+        if dated:
+            cond = cond & (F.col("ingestion_date") >= F.to_date(wm))
+        return bronze.filter(cond)
     return bronze
 
 
