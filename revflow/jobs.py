@@ -199,11 +199,15 @@ def run_silver(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | Non
 # --- gold -------------------------------------------------------------------
 
 def _silver_increment(ws: Workspace, entity: str, layer_entity: str) -> DataFrame | None:
-    s = ws.silver(entity).read()
-    if s is None:
-        return None
+    """silver rows updated after the gold watermark. Only buckets rewritten by
+    a silver run after the watermark are listed and scanned."""
+    table = ws.silver(entity)
     wm = ws.watermark(layer_entity, "gold")
-    return s if wm is None else s.filter(F.col("silver_updated_ts") > F.lit(wm).cast("timestamp"))
+    if wm is None:
+        return table.read()
+    buckets = table.buckets_updated_after(wm)
+    s = table.read(only=buckets)
+    return None if s is None else s.filter(F.col("silver_updated_ts") > F.lit(wm).cast("timestamp"))
 
 
 def run_gold(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | None = None) -> str:

@@ -78,7 +78,7 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-MANIFEST_SCHEMA = "version long, bucket string, data_version long, batch_id long"
+MANIFEST_SCHEMA = "version long, bucket string, data_version long, batch_id long, run_ts string"
 VERSION_DIR = "state_version"
 
 
@@ -131,6 +131,20 @@ class BucketedTable:
         cur = m.groupBy("bucket").agg(F.max_by("data_version", "version").alias("dv"))
         return [(r.bucket, r.dv) for r in cur.collect()]
 
+    def buckets_updated_after(self, ts: str) -> list[str] | None:
+        """Partitions whose current data was written by a run later than ``ts``
+        (both rendered ``yyyy-MM-dd HH:mm:ss.SSSSSS``); None if some partition's
+        run time is unknown, meaning everything must be read."""
+        m = self._manifest()
+        if m is None:
+            return []
+        cur = m.groupBy("bucket").agg(F.max_by("run_ts", "version").alias("t"),
+                                      F.max_by("data_version", "version").alias("dv")).filter(F.col("dv").isNotNull())
+        rows = cur.collect()
+        if any(r.t is None for r in rows):
+            return None
+        return [r.bucket for r in rows if r.t > ts]
+
     def read(self, only: list | None = None) -> DataFrame | None:
         """The current table, or only the partitions in ``only`` (their paths alone are
         listed and scanned: the pruning does not depend on the optimizer)."""
@@ -153,7 +167,8 @@ class BucketedTable:
         """Distinct partition values of ``df`` (bounded by the partition count)."""
         return [r[0] for r in df.select(self.bucket_col).distinct().collect()]
 
-    def merge(self, source: DataFrame, merge_touched, first_version, batch_id: int | None = None) -> int:
+    def merge(self, source: DataFrame, merge_touched, first_version, batch_id: int | None = None,
+              run_ts: str | None = None) -> int:
         """Read the touched partitions, merge, publish. ``merge_touched(target, source)``
         returns the merged rows of the touched partitions; ``first_version(source)``
         the rows of the first version."""
@@ -162,11 +177,12 @@ class BucketedTable:
             touched = self.touched_values(source)
             target = self.read(only=touched)
             merged = first_version(source) if target is None else merge_touched(target, source)
-            return self.commit(merged, touched, batch_id)
+            return self.commit(merged, touched, batch_id, run_ts)
         finally:
             source.unpersist()
 
-    def commit(self, touched_rows: DataFrame, touched_buckets: list, batch_id: int | None = None) -> int:
+    def commit(self, touched_rows: DataFrame, touched_buckets: list, batch_id: int | None = None,
+               run_ts: str | None = None) -> int:
         """Write the merged rows of ``touched_buckets`` as the next version and publish."""
         cur = self.latest_version()
         v = 0 if cur is None else cur + 1
@@ -181,7 +197,7 @@ class BucketedTable:
         except AnalysisException:
             pass  # nothing written: every touched bucket is now empty
         touched = sorted({str(b) for b in touched_buckets})
-        rows = [(v, b, v if b in written else None, batch_id) for b in touched]
+        rows = [(v, b, v if b in written else None, batch_id, run_ts) for b in touched]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
             f"{self.root}/_manifest")
         return v

@@ -56,12 +56,16 @@ def commit_bucketed(state: BucketedTable, source: DataFrame, spec: EntitySpec, r
     read, joined and rewritten. The touched-bucket ids (at most ``buckets``)
     are the only values collected to the driver."""
     source = source.withColumn(BUCKET, bucket_of([spec.primary_key], buckets))
+    # the run time, rendered once in the session zone, lets readers find the
+    # buckets this run rewrote (see BucketedTable.buckets_updated_after)
+    run_ts_text = source.sparkSession.range(1).select(
+        F.date_format(run_ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     return state.merge(
         source,
         lambda tgt, src: merge_current_state(tgt, src, spec, run_id, run_ts, bucket_col=BUCKET,
                                              touched_only=True, **merge_kw),
         lambda src: silver_merge(None, src, spec, run_id, run_ts),
-        batch_id)
+        batch_id, run_ts_text)
 
 
 def start_current_state_stream(bronze: DataFrame, writer: CurrentStateWriter, checkpoint: str,

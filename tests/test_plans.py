@@ -73,3 +73,20 @@ def test_bucketed_read_scans_only_touched_partitions(spark, scratch):
     part = t.read(only=touched)
     assert {r[0] for r in part.select("_bucket").distinct().collect()} == set(touched)
     assert len(part.inputFiles()) < len(t.read().inputFiles())
+
+
+def test_buckets_updated_after_watermark(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from revflow.operators.merge import bucket_of
+    from revflow.sources.tables import BucketedTable
+
+    t = BucketedTable(spark, f"{scratch}/u")
+    df = spark.range(500).select(F.col("id").alias("k")).withColumn("_bucket", bucket_of(["k"], 8))
+    t.commit(df, list(range(8)), run_ts="2024-01-01 00:00:00.000000")
+    one = df.filter(F.col("_bucket") == 3)
+    t.commit(one, [3], run_ts="2024-01-02 00:00:00.000000")
+    assert t.buckets_updated_after("2024-01-01 00:00:00.000000") == ["3"]
+    assert sorted(t.buckets_updated_after("2023-12-31 00:00:00.000000")) == [str(b) for b in range(8)]
+    t.commit(df, list(range(8)))  # a commit without a run time forces a full read
+    assert t.buckets_updated_after("2024-01-05 00:00:00.000000") is None
