@@ -534,8 +534,12 @@ def opportunity_snapshot(spark, sf) -> DataFrame:
     snap = build_snapshot(fact, AS_OF_SALES, "snapshot-20010801", OPPORTUNITY, _ts(AS_OF_SALES))
     table = _Table(spark, scratch_path(spark, "snapshots"), "snapshot_date")
     keys = list(OPPORTUNITY.snapshot.keys)
-    for _ in range(2):
-        table.merge(snap, lambda tgt, src: merge_snapshot(tgt, src, keys, touched_only=True), lambda src: src)
+    snap = snap.persist()  # one snapshot, stored and then rerun
+    try:
+        for _ in range(2):
+            table.merge(snap, lambda tgt, src: merge_snapshot(tgt, src, keys, touched_only=True), lambda src: src)
+    finally:
+        snap.unpersist()
     return table.read()
 
 

@@ -172,14 +172,17 @@ class BucketedTable:
         """Read the touched partitions, merge, publish. ``merge_touched(target, source)``
         returns the merged rows of the touched partitions; ``first_version(source)``
         the rows of the first version."""
-        source = source.persist()
+        owned = not source.is_cached  # a caller's cache is left in place
+        if owned:
+            source = source.persist()
         try:
             touched = self.touched_values(source)
             target = self.read(only=touched)
             merged = first_version(source) if target is None else merge_touched(target, source)
             return self.commit(merged, touched, batch_id, run_ts)
         finally:
-            source.unpersist()
+            if owned:
+                source.unpersist()
 
     def commit(self, touched_rows: DataFrame, touched_buckets: list, batch_id: int | None = None,
                run_ts: str | None = None) -> int:
