@@ -60,6 +60,9 @@ def commit_bucketed(state: BucketedTable, source: DataFrame, spec: EntitySpec, r
     # buckets this run rewrote (see BucketedTable.buckets_updated_after)
     run_ts_text = source.sparkSession.range(1).select(
         F.date_format(run_ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    # pinned: every row of this run carries exactly the time recorded in the manifest,
+    # even when the caller passed current_timestamp()
+    run_ts = F.to_timestamp(F.lit(run_ts_text))
     return state.merge(
         source,
         lambda tgt, src: merge_current_state(tgt, src, spec, run_id, run_ts, bucket_col=BUCKET,
