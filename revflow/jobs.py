@@ -315,8 +315,10 @@ def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract",
             cur = table.read()
             if cur is not None:
                 buckets = [b for b, _ in table.bucket_versions()]
-                # one clustered file per bucket: rows of a bucket stay in one task
-                table.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.primary_key), buckets)
+                # one clustered file per bucket: rows of a bucket stay in one task; the
+                # content is unchanged, so each bucket keeps its recorded run time
+                table.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.primary_key), buckets,
+                             run_ts=table.run_times())
                 done.append(table.root)
         except Exception:  # noqa: BLE001  one table's failure must not stop the others
             pass
@@ -327,7 +329,8 @@ def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract",
             cur = fact.read()
             if cur is not None:
                 buckets = [b for b, _ in fact.bucket_versions()]
-                fact.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.business_key), buckets)
+                fact.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.business_key), buckets,
+                            run_ts=fact.run_times())
                 done.append(fact.root)
         except Exception:  # noqa: BLE001
             pass

@@ -184,8 +184,16 @@ class BucketedTable:
             if owned:
                 source.unpersist()
 
+    def run_times(self) -> dict[str, str | None]:
+        """Each live partition's recorded run time (kept by rewrites such as compaction)."""
+        m = self._manifest()
+        if m is None:
+            return {}
+        cur = m.groupBy("bucket").agg(F.max_by("run_ts", "version").alias("t"))
+        return {r.bucket: r.t for r in cur.collect()}
+
     def commit(self, touched_rows: DataFrame, touched_buckets: list, batch_id: int | None = None,
-               run_ts: str | None = None) -> int:
+               run_ts: str | dict | None = None) -> int:
         """Write the merged rows of ``touched_buckets`` as the next version and publish."""
         cur = self.latest_version()
         v = 0 if cur is None else cur + 1
@@ -200,7 +208,8 @@ class BucketedTable:
         except AnalysisException:
             pass  # nothing written: every touched bucket is now empty
         touched = sorted({str(b) for b in touched_buckets})
-        rows = [(v, b, v if b in written else None, batch_id, run_ts) for b in touched]
+        ts_of = run_ts if isinstance(run_ts, dict) else {}
+        rows = [(v, b, v if b in written else None, batch_id, ts_of.get(b) if ts_of else run_ts) for b in touched]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
             f"{self.root}/_manifest")
         return v

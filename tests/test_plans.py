@@ -88,5 +88,7 @@ def test_buckets_updated_after_watermark(spark, scratch):
     t.commit(one, [3], run_ts="2024-01-02 00:00:00.000000")
     assert t.buckets_updated_after("2024-01-01 00:00:00.000000") == ["3"]
     assert sorted(t.buckets_updated_after("2023-12-31 00:00:00.000000")) == [str(b) for b in range(8)]
+    t.commit(df, list(range(8)), run_ts=t.run_times())  # a rewrite keeping each bucket's run time
+    assert t.buckets_updated_after("2024-01-01 00:00:00.000000") == ["3"]
     t.commit(df, list(range(8)))  # a commit without a run time forces a full read
     assert t.buckets_updated_after("2024-01-05 00:00:00.000000") is None
