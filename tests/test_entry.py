@@ -31,7 +31,8 @@ def duck():
 
 
 @pytest.mark.parametrize("name", ["rep_scorecard", "silver_current_state", "silver_incremental_merge",
-                                  "dq_reasons", "health_summary", "opportunity_snapshot", "change_feed"])
+                                  "dq_reasons", "health_summary", "opportunity_snapshot", "change_feed",
+                                  "silver_late_data", "gold_incremental_merge", "feed_formats", "dq_duplicate_keys"])
 def test_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     a, ac = rows_of(df.columns, [tuple(r) for r in df.collect()])
