@@ -58,7 +58,9 @@ def _q(name: str) -> str:
 
 def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 matched: Sequence[Clause], not_matched: Sequence[Clause]) -> DataFrame:
-    cols = target.columns
+    tgt_types = {f.name: f.dataType.simpleString() for f in target.schema.fields}  # one schema round trip
+    cols = list(tgt_types)
+    src_cols = set(source.columns)
     t = target.withColumn(_T, F.lit(True)).alias("tgt")
     s = source.withColumn(_S, F.lit(True)).alias("src")
     cond = None
@@ -86,7 +88,7 @@ def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str],
             if cl.action == DELETE:
                 continue
             if cl.action in (UPDATE_ALL, INSERT_ALL):
-                v = f"src.{_q(c)}" if c in source.columns else "NULL"
+                v = f"src.{_q(c)}" if c in src_cols else "NULL"
             elif c in cl.action:
                 h = f"__v{i}_{len(helpers)}"
                 helpers.append(cl.action[c].alias(h))
@@ -98,7 +100,7 @@ def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str],
             branches.append(f"WHEN {i} THEN {v}")
         base = f"tgt.{_q(c)}"
         expr = f"CASE {_q(_ACT)} {' '.join(branches)} ELSE {base} END" if branches else base
-        cases.append(f"CAST({expr} AS {target.schema[c].dataType.simpleString()}) AS {_q(c)}")
+        cases.append(f"CAST({expr} AS {tgt_types[c]}) AS {_q(c)}")
     j = j.select("*", act.alias(_ACT), *helpers).filter(~F.col(_ACT).isin(deleting))
     return j.selectExpr(*cases)
 
@@ -169,8 +171,9 @@ def merge_current_state(target: DataFrame, source: DataFrame, spec: EntitySpec,
     if time_guard:
         guard = _tgt("silver_last_event_ts").isNull() | (
             _src("bronze_business_event_ts") >= _tgt("silver_last_event_ts"))
-    cols = [c for c in target.columns]
-    upsert = {c: (_src(c) if c in source.columns else F.lit(None)) for c in cols}
+    cols = target.columns
+    src_cols = set(source.columns)
+    upsert = {c: (_src(c) if c in src_cols else F.lit(None)) for c in cols}
     upsert.update({active: F.lit(True), "silver_deleted_ts": F.lit(None), "silver_updated_ts": run_ts})
     if hard:
         on_delete = Clause(DELETE, src_del if guard is None else src_del & guard)

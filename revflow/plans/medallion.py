@@ -6,6 +6,7 @@ jobs that persist versions and control tables live in ``revflow.jobs``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -90,8 +91,21 @@ def silver_state_of_feed(feed: DataFrame, spec: EntitySpec, run_id: str, run_ts:
     return silver_merge(None, source, spec, run_id, run_ts)
 
 
+def bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int,
+                   partition_by: str | None = None) -> DataFrame:
+    """Store ``df`` at ``path`` (shared storage) as an external table bucketed by
+    ``key``; a join on ``key`` of two such tables with the same bucket count
+    reads both sides co-partitioned and needs no exchange."""
+    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def merge_batches(spark, valid: DataFrame, spec: EntitySpec, batch_col: str, stage_path: str,
-                  run_id_of, run_ts_of, tie_breakers: Sequence[str | Column] = (), **merge_kw) -> DataFrame:
+                  run_id_of, run_ts_of, tie_breakers: Sequence[str | Column] = (), buckets: int | None = None,
+                  **merge_kw) -> DataFrame:
     """The incremental path: apply M1 to each batch of ``valid`` in order.
 
     Every batch's dedup is independent of the others, so the winners of all
@@ -101,17 +115,32 @@ def merge_batches(spark, valid: DataFrame, spec: EntitySpec, batch_col: str, sta
     the shared checkpoint folder, which also cuts the lineage. The loop count
     is the number of batches, not rows. ``run_id_of`` / ``run_ts_of`` map a
     batch value to its run id and run time.
+
+    The staged winners and every state version are tables bucketed by the key
+    with one bucket count (default: the session's shuffle partitions), so each
+    batch's full outer join reads both sides co-partitioned: the state, which
+    grows with the data, is never shuffled; each task merges and writes one
+    bucket. The winners are repartitioned by key once (at most one row per key
+    and batch), so each bucket and batch is one file.
     """
-    winners = latest_per_key(valid, [spec.primary_key, batch_col], silver_order(tie_breakers))
-    winners.write.mode("overwrite").partitionBy(batch_col).parquet(f"{stage_path}/winners")
-    staged = spark.read.parquet(f"{stage_path}/winners")
+    key = spec.primary_key
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = "revflow_" + re.sub(r"[^0-9a-zA-Z]", "_", stage_path.rstrip("/").rsplit("/", 1)[-1])
+    winners = latest_per_key(valid, [key, batch_col], silver_order(tie_breakers))
+    staged = bucketed_table(winners.repartition(n, key), f"{tag}_winners", f"{stage_path}/winners", key, n,
+                            partition_by=batch_col)
     batches = [r[0] for r in staged.select(batch_col).distinct().orderBy(batch_col).collect()]
-    state = None
+    state, state_name = None, None
     for i, b in enumerate(batches):
         run_id, run_ts = run_id_of(b), F.lit(run_ts_of(b)).cast("timestamp")
         inc = staged.filter(F.col(batch_col) == F.lit(b)).drop(batch_col)
         src = prepare_silver_source(inc, spec, run_id, run_ts)
         merged = silver_merge(state, src, spec, run_id, run_ts, **merge_kw)
-        merged.write.mode("overwrite").parquet(f"{stage_path}/state-{i:05d}")
-        state = spark.read.schema(merged.schema).parquet(f"{stage_path}/state-{i:05d}")
+        if state is None:
+            merged = merged.repartition(n, key)  # the first version: one file per bucket
+        name = f"{tag}_state_{i:05d}"
+        state = bucketed_table(merged, name, f"{stage_path}/state-{i:05d}", key, n)
+        if state_name is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {state_name}")  # external: only the catalog entry goes
+        state_name = name
     return state
