@@ -92,3 +92,30 @@ def test_buckets_updated_after_watermark(spark, scratch):
     assert t.buckets_updated_after("2024-01-01 00:00:00.000000") == ["3"]
     t.commit(df, list(range(8)))  # a commit without a run time forces a full read
     assert t.buckets_updated_after("2024-01-05 00:00:00.000000") is None
+
+
+def test_batch_merge_loop_joins_bucketed_state_without_exchange(spark, scratch):
+    """Each batch's merge reads the key-bucketed state and staged winners co-partitioned."""
+    from pyspark.sql import functions as F
+
+    import revflow.plans.medallion as M
+    from revflow.plans import registry as R
+
+    seen = []
+    orig = M.bucketed_table
+
+    def spy(df, name, *a, **k):
+        seen.append(plan_of(df))
+        return orig(df, name, *a, **k)
+
+    M.bucketed_table = spy
+    try:
+        R.prepare(spark)
+        valid = R.event_valid(spark, SF).filter(F.col("batch_date") <= F.to_date(F.lit("2024-01-03")))
+        state = M.merge_batches(spark, valid, R.EVENT_SPEC, "batch_date", scratch, R._run_id_of, R._run_ts_of,
+                                R.EVENT_TIE_BREAKERS)
+    finally:
+        M.bucketed_table = orig
+    merges = [p for p in seen[2:]]  # winners staging and the first version come first
+    assert merges and all("SortMergeJoin" in p and "Exchange" not in p for p in merges)
+    assert state.count() == R.event_state(spark, SF, where=F.col("batch_date") <= F.to_date(F.lit("2024-01-03"))).count()
