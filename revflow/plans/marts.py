@@ -80,15 +80,27 @@ def _tagged_counts(parts: dict[str, DataFrame]) -> DataFrame:
 def quote_conversion(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_contract: DataFrame) -> DataFrame:
     """Share of opportunities with a quote and of quotes with a contract (one row).
 
-    Each right side is reduced to distinct keys map-side before its semi join,
-    so the shuffles carry keys only.
+    Each fact is read once. Quotes are flagged by a left join with the distinct
+    contracted quote ids, then counted per opportunity (partial aggregation, so
+    an opportunity with a third of all quotes collapses map-side); one full
+    outer join with the opportunity keys, unique on both sides, gives all four
+    counts in a single aggregation.
     """
-    quoted = fact_opportunity.select("opportunity_id").join(
-        fact_quote.select("opportunity_id").distinct(), "opportunity_id", "left_semi")
-    contracted = fact_quote.select("quote_id").join(
-        fact_contract.select("quote_id").distinct(), "quote_id", "left_semi")
-    counts = _tagged_counts({"opportunity_count": fact_opportunity, "opportunities_with_quote": quoted,
-                             "quote_count": fact_quote, "quotes_with_contract": contracted})
+    contracted = fact_contract.select("quote_id").distinct().withColumn("__contracted", F.lit(True))
+    per_opportunity = (
+        fact_quote.select("quote_id", "opportunity_id")
+        .join(contracted, "quote_id", "left")
+        .groupBy("opportunity_id")
+        .agg(F.count(F.lit(1)).alias("__quotes"), F.count("__contracted").alias("__contracted_quotes"))
+    )
+    opportunities = fact_opportunity.select("opportunity_id", F.lit(True).alias("__opportunity"))
+    counts = opportunities.join(per_opportunity, "opportunity_id", "full_outer").agg(
+        F.count("__opportunity").alias("opportunity_count"),
+        F.count_if(F.col("__opportunity").isNotNull() & F.col("__quotes").isNotNull())
+        .alias("opportunities_with_quote"),
+        F.coalesce(F.sum("__quotes"), F.lit(0)).cast("bigint").alias("quote_count"),
+        F.coalesce(F.sum("__contracted_quotes"), F.lit(0)).cast("bigint").alias("quotes_with_contract"),
+    )
     return counts.select(
         "opportunity_count", "opportunities_with_quote",
         F.when(F.col("opportunity_count") > 0, F.col("opportunities_with_quote") / F.col("opportunity_count"))
