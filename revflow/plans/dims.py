@@ -36,16 +36,20 @@ def dim_sales_owner(owners: DataFrame) -> DataFrame:
     return owners.select(F.col("owner_id").alias("owner_key"), "owner_id", "owner_name", "region", "department")
 
 
-def standard_stage(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_activity: DataFrame) -> DataFrame:
+def standard_stage(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_activity: DataFrame,
+                   keep_last_activity: bool = False) -> DataFrame:
     """Won / Lost / Closed from the state; open deals are Quoted when a quote
     exists, In Progress when an activity exists, else Open.
 
-    The quote and activity sides are reduced to distinct opportunity ids
-    (map-side) before the left joins.
+    The quote and activity sides are reduced to one row per opportunity id
+    (map-side) before the left joins. The activity side is the X7 aggregate,
+    so ``keep_last_activity`` also returns ``last_activity_date`` from the same
+    pass instead of a second read of the activity fact.
     """
     q = fact_quote.select("opportunity_id").distinct().withColumn("__has_quote", F.lit(True))
-    a = fact_activity.select("opportunity_id").filter(F.col("opportunity_id").isNotNull()).distinct() \
-        .withColumn("__has_activity", F.lit(True))
+    a = last_activity(fact_activity).withColumn("__has_activity", F.lit(True))
+    if not keep_last_activity:
+        a = a.drop("last_activity_date")
     f = fact_opportunity.join(q, "opportunity_id", "left").join(a, "opportunity_id", "left")
     st = F.col("state_code")
     std = (F.when(st == "Won", F.lit("Won")).when(st == "Lost", F.lit("Lost"))
@@ -107,10 +111,9 @@ def opportunity_star(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_ac
     grow with the data, so they are plain equi-joins and AQE broadcasts them
     only when their measured size is under the broadcast threshold.
     """
-    staged = standard_stage(fact_opportunity, fact_quote, fact_activity)
+    staged = standard_stage(fact_opportunity, fact_quote, fact_activity, keep_last_activity=True)
     owner = dim_sales_owner(owners).select("owner_id", "owner_key")
     return (staged.join(owner, "owner_id", "left")
-            .join(last_activity(fact_activity), "opportunity_id", "left")
             .select(
                 F.col("opportunity_id").alias("opportunity_key"), "owner_key",
                 stage_order(F.col("standard_stage")).alias("stage_key"),
