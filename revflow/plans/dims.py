@@ -47,9 +47,11 @@ def standard_stage(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_acti
     pass instead of a second read of the activity fact.
     """
     q = fact_quote.select("opportunity_id").distinct().withColumn("__has_quote", F.lit(True))
-    a = last_activity(fact_activity).withColumn("__has_activity", F.lit(True))
-    if not keep_last_activity:
-        a = a.drop("last_activity_date")
+    if keep_last_activity:
+        a = last_activity(fact_activity)
+    else:
+        a = fact_activity.select("opportunity_id").filter(F.col("opportunity_id").isNotNull()).distinct()
+    a = a.withColumn("__has_activity", F.lit(True))
     f = fact_opportunity.join(q, "opportunity_id", "left").join(a, "opportunity_id", "left")
     st = F.col("state_code")
     std = (F.when(st == "Won", F.lit("Won")).when(st == "Lost", F.lit("Lost"))
