@@ -63,3 +63,19 @@ def test_standard_stage_and_dims(spark):
     d = dims.dim_date(opp, "created_date").collect()
     assert [r.date_key for r in d] == [20010101, 20010102, 20010103] and d[0].weekday == 1  # a Monday
     assert dims.dim_stage(dims.standard_stage(opp, quotes, acts)).count() == 5
+
+
+def test_quote_conversion_edges(spark):
+    """IN semantics: a quote whose opportunity is unknown or NULL counts as a quote but
+    marks no opportunity; several quotes of one opportunity mark it once; a contract
+    for an unknown quote counts nothing."""
+    opp = spark.createDataFrame([(1,), (2,), (3,)], "opportunity_id long")
+    quotes = spark.createDataFrame([(10, 1), (11, 1), (12, 2), (13, 9), (14, None)],
+                                   "quote_id long, opportunity_id long")
+    contracts = spark.createDataFrame([(10,), (10,), (13,), (99,), (None,)], "quote_id long")
+    r = marts.quote_conversion(opp, quotes, contracts).first()
+    assert (r.opportunity_count, r.opportunities_with_quote, r.quote_count, r.quotes_with_contract) == (3, 2, 5, 2)
+    assert r.opportunity_to_quote_rate == 2 / 3 and r.quote_to_contract_rate == 2 / 5
+    empty = marts.quote_conversion(opp.limit(0), quotes.limit(0), contracts.limit(0)).first()
+    assert (empty.opportunity_count, empty.quote_count, empty.quotes_with_contract) == (0, 0, 0)
+    assert empty.opportunity_to_quote_rate is None and empty.quote_to_contract_rate is None
