@@ -602,11 +602,7 @@ def q_stale_watermarks(spark, sf):
     from revflow.plans.oracle_sql import AS_OF_OPS_LATE
 
     wm = control.mark_current(feeds.watermark_events(spark, sf), ["updated_ts", "run_id"])
-    out = None
-    for as_of in (AS_OF_OPS, AS_OF_OPS_LATE):
-        v = ops_views.stale_watermarks(wm, as_of).withColumn("as_of", _ts(as_of))
-        out = v if out is None else out.unionByName(v)
-    return finalize(out)
+    return finalize(ops_views.stale_watermarks_at(wm, [AS_OF_OPS, AS_OF_OPS_LATE]))
 
 
 @query("run_registry_fold")
