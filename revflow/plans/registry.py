@@ -610,18 +610,20 @@ def q_run_fold(spark, sf):
     """M6 + M7: start and end events per run folded into the registry."""
     prepare(spark)
     runs = feeds.run_events(spark, sf)
-    start = runs.select(*[F.col(c) if c in ("run_id", "parent_run_id", "pipeline_name", "entity_name", "layer_name",
-                                            "trigger_type", "attempt_no", "run_start_ts", "created_ts")
-                          else (F.lit("running") if c == "status" else
-                                F.lit(0).cast("long") if c == "rows_quarantined" else
-                                F.col("run_start_ts") if c == "updated_ts" else
-                                F.lit(None).cast(runs.schema[c].dataType)).alias(c) for c in runs.columns])
-    end = runs.select(*[F.col(c) if c in ("run_id", "run_end_ts", "status", "source_high_watermark",
-                                          "source_row_count", "target_row_count", "rows_quarantined",
-                                          "error_message")
-                        else (F.col("run_end_ts") if c == "updated_ts" else
-                              F.lit(None).cast(runs.schema[c].dataType)).alias(c) for c in runs.columns])
-    return control.fold_runs(start.unionByName(end))
+    types = {f.name: f.dataType for f in runs.schema.fields}
+    start = [F.col(c) if c in ("run_id", "parent_run_id", "pipeline_name", "entity_name", "layer_name",
+                                "trigger_type", "attempt_no", "run_start_ts", "created_ts")
+             else (F.lit("running") if c == "status" else
+                   F.lit(0).cast("long") if c == "rows_quarantined" else
+                   F.col("run_start_ts") if c == "updated_ts" else
+                   F.lit(None)).cast(types[c]).alias(c) for c in runs.columns]
+    end = [F.col(c) if c in ("run_id", "run_end_ts", "status", "source_high_watermark", "source_row_count",
+                              "target_row_count", "rows_quarantined", "error_message")
+           else (F.col("run_end_ts") if c == "updated_ts" else F.lit(None)).cast(types[c]).alias(c)
+           for c in runs.columns]
+    # one scan: each run row yields its start and its end event (a generator, no second read)
+    events = runs.select(F.explode(F.array(F.struct(*start), F.struct(*end))).alias("__e")).select("__e.*")
+    return control.fold_runs(events)
 
 
 @query("run_metrics")
