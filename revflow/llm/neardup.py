@@ -7,9 +7,11 @@ all elements together, and a document stops at the first rank after which no slo
 propose larger values. Documents that agree on all slots of a band are candidates.
 
 Equal sets are first folded into one representative, so exact copies never meet in a bucket. In each bucket every document is
-verified against the bucket's smallest id, on the full sets; verified links give components; only documents of one bucket that
-are still in different components are then compared with each other. Links inside a component change nothing, so they are not
-enumerated, and the components equal those of all candidate pairs.
+verified against the bucket's smallest id, on the full sets; verified links give components. Documents of one bucket that are still in
+different components are then compared by longer signatures of FINE slots, inside tasks and in blocks of about BLOCK documents, each
+pair in the first bucket that it shares; pairs whose share of equal slots is above the threshold less 4.5 standard deviations (a
+link lies below with probability 3e-6) are verified on the full sets as well. Links inside a component change nothing, so
+they are not enumerated, and the components equal those of all candidate pairs.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and is its own
 component. A document with fewer words than a shingle has its whole word sequence as one shingle. Rows that share a doc_id are
@@ -32,6 +34,7 @@ from revflow.llm.graph import components, staged
 
 #: 32 bands of 6 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**32 = 6e-5, at 0.85 with 3e-7.
 BANDS, ROWS = 32, 6
+FINE, BLOCK = 1024, 2048
 
 _G, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S27, _S30, _S31, _S32, _LOW = np.uint64(27), np.uint64(30), np.uint64(31), np.uint64(32), np.uint64(0xFFFFFFFF)
@@ -128,6 +131,26 @@ def sketch(docs: DataFrame, words: int = 2, bands: int = BANDS, rows: int = ROWS
     return map_rows(docs, start, "id long, n long, digest binary, keys array<long>")
 
 
+def _fine(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+    """(id, n, keys, sig): the band keys again, as bytes, and one byte of each of FINE slots."""
+
+    def start():
+        def work(b: pa.RecordBatch) -> pa.RecordBatch:
+            out = []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                s = shingle_set(t, words)
+                if len(s):
+                    sig = (_mix(signatures([s], FINE)[0]) & np.uint64(255)).astype(np.uint8)
+                    out.append((i, len(s), band_keys(signatures([s], bands * rows), bands, rows)[0].tobytes(), sig.tobytes()))
+            cols = zip(*out) if out else ((), (), (), ())
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "n", "keys", "sig"])
+
+        return work
+
+    return map_rows(docs, start, "id long, n long, keys binary, sig binary").distinct()
+
+
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     def start():
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -149,6 +172,71 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
             .filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b").distinct())
 
 
+def _similar(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``rows(key, hub, id, n, component, keys, sig)``: same key, different components, sizes and signatures near enough.
+
+    A key's rows are dealt to blocks by id, and each pair of blocks is compared in one task; only the pairs found leave it.
+    """
+    count = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(count, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "hub", "n", "component", "keys", "sig")
+    group = ["key", "i", "j"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    share = percent / 100
+    least = FINE * share - 4.5 * (FINE * share * (1 - share)) ** 0.5
+
+    def compare(key, part):
+        part = [r for r in part if key in np.frombuffer(r[5], np.int64)]  # not another text under the same id
+        if not part:
+            return
+        own, ids, hubs, n, comp = (np.array(c) for c in list(zip(*part))[:5])
+        keys = np.frombuffer(b"".join(r[5] for r in part), np.int64).reshape(len(part), -1)
+        sig = np.frombuffer(b"".join(r[6] for r in part), np.uint8).reshape(len(part), -1)
+        band = int(np.flatnonzero(keys[0] == key)[0])
+        lone = own.min() == own.max()
+        for x in range(len(part)):
+            if ids[x] == hubs[x]:
+                continue
+            can = (comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])) & (ids > ids[x]) & (ids != hubs)
+            if not lone:
+                can &= own != own[x]
+            at = np.flatnonzero(can)
+            at = at[~(keys[at, :band] == keys[x, :band]).any(1)]
+            if len(at):
+                for y in at[(sig[at] == sig[x]).sum(1) >= least].tolist():
+                    yield int(ids[x]), int(ids[y])
+
+    def run(batches):
+        found, key, part = [], None, []
+
+        def rows_of():
+            for b in batches:
+                yield from zip(*(c.to_pylist() for c in b.columns))
+
+        def batch():
+            a, b = zip(*found)
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for r in rows_of():
+            if r[:3] != key:
+                # blocks i and j of one key: rows of a single block are compared where i and j are that block
+                if len(part) > 1 and (key[1] == key[2] or len({x[0] for x in part}) == 2):
+                    found += compare(key[0], part)
+                key, part = r[:3], []
+                if len(found) >= 20_000:
+                    yield batch()
+                    found = []
+            part.append(r[3:])
+        if len(part) > 1 and (key[1] == key[2] or len({x[0] for x in part}) == 2):
+            found += compare(key[0], part)
+        if found:
+            yield batch()
+
+    return dealt.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 2, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; see the module's text."""
@@ -164,11 +252,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = staged(slots.join(crowded, "key"), "buckets")
     sizes = members.select("id", "n").distinct()
 
-    def near_sizes(p: DataFrame) -> DataFrame:
-        return p.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-
     spokes = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
-    spokes = near_sizes(spokes.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a"))
+    spokes = spokes.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
+    spokes = spokes.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
     links = staged(verified(spokes, src, words, percent), "links")
     edges = edges.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     comp = components(edges)
@@ -176,10 +262,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = members.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     rest = staged(placed.join(mixed, "key"), "mixed")
-    left, right = (rest.select("key", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("hub").alias(f"h{x}"))
-                   for x in "ab")
-    cross = left.join(right, "key").filter("a < b and ca <> cb and a <> ha")
-    more = staged(verified(near_sizes(cross), src, words, percent), "more-links")
+    rest = rest.join(_fine(src.join(rest.select("id").distinct(), "id", "left_semi"), words, bands, rows), ["id", "n"])
+    more = staged(verified(_similar(rest, percent), src, words, percent), "more-links")
     if more.take(1):
         comp = components(edges.unionByName(more.select(F.col("b").alias("u"), F.col("a").alias("v"))))
     found = rows_of.select("id", "n").join(comp.withColumnRenamed("node", "id"), "id", "left")
