@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revflow.llm.common import map_rows, unused
+from revflow.llm.graph import staged
 
 GAP, LEAST, SEED = 24, 96, 4242
 GEAR = np.random.default_rng(SEED).integers(0, 1 << 16, 256, dtype=np.uint16)
@@ -87,6 +88,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = chunk_rows(docs, id_col, text_col, gap, least)
     shared = rows.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("digest", "lo")
+    shared = staged(shared, "repeated")  # a plain scan on this side lets the skew join split a digest that very many documents hold
     found = rows.join(shared, "digest").select("id", "start", "end", "lo")
     before = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)

@@ -55,6 +55,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = staged(low, f"{name}-low")  # a plain scan, so that the skew join can split a hub's edges
         star = both.join(low, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = star.groupBy("u").agg(F.min("v").alias("m"))
         hooked = star.join(low, "u").select(

@@ -243,13 +243,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows_of = staged(sketch(src, words, bands, rows), "sketch")
     known = rows_of.filter("n > 0 and id is not null")
-    reps = known.groupBy("digest").agg(F.min(F.struct("id", "n", "keys")).alias("r")).select("digest", "r.*")
-    copies = known.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest").filter("id <> rep")
-    edges = staged(copies.select(F.col("id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
+    # staged, so that joins with them read plain scans and the skew join can split a hot digest or bucket
+    firsts = staged(known.groupBy("digest").agg(F.min("id").alias("rep")), "firsts")
+    classes = known.join(firsts, "digest")
+    edges = staged(classes.filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
 
-    slots = reps.select("id", "n", F.explode("keys").alias("key"))
+    slots = classes.filter("id = rep").select("id", "n", F.explode("keys").alias("key"))
     crowded = slots.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")
-    members = staged(slots.join(crowded, "key"), "buckets")
+    crowded = staged(crowded, "crowded")
+    members = staged(slots.join(crowded, "key").distinct(), "buckets")
     sizes = members.select("id", "n").distinct()
 
     spokes = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
