@@ -178,7 +178,9 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "
     short = staged(wanted.join(enough, F.col("key") == F.col("qkey"), "left_anti").select("key", "dim", "v"), "short")
     if short.take(1):
         every = placed.filter("t = 0")
-        ask = short.withColumn("block", spread(F.lit(blocks)).cast("int")).join(every.select("dim", "shard", "block").distinct(), ["dim", "block"])
+        shards = sizes.filter("t = 0").select("dim", "shards").distinct()
+        ask = (short.join(shards, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
+               .withColumn("block", spread(F.lit(blocks)).cast("int")))
         ask = ask.select("dim", F.lit(0).alias("t"), "shard", "block", "key", "v", F.lit(None).cast("array<long>").alias("codes"))
         exact = ask.groupBy(*on).cogroup(every.groupBy(*on)).applyInPandas(_nearest(keep), result)
         found = found.unionByName(exact).distinct()

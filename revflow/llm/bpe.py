@@ -109,7 +109,7 @@ class Codec:
             if len(k) == 2:
                 self.pair[k[0] << 8 | k[1]] = r
         self.split = regex.compile(pattern).findall
-        self.memo = Memo(self.piece, 400_000)
+        self.memo = Memo(self.piece, 250_000)
 
     def piece(self, token: str) -> tuple[int, ...]:
         data = token.encode()

@@ -84,20 +84,20 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gap: int = GAP, least: int = LEAST) -> DataFrame:
     """(doc_id, start, end, n_chunks, first_doc_id, is_first) for every stretch that other documents hold too.
 
-    ``first_doc_id`` is the smallest id that holds one of its chunks; ``is_first``: this document is the first holder of all of them.
+    ``is_first``: this document is the smallest id that holds the stretch's chunks; chunks first held here and chunks first held
+    elsewhere make separate spans. ``first_doc_id`` is the smallest id that holds one of the chunks.
     """
     rows = chunk_rows(docs, id_col, text_col, gap, least)
     shared = rows.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("digest", "lo")
     shared = staged(shared, "repeated")  # a plain scan on this side lets the skew join split a digest that very many documents hold
-    found = rows.join(shared, "digest").select("id", "start", "end", "lo")
-    before = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.join(shared, "digest").select("id", "start", "end", "lo", (F.col("lo") == F.col("id")).alias("own"))
+    in_order = Window.partitionBy("id", "own").orderBy("start", "end")
+    before, upto = in_order.rowsBetween(Window.unboundedPreceding, -1), in_order.rowsBetween(Window.unboundedPreceding, 0)
     opens = (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int")
     spans = found.withColumn("opens", opens).withColumn("span", F.sum("opens").over(upto))
-    return spans.groupBy("id", "span").agg(
+    return spans.groupBy("id", "own", "span").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"), F.min("lo").alias("first_doc_id"),
-        (F.max("lo") == F.col("id")).alias("is_first"),
-    ).select(F.col("id").alias("doc_id"), "start", "end", "n_chunks", "first_doc_id", "is_first")
+    ).select(F.col("id").alias("doc_id"), "start", "end", "n_chunks", "first_doc_id", F.col("own").alias("is_first"))
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -106,6 +106,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = (repeated_spans(docs, id_col, text_col, **how).filter("not is_first").groupBy(F.col("doc_id").alias(key))
              .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cuts)))
     joined = docs.join(spans, F.col(id_col).cast("long") == F.col(key), "left")
+    # spans of one kind are disjoint and in order
     edges = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda s: s["end"]))
     ends = F.concat(F.transform(cuts, lambda s: s["start"]), F.array(F.length(text_col)))
     parts = F.zip_with(edges, ends, lambda a, b: F.substring(F.col(text_col), a + 1, b - a))

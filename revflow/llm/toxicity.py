@@ -2,8 +2,8 @@
 
 Words are compared by their three-letter subsequences within five letters, each weighted DECAY to the power of the letters
 it spans, so inserted letters lower the similarity but do not break it; signs and digits inside a word are removed first and
-spelled-out letters ("i d i o t") are joined. The word kernel is the normalised inner product of these weights to the power
-POWER; the sentence kernel is the sum over the word pairs of two sentences. Landmark words give the Nystroem map K_mm^(-1/2) k_m, on
+spelled-out letters ("i d i o t") are joined. The word kernel is the inner product of these weights, divided by the lengths of
+both words' lists of occurrence weights, to the power POWER; the sentence kernel is the sum over the word pairs of two sentences. Landmark words give the Nystroem map K_mm^(-1/2) k_m, on
 which a linear support vector machine is trained. Because the map is additive over words, a word's part of the decision is one
 number, remembered by word. A sentence counts each of its distinct words once and is cut into pieces of at most PIECE words; a
 document's score is the logistic value of the mean of its TOP highest pieces (of all its pieces, if fewer).
