@@ -100,8 +100,9 @@ def with_duplicate_key_reason(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     instead buffer a hot key's rows in one task.
     """
     dups = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).filter(F.col("__copies") > 1)
-            .select(*keys, F.lit("DUPLICATE_KEY").alias("__dup")))
-    flagged = df.join(dups, list(keys), "left")
+            .select(*(F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)), F.lit("DUPLICATE_KEY").alias("__dup")))
+    same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)]  # a NULL key repeats like any other
+    flagged = df.join(dups, same, "left").drop(*(f"__key{i}" for i in range(len(keys))))
     return add_reasons(flagged, [F.col("__dup")]).drop("__dup")
 
 
@@ -187,16 +188,16 @@ def build_bad_records(
 ) -> DataFrame:
     """The 11-column quarantine envelope.
 
-    ``quarantine_id`` defaults to a hash of (run, entity, layer, whole row), so a
-    re-run of the same increment produces the same ids and can be merged
-    instead of appended twice.
+    ``quarantine_id`` defaults to a hash of (entity, layer, whole row) without the
+    run, so another run over the same rows gives the same ids and
+    ``new_bad_records`` appends none of them twice.
     """
     cols = invalid.columns
     raw = F.to_json(F.struct(*[F.col(c) for c in cols]))
     key = F.col(key_col).cast("string") if key_col and key_col in cols else F.lit(None).cast("string")
     src_file = F.col("bronze_source_file_path") if "bronze_source_file_path" in cols else F.lit(None).cast("string")
     if quarantine_id is None:
-        quarantine_id = F.sha2(F.concat_ws("\u0001", F.lit(run_id), F.lit(entity_name), F.lit(layer_name), raw), 256)
+        quarantine_id = F.sha2(F.concat_ws("\u0001", F.lit(entity_name), F.lit(layer_name), raw), 256)
     reasons = F.concat_ws("|", F.col(REASONS))
     return invalid.select(
         quarantine_id.alias("quarantine_id"),
@@ -211,3 +212,8 @@ def build_bad_records(
         F.lit("quarantined").alias("status"),
         (quarantined_ts if quarantined_ts is not None else F.current_timestamp()).alias("quarantined_ts"),
     )
+
+
+def new_bad_records(bad: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows of ``bad`` that are not quarantined yet. Equal bad rows of one run share an id and are all kept."""
+    return bad.join(stored.select("quarantine_id").distinct(), "quarantine_id", "left_anti").select(*bad.columns)

@@ -13,8 +13,9 @@ A workspace is one shared folder (a path on the cluster's shared storage):
 Every run logs start and end events, reads increments strictly after its
 layer's watermark and writes the next version before moving the watermark.
 A crash between the two repeats the increment, which the merges absorb
-(they are idempotent), and quarantine ids are content hashes, so a repeated
-increment's bad rows can be told apart from new ones.
+(they are idempotent), and quarantine ids are content hashes without the run,
+so a repeated increment adds no bad row twice. A backfill never lowers a
+watermark and never overwrites newer rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from revflow.functions.quality import new_bad_records
 from revflow.operators import control
 from revflow.operators.facts import build_activity_rows, build_fact_rows
 from revflow.operators.merge import BUCKET, bucket_of, merge_fact, merge_snapshot
@@ -88,7 +90,8 @@ class Workspace:
                self.path("control", "pipeline_watermark"))
 
     def watermark(self, entity: str, layer: str):
-        return control.get_current_watermark(self.watermarks(), entity, layer)
+        events = self._read("pipeline_watermark", control.WATERMARK_SCHEMA)
+        return control.latest_watermark(events, entity, layer)
 
 
 WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -169,8 +172,9 @@ def run_silver(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | Non
 
     def body():
         run_ts = F.lit(now).cast("timestamp")
-        bronze = ws.spark.read.parquet(ws.path("bronze", spec.name))
-        inc = silver_increment(bronze, None if backfill else ws.watermark(spec.name, "silver"), backfill)
+        bronze = ws.spark.read.option("mergeSchema", "true").parquet(ws.path("bronze", spec.name))
+        mark = ws.watermark(spec.name, "silver")
+        inc = silver_increment(bronze, None if backfill else mark, backfill)
         inc = inc.persist()  # read by the emptiness probe, the counts and the merge
         try:
             if inc.isEmpty():
@@ -181,10 +185,12 @@ def run_silver(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | Non
             bad = bad.persist()
             n_bad = bad.count()
             if n_bad:
-                append(bad, ws.path("control", "bad_records"), ["entity_name"])
-            commit_bucketed(ws.silver(spec.name), source, spec, run_id, run_ts, ws.buckets, time_guard=time_guard)
+                append(new_bad_records(bad, ws.bad_records()), ws.path("control", "bad_records"), ["entity_name"])
+            commit_bucketed(ws.silver(spec.name), source, spec, run_id, run_ts, ws.buckets,
+                            time_guard=time_guard or backfill is not None)
             bad.unpersist()
             hw = stats["hw"] or _wm_now(now)  # A3 over every row read, valid or not
+            hw = max(hw, mark or hw)  # both in WATERMARK_FORMAT; a backfill never lowers the mark
             status = "partial_success" if n_bad else "success"
             _end(ws, run_id, utcnow(), status=status, source_high_watermark=str(hw), source_row_count=stats["n"],
                  target_row_count=stats["n"] - n_bad, rows_quarantined=n_bad)
@@ -221,8 +227,8 @@ def run_gold(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | None
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
         rows = build_fact_rows(inc, spec, F.lit(now).cast("timestamp"))
-        rows = rows.withColumn(BUCKET, bucket_of([spec.business_key], ws.buckets))
         fact = ws.gold(f"fact_{spec.name}")
+        rows = rows.withColumn(BUCKET, bucket_of([spec.business_key], fact.bucket_count(ws.buckets)))
         fact.merge(rows, lambda tgt, src: merge_fact(tgt, src, spec.business_key, BUCKET, touched_only=True),
                    _first_fact)
         if spec.serving_view:
@@ -250,12 +256,15 @@ def run_activity(ws: Workspace, run_id: str, now: datetime | None = None, duplic
 
     def body():
         phone, appt = ws.silver(PHONECALL.name).read(), ws.silver(APPOINTMENT.name).read()
-        if phone is None or appt is None:
+        if phone is None and appt is None:
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
+        # a kind without a silver table yet has no rows; the other kind is built all the same
+        phone = appt.limit(0) if phone is None else phone
+        appt = phone.limit(0) if appt is None else appt
         rows = build_activity_rows(phone.drop(BUCKET), appt.drop(BUCKET), F.lit(now).cast("timestamp"), duplicates)
-        rows = rows.withColumn(BUCKET, bucket_of(["activity_id"], ws.buckets))
         fact = ws.gold("fact_activity")
+        rows = rows.withColumn(BUCKET, bucket_of(["activity_id"], fact.bucket_count(ws.buckets)))
         fact.merge(rows, lambda tgt, src: merge_fact(tgt, src, "activity_id", BUCKET, touched_only=True),
                    _first_fact)
         publish_view(fact.read().drop(BUCKET), PHONECALL.serving_view)
@@ -304,39 +313,42 @@ def serving_views(ws: Workspace, as_of: str) -> dict[str, DataFrame]:
 
 
 def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract", "phonecall", "appointment")
-                    ) -> list[str]:
-    """Compact the current silver and gold tables into new versions; a
-    table that fails is reported and skipped, the others continue."""
-    done = []
-    for e in entities:
-        spec = _spec(e)
-        try:
-            table = ws.silver(e)
-            cur = table.read()
-            if cur is not None:
-                buckets = [b for b, _ in table.bucket_versions()]
-                # one clustered file per bucket: rows of a bucket stay in one task; the
-                # content is unchanged, so each bucket keeps its recorded run time
-                table.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.primary_key), buckets,
-                             run_ts=table.run_times())
-                done.append(table.root)
-        except Exception:  # noqa: BLE001  one table's failure must not stop the others
-            pass
-        if e in ("phonecall", "appointment"):
-            continue
+                    ) -> dict[str, str]:
+    """Compact the silver tables of ``entities``, their facts and fact_activity into new versions.
+
+    Returns each table's outcome: ``compacted``, ``absent`` or the error; a failed
+    table is also logged as a failed run, and the others continue.
+    """
+    kinds = (PHONECALL.name, APPOINTMENT.name)
+    tables = [(f"silver/{e}", ws.silver(e), _spec(e).primary_key) for e in entities]
+    tables += [(f"gold/fact_{e}", ws.gold(f"fact_{e}"), _spec(e).business_key) for e in entities if e not in kinds]
+    if any(e in kinds for e in entities):
+        tables.append(("gold/fact_activity", ws.gold("fact_activity"), "activity_id"))
+    done = {}
+    for name, table, key in tables:
         try:
-            fact = ws.gold(f"fact_{e}")
-            cur = fact.read()
-            if cur is not None:
-                buckets = [b for b, _ in fact.bucket_versions()]
-                fact.commit(cur.repartition(BUCKET).sortWithinPartitions(BUCKET, spec.business_key), buckets,
-                            run_ts=fact.run_times())
-                done.append(fact.root)
-        except Exception:  # noqa: BLE001
-            pass
+            done[name] = "compacted" if _compact(table, key) else "absent"
+        except Exception as e:  # noqa: BLE001  reported in the outcome and the run registry
+            done[name] = f"{type(e).__name__}: {e}"
+            now, run_id = utcnow(), f"maintenance-{name.replace('/', '-')}-{utcnow():%Y%m%d%H%M%S%f}"
+            _start(ws, run_id, "crm_maintenance", name, "maintenance", now)
+            _end(ws, run_id, now, status="failed", error_message=done[name])
     return done
 
 
+def _compact(table: BucketedTable, key: str) -> bool:
+    """Rewrite every live bucket with its rows clustered by ``key``; the content is
+    unchanged, so each bucket keeps its recorded run time. A bucket is dealt by key
+    range over several tasks where it is large (the rebalance splits partitions
+    over the advisory size), and small ones stay one file."""
+    cur = table.read()
+    if cur is None:
+        return False
+    buckets = [b for b, _ in table.bucket_versions()]
+    table.commit(cur.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, key), buckets, run_ts=table.run_times())
+    return True
+
+
 def _spec(name: str) -> EntitySpec:
     from revflow.spec import ENTITIES
 

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revflow.operators.joins import join_small
 
 RUN_REGISTRY_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -52,7 +51,6 @@ BAD_RECORDS_SCHEMA = T.StructType([
               "failure_reason", "raw_record", "source_file_path", "status", "quarantined_ts")
 ])
 
-ERROR_MESSAGE_LIMIT = 4000
 RUN_STATUSES = ("running", "success", "partial_success", "failed", "skipped")
 
 
@@ -79,7 +77,7 @@ def run_end_event(spark: SparkSession, run_id: str, ts, status: str | None = Non
     if status is None:
         status = "partial_success" if rows_quarantined and rows_quarantined > 0 else "success"
     if error_message is not None:
-        error_message = str(error_message)[:ERROR_MESSAGE_LIMIT]
+        error_message = str(error_message)
     row = dict(run_id=run_id, run_end_ts=ts, status=status, source_high_watermark=source_high_watermark,
                source_row_count=source_row_count, target_row_count=target_row_count,
                rows_quarantined=rows_quarantined, error_message=error_message, updated_ts=ts)
@@ -98,8 +96,10 @@ def fold_latest(events: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def fold_runs(events: DataFrame, order: Sequence[str] = ("updated_ts",)) -> DataFrame:
-    """Current run registry from its events (one row per ``run_id``)."""
-    return fold_latest(events, ["run_id"], order)
+    """Current run registry from its events (one row per ``run_id``). Where events tie, an end counts after a start."""
+    ended = "__ended"
+    marked = events.withColumn(ended, F.coalesce(F.col("status") != "running", F.lit(False)))
+    return fold_latest(marked, ["run_id"], [*order, ended]).drop(ended)
 
 
 # --- watermarks (M5, F3, F10) ----------------------------------------------
@@ -115,9 +115,7 @@ def mark_current(watermarks: DataFrame, order: Sequence[str] = ("updated_ts",))
     """M5: ``is_current`` is true only for the latest row per (entity, layer)."""
     latest = watermarks.groupBy("entity_name", "layer_name").agg(
         F.max(F.struct(*[F.col(c) for c in order])).alias("__latest"))
-    # one row per (entity, layer): broadcast after a size check, so a hot
-    # (entity, layer) never meets a shuffle
-    joined = join_small(watermarks, latest, ["entity_name", "layer_name"], "left")
+    joined = watermarks.join(latest, ["entity_name", "layer_name"], "left")
     cur = F.struct(*[F.col(c) for c in order]) == F.col("__latest")
     return joined.withColumn("is_current", F.coalesce(cur, F.lit(False))).select(*watermarks.columns)
 
@@ -136,7 +134,7 @@ def get_current_watermark(watermarks: DataFrame, entity: str, layer: str) -> Col
     return row["wm"] if row else None
 
 
-def high_watermark(df: DataFrame, column: str, default=None):
-    """A3: max of a column over the rows read (one scalar to the driver)."""
-    v = df.agg(F.max(column).alias("wm")).first()["wm"]
-    return v if v is not None else default
+def latest_watermark(events: DataFrame, entity: str, layer: str) -> str | None:
+    """F3 on the watermark events themselves: one filtered ``max_by``. Equal times go to the later run id."""
+    own = events.filter((F.col("entity_name") == entity) & (F.col("layer_name") == layer))
+    return own.agg(F.max_by("watermark_value", F.struct("updated_ts", "run_id"))).first()[0]

@@ -134,6 +134,17 @@ def keyed_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
 SILVER_AUDIT = ("is_active", "silver_deleted_ts", "silver_last_event_ts", "silver_last_run_id", "silver_updated_ts")
 
 
+#: Columns that steer a merge and are never stored.
+STEERING = ("gold_delete_flag", "bronze_is_delete")
+
+
+def with_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
+    """``target`` with the source's added columns as typed NULLs, so that a merge carries them on."""
+    have = set(target.columns)
+    new = {f.name: F.lit(None).cast(f.dataType) for f in source.schema.fields if f.name not in have and f.name not in STEERING}
+    return target.withColumns(new) if new else target
+
+
 def prepare_silver_source(valid: DataFrame, spec: EntitySpec, run_id: str, run_ts: Column | None = None) -> DataFrame:
     """P4-P6 on a deduplicated batch: active flag, deleted time and audit stamp."""
     run_ts = run_ts if run_ts is not None else F.current_timestamp()
@@ -171,6 +182,7 @@ def merge_current_state(target: DataFrame, source: DataFrame, spec: EntitySpec,
     if time_guard:
         guard = _tgt("silver_last_event_ts").isNull() | (
             _src("bronze_business_event_ts") >= _tgt("silver_last_event_ts"))
+    target = with_new_columns(target, source)
     cols = target.columns
     src_cols = set(source.columns)
     upsert = {c: (_src(c) if c in src_cols else F.lit(None)) for c in cols}
@@ -206,7 +218,7 @@ def merge_fact(target: DataFrame, facts: DataFrame, business_key: str, bucket_co
     flag = _src("gold_delete_flag") == F.lit(True)
     unflag = _src("gold_delete_flag") == F.lit(False)
     return keyed_merge(
-        target, facts, [business_key],
+        with_new_columns(target, facts), facts, [business_key],
         matched=[Clause(DELETE, flag), Clause(UPDATE_ALL, unflag)],
         not_matched=[Clause(INSERT_ALL, unflag)],
         bucket_col=bucket_col, touched_only=touched_only,
@@ -219,9 +231,10 @@ def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str], touc
     Only the snapshot dates present in ``snap`` are joined (a bounded set of
     dates, broadcast); other dates pass through untouched.
     """
+    target = with_new_columns(target, snap)
     dates = F.broadcast(snap.select("snapshot_date").distinct())
     hot = target.join(dates, "snapshot_date", "left_semi")
     rest = target.join(dates, "snapshot_date", "left_anti")
-    merged = _merge_core(hot, snap.select(*target.columns), keys,
+    merged = _merge_core(hot, snap, keys,
                          [Clause(UPDATE_ALL)], [Clause(INSERT_ALL)])
     return merged if touched_only else merged.unionByName(rest)

@@ -20,7 +20,7 @@ def money_sum(c: str | Column) -> Column:
     decimal sum is the same on 8 or 8000 tasks.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(F.sum(col.cast("decimal(18,6)")), 2).cast("double")
+    return F.round(F.sum(col.cast("decimal(28,6)")), 2).cast("double")
 
 
 def _ts(as_of: str) -> Column:

@@ -672,8 +672,8 @@ def q_cdc_stream(spark, sf):
     events = feeds.table(spark, sf, "events")
     cut = F.to_timestamp(F.lit(STREAM_CUT))
     state = BucketedTable(spark, f"{base}/state")
-    writer = CurrentStateWriter(state, EVENT_SPEC, lambda b: f"stream-{b}", _ts(AS_OF_OPS), EVENT_TIE_BREAKERS,
-                                buckets=16)
+    writer = CurrentStateWriter(state, EVENT_SPEC, lambda b: f"stream-{b}", f"{base}/quarantine", _ts(AS_OF_OPS),
+                                EVENT_TIE_BREAKERS, buckets=16)
     for drop in (events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)):
         drop.write.mode("append").parquet(landing)
         raw = read_feed_stream(spark, landing, EVENT_SCHEMA)

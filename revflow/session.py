@@ -34,11 +34,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a folder is chosen only when none is set
-    (local tests), so lineage cuts and staged tables land on shared storage.
+    The cluster's setting always wins. Without one, a local-mode session (one
+    process, as in tests and the bench) gets a folder on its own disk; on a
+    cluster the missing setting is an error, because executors share no disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = "/tmp/revflow-checkpoints"
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

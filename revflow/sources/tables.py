@@ -1,4 +1,4 @@
-"""Versioned parquet tables: write a new version, then publish it.
+"""Keyed state tables in parquet: write the touched partitions, then publish them.
 
 Overwriting a table that the same plan reads is refused by Spark, and there is
 no MERGE on plain parquet, so a merged state is written as a new version
@@ -10,75 +10,17 @@ All paths live on the shared folder the caller passes in.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-COMMIT_SCHEMA = "version long, batch_id long, rows long, note string"
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition_by = tuple(partition_by)
-
-    @property
-    def _commits_path(self) -> str:
-        return f"{self.root}/_commits"
-
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(self._commits_path)
-        except AnalysisException:
-            return None
-
-    def exists(self) -> bool:
-        """S10."""
-        return self.latest_version() is not None
-
-    def latest_version(self) -> int | None:
-        c = self._commits()
-        if c is None:
-            return None
-        return c.agg(F.max("version").alias("v")).first()["v"]
-
-    def has_batch(self, batch_id: int) -> bool:
-        c = self._commits()
-        return c is not None and not c.filter(F.col("batch_id") == batch_id).isEmpty()
-
-    def version_path(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """The published (or a given) version; None before the first commit."""
-        v = self.latest_version() if version is None else version
-        if v is None:
-            return None
-        return self.spark.read.parquet(self.version_path(v))
-
-    def commit(self, df: DataFrame, batch_id: int | None = None, note: str = "") -> int:
-        """Write ``df`` as the next version, then publish it."""
-        cur = self.latest_version()
-        v = 0 if cur is None else cur + 1
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self.version_path(v))
-        self.spark.createDataFrame([(v, batch_id, None, note)], COMMIT_SCHEMA).coalesce(1).write.mode(
-            "append").json(self._commits_path)
-        return v
-
-
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW name AS SELECT * FROM fact`` as a temp view."""
     df.createOrReplaceTempView(name)
     return df
 
 
-MANIFEST_SCHEMA = "version long, bucket string, data_version long, batch_id long, run_ts string"
+MANIFEST_SCHEMA = "version long, bucket string, data_version long, batch_id long, run_ts string, query_id string"
 VERSION_DIR = "state_version"
 
 
@@ -116,9 +58,27 @@ class BucketedTable:
         m = self._manifest()
         return None if m is None else m.agg(F.max("version")).first()[0]
 
-    def has_batch(self, batch_id: int) -> bool:
+    def has_batch(self, batch_id: int, query_id: str | None = None) -> bool:
+        """Whether this micro-batch of this stream was committed. Batch ids start anew with each checkpoint, so the stream's
+        own id belongs to the key."""
         m = self._manifest()
-        return m is not None and not m.filter(F.col("batch_id") == batch_id).isEmpty()
+        same = (F.col("batch_id") == batch_id) & F.col("query_id").eqNullSafe(F.lit(query_id))
+        return m is not None and not m.filter(same).isEmpty()
+
+    def bucket_count(self, wanted: int) -> int:
+        """The number of key buckets the table was created with; the first caller's count is stored. A key's bucket depends on
+        it, so later runs use the stored count whatever they ask for."""
+        path = f"{self.root}/_buckets"
+        try:
+            stored = self.spark.read.schema("buckets int").json(path).agg(F.min("buckets")).first()[0]
+        except AnalysisException:
+            stored = None
+        if stored is None:
+            if self.exists():
+                raise ValueError(f"{self.root} holds rows but no bucket count; store it in {path} first")
+            self.spark.createDataFrame([(wanted,)], "buckets int").coalesce(1).write.mode("append").json(path)
+            return wanted
+        return stored
 
     def exists(self) -> bool:
         """S10."""
@@ -158,7 +118,7 @@ class BucketedTable:
                 full = self.read()
                 return None if full is None else full.limit(0)
             return self._empty
-        df = self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths)
+        df = self.spark.read.option("basePath", f"{self.root}/data").option("mergeSchema", "true").parquet(*paths)
         return df.drop(VERSION_DIR)
 
     _empty = None
@@ -168,7 +128,7 @@ class BucketedTable:
         return [r[0] for r in df.select(self.bucket_col).distinct().collect()]
 
     def merge(self, source: DataFrame, merge_touched, first_version, batch_id: int | None = None,
-              run_ts: str | None = None) -> int:
+              run_ts: str | None = None, query_id: str | None = None) -> int:
         """Read the touched partitions, merge, publish. ``merge_touched(target, source)``
         returns the merged rows of the touched partitions; ``first_version(source)``
         the rows of the first version."""
@@ -179,7 +139,7 @@ class BucketedTable:
             touched = self.touched_values(source)
             target = self.read(only=touched)
             merged = first_version(source) if target is None else merge_touched(target, source)
-            return self.commit(merged, touched, batch_id, run_ts)
+            return self.commit(merged, touched, batch_id, run_ts, query_id)
         finally:
             if owned:
                 source.unpersist()
@@ -193,7 +153,7 @@ class BucketedTable:
         return {r.bucket: r.t for r in cur.collect()}
 
     def commit(self, touched_rows: DataFrame, touched_buckets: list, batch_id: int | None = None,
-               run_ts: str | dict | None = None) -> int:
+               run_ts: str | dict | None = None, query_id: str | None = None) -> int:
         """Write the merged rows of ``touched_buckets`` as the next version and publish."""
         cur = self.latest_version()
         v = 0 if cur is None else cur + 1
@@ -209,7 +169,8 @@ class BucketedTable:
             pass  # nothing written: every touched bucket is now empty
         touched = sorted({str(b) for b in touched_buckets})
         ts_of = run_ts if isinstance(run_ts, dict) else {}
-        rows = [(v, b, v if b in written else None, batch_id, ts_of.get(b) if ts_of else run_ts) for b in touched]
+        rows = [(v, b, v if b in written else None, batch_id, ts_of.get(b) if ts_of else run_ts, query_id)
+                for b in touched]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
             f"{self.root}/_manifest")
         return v

@@ -1,61 +1,65 @@
 """Continuous change data capture into the silver current state (T5).
 
-Each micro-batch is checked, deduplicated and merged (M1) into a versioned
-state table. The batch id is recorded with the version, so a replayed
-micro-batch (after a failure between the merge and the checkpoint commit) is
-skipped instead of being applied twice.
+Each micro-batch is checked, its bad rows are quarantined, and the rest is deduplicated and merged (M1) into a bucketed
+state table. The stream's id and the batch id are recorded with the version, so a micro-batch replayed after a failure
+between the merge and the checkpoint commit is skipped, while a new stream's batches are not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revflow.operators import control
 from revflow.operators.merge import BUCKET, bucket_of, merge_current_state
 from revflow.plans.medallion import silver_merge, silver_source
-from revflow.sources.tables import BucketedTable, VersionedTable
+from revflow.sources.tables import BucketedTable
 from revflow.spec import EntitySpec
 
 
+def stream_id(spark: SparkSession) -> str:
+    """The id of the streaming query that runs this micro-batch (kept in its checkpoint); empty outside a stream."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The bad rows of every micro-batch so far."""
+    return spark.read.schema(control.BAD_RECORDS_SCHEMA).parquet(f"{path}/query_id=*/batch_id=*")
+
+
 class CurrentStateWriter:
-    """``foreachBatch`` callback: bronze micro-batch -> merged silver version."""
+    """``foreachBatch`` callback: bronze micro-batch -> bad rows to ``quarantine``, the others merged into ``state``.
+
+    A batch's bad rows are written to its own folder under ``quarantine`` (overwritten when the batch is replayed), so none
+    is lost or doubled.
+    """
 
-    def __init__(self, state: VersionedTable | BucketedTable, spec: EntitySpec, run_id_of: Callable[[int], str],
-                 run_ts: Column | None = None, tie_breakers: Sequence[str] = (), buckets: int | None = None,
-                 quarantine: VersionedTable | None = None):
+    def __init__(self, state: BucketedTable, spec: EntitySpec, run_id_of: Callable[[int], str], quarantine: str,
+                 run_ts: Column | None = None, tie_breakers: Sequence[str] = (), buckets: int = 64):
         self.state, self.spec = state, spec
         self.run_id_of, self.run_ts = run_id_of, run_ts
         self.tie_breakers, self.buckets = tuple(tie_breakers), buckets
-        self.quarantine = quarantine
+        self.quarantine = quarantine.rstrip("/")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if self.state.has_batch(batch_id):
+        query_id = stream_id(batch.sparkSession)
+        if self.state.has_batch(batch_id, query_id):
             return
         run_id = self.run_id_of(batch_id)
         run_ts = self.run_ts if self.run_ts is not None else F.current_timestamp()
         source, bad = silver_source(batch, self.spec, run_id, run_ts, self.tie_breakers)
-        if self.quarantine is not None:
-            self.quarantine.commit(bad, batch_id)
-        if isinstance(self.state, BucketedTable):
-            commit_bucketed(self.state, source, self.spec, run_id, run_ts, self.buckets or 64, batch_id)
-            return
-        bucket_col = None
-        if self.buckets:
-            bucket_col = "_bucket"
-            source = source.withColumn(bucket_col, bucket_of([self.spec.primary_key], self.buckets))
-        target = self.state.read()
-        merged = silver_merge(target, source, self.spec, run_id, run_ts, bucket_col=bucket_col)
-        self.state.commit(merged, batch_id, note=run_id)
+        bad.write.mode("overwrite").parquet(f"{self.quarantine}/query_id={query_id or 'none'}/batch_id={batch_id}")
+        commit_bucketed(self.state, source, self.spec, run_id, run_ts, self.buckets, batch_id, query_id)
 
 
 def commit_bucketed(state: BucketedTable, source: DataFrame, spec: EntitySpec, run_id: str, run_ts: Column,
-                    buckets: int, batch_id: int | None = None, **merge_kw) -> int:
+                    buckets: int, batch_id: int | None = None, query_id: str | None = None, **merge_kw) -> int:
     """M1 of a prepared batch into a bucketed state: only touched buckets are
-    read, joined and rewritten. The touched-bucket ids (at most ``buckets``)
-    are the only values collected to the driver."""
-    source = source.withColumn(BUCKET, bucket_of([spec.primary_key], buckets))
+    read, joined and rewritten. The touched-bucket ids (at most as many as buckets)
+    are the only values collected to the driver. A table keeps the bucket count it was created with."""
+    source = source.withColumn(BUCKET, bucket_of([spec.primary_key], state.bucket_count(buckets)))
     # the run time, rendered once in the session zone, lets readers find the
     # buckets this run rewrote (see BucketedTable.buckets_updated_after)
     run_ts_text = source.sparkSession.range(1).select(
@@ -68,7 +72,7 @@ def commit_bucketed(state: BucketedTable, source: DataFrame, spec: EntitySpec, r
         lambda tgt, src: merge_current_state(tgt, src, spec, run_id, run_ts, bucket_col=BUCKET,
                                              touched_only=True, **merge_kw),
         lambda src: silver_merge(None, src, spec, run_id, run_ts),
-        batch_id, run_ts_text)
+        batch_id, run_ts_text, query_id)
 
 
 def start_current_state_stream(bronze: DataFrame, writer: CurrentStateWriter, checkpoint: str,

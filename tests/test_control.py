@@ -18,7 +18,7 @@ def test_run_fold_start_success_failure(spark):
     runs = {r.run_id: r for r in control.fold_runs(ev).collect()}
     assert runs["r1"].status == "partial_success" and runs["r1"].source_row_count == 10
     assert runs["r1"].pipeline_name == "p" and runs["r1"].run_end_ts == T0 + timedelta(minutes=5)
-    assert runs["r2"].status == "failed" and len(runs["r2"].error_message) == 4000
+    assert runs["r2"].status == "failed" and len(runs["r2"].error_message) == 5000  # whole
     assert runs["r2"].parent_run_id == "r1"
 
 

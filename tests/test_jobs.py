@@ -60,7 +60,7 @@ def test_medallion_end_to_end(spark, scratch):
     assert cur.filter("count != 1").count() == 0
 
     before = sorted(ws.gold("fact_opportunity").read().collect())
-    jobs.run_maintenance(ws, entities=("opportunity",))
+    assert set(jobs.run_maintenance(ws, entities=("opportunity",)).values()) == {"compacted"}
     assert sorted(ws.gold("fact_opportunity").read().collect()) == before
 
 
@@ -94,3 +94,38 @@ def test_activity_job(spark, scratch):
     assert jobs.run_activity(ws, "act-2", now=now) == "success"  # full re-merge is idempotent
     assert ws.gold("fact_activity").read().count() == total
     assert spark.table("vw_sales_activity").count() == total
+
+
+def test_backfill_bucket_count_and_added_column(spark, scratch):
+    """A backfill leaves the watermark and the quarantine alone; another bucket count and an added column lose nothing."""
+    from pyspark.sql import functions as F
+
+    from revflow.sources import crm_feeds as feeds
+    from revflow.spec import OPPORTUNITY
+
+    ws = jobs.Workspace(spark, f"{scratch}/ws3", buckets=4)
+    feed = feeds.opportunity_feed(spark, "/root/testdata/sf0.001")
+    landing = f"{scratch}/landing3"
+    feed.write.parquet(landing)
+    jobs.run_bronze(ws, OPPORTUNITY, landing, feed.schema, "b1")
+    jobs.run_silver(ws, OPPORTUNITY, "s1")
+    jobs.run_gold(ws, OPPORTUNITY, "g1")
+    mark, bad = ws.watermark("opportunity", "silver"), ws.bad_records().count()
+    rows = ws.silver("opportunity").read().count()
+    key = OPPORTUNITY.primary_key
+
+    other = jobs.Workspace(spark, f"{scratch}/ws3", buckets=16)
+    jobs.run_silver(other, OPPORTUNITY, "s2", backfill=("2000-01-01 00:00:00", "2100-01-01 00:00:00"))
+    assert other.watermark("opportunity", "silver") == mark and other.bad_records().count() == bad
+    state = other.silver("opportunity").read()
+    assert state.count() == rows == state.select(key).distinct().count()
+    assert jobs.run_silver(other, OPPORTUNITY, "s3") == "skipped"
+
+    wider = feed.limit(50).withColumn("region_code", F.lit("EU"))
+    wider.write.mode("append").parquet(landing)
+    jobs.run_bronze(ws, OPPORTUNITY, landing, wider.schema, "b2")
+    assert jobs.run_silver(ws, OPPORTUNITY, "s4") != "skipped"
+    state = ws.silver("opportunity").read()
+    assert "region_code" in state.columns
+    assert state.count() == rows
+    assert 0 < state.filter("region_code = 'EU'").count() <= 50
