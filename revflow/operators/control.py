@@ -44,11 +44,19 @@ WATERMARK_SCHEMA = T.StructType([
     T.StructField("updated_ts", T.TimestampType(), False),
 ])
 
+#: Column names and types of the quarantine envelope.
 BAD_RECORDS_SCHEMA = T.StructType([
-    T.StructField(n, T.TimestampType() if n == "quarantined_ts" else T.StringType(), n in (
-        "quarantine_id", "run_id", "entity_name", "layer_name", "status", "quarantined_ts"))
-    for n in ("quarantine_id", "run_id", "entity_name", "layer_name", "record_key", "failed_rule_name",
-              "failure_reason", "raw_record", "source_file_path", "status", "quarantined_ts")
+    T.StructField("quarantine_id", T.StringType(), False),
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("entity_name", T.StringType(), False),
+    T.StructField("layer_name", T.StringType(), False),
+    T.StructField("record_key", T.StringType()),
+    T.StructField("failed_rule_name", T.StringType()),
+    T.StructField("failure_reason", T.StringType()),
+    T.StructField("raw_record", T.StringType()),
+    T.StructField("source_file_path", T.StringType()),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("quarantined_ts", T.TimestampType(), False),
 ])
 
 RUN_STATUSES = ("running", "success", "partial_success", "failed", "skipped")

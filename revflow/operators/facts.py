@@ -51,7 +51,7 @@ def build_fact_rows(silver: DataFrame, spec: EntitySpec, gold_ts: Column | None
     weighted = (spec.weighted.amount_column, spec.weighted.probability_column) if spec.weighted else None
     fact = with_fact_derivations(fact, weighted).withColumn("gold_delete_flag", delete_flag("is_active"))
     if not spec.business_key or spec.business_key not in fact.columns:
-        raise ValueError(f"Invalid gold.business_key: {spec.business_key}")
+        raise ValueError(f"{spec.name}: the mapped fact has no key column {spec.business_key!r}")
     return fact
 
 

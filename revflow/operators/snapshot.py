@@ -13,7 +13,7 @@ def build_snapshot(fact: DataFrame, snapshot_ts: str, run_id: str, spec: EntityS
                    created_ts: Column | None = None) -> DataFrame:
     """Stamp every current fact row with the snapshot time and its ages."""
     if spec.snapshot is None:
-        raise ValueError("Snapshot not enabled in config")
+        raise ValueError(f"{spec.name} has no snapshot settings")
     return with_snapshot_stamp(fact, snapshot_ts, run_id, spec.snapshot.grain, created_ts)
 
 

@@ -12,16 +12,20 @@ from revflow.sources.files import check_format
 from revflow.spec import DEFAULT_MICROBATCH_INTERVAL, EntitySpec
 
 
+#: Trigger argument of each mode, and the value it takes from the configured interval.
+TRIGGERS = {
+    "available_now": ("availableNow", lambda interval: True),
+    "micro_batch": ("processingTime", lambda interval: interval or DEFAULT_MICROBATCH_INTERVAL),
+}
+
+
 def trigger_kwargs(mode: str, interval: str | None = None) -> dict:
-    """``available_now`` or ``micro_batch``. Continuous processing cannot
-    run a file source, so ``continuous`` is refused with that reason."""
-    if mode == "available_now":
-        return {"availableNow": True}
-    if mode == "micro_batch":
-        return {"processingTime": interval or DEFAULT_MICROBATCH_INTERVAL}
-    if mode == "continuous":
-        raise ValueError("continuous trigger is not supported for file sources; use micro_batch")
-    raise ValueError(f"Unsupported trigger_mode: {mode}")
+    """Arguments of ``writeStream.trigger``. Continuous processing is not among
+    the modes: Spark's file source can't run it."""
+    if mode not in TRIGGERS:
+        raise ValueError(f"trigger mode {mode!r} can't run a file stream; choose one of {', '.join(TRIGGERS)}")
+    name, value = TRIGGERS[mode]
+    return {name: value(interval)}
 
 
 def read_feed_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
