@@ -16,7 +16,7 @@ AGE_BUCKETS = ((7, "0-7 days"), (30, "8-30 days"), (60, "31-60 days"), (90, "61-
 AGE_BUCKET_REST = "90+ days"
 
 
-def col_or_null(df: DataFrame, source: str | None, alias: str, null_type: T.DataType = DEFAULT_NULL_TYPE) -> Column:
+def col_or_null(df: DataFrame, source: str | None, alias: str, null_type: T.DataType | str = DEFAULT_NULL_TYPE) -> Column:
     """The source column renamed, or a typed NULL when it is missing."""
     if source and source in df.columns:
         return F.col(source).alias(alias)

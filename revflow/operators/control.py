@@ -119,8 +119,8 @@ def watermark_event(spark: SparkSession, entity: str, layer: str, wm_type: str,
     return spark.createDataFrame([row], WATERMARK_SCHEMA)
 
 
-def mark_current(watermarks: DataFrame, order: Sequence[str] = ("updated_ts",)) -> DataFrame:
-    """M5: ``is_current`` is true only for the latest row per (entity, layer)."""
+def mark_current(watermarks: DataFrame, order: Sequence[str] = ("updated_ts", "run_id")) -> DataFrame:
+    """M5: ``is_current`` is true only for the latest row per (entity, layer); equal times go to the later run id."""
     latest = watermarks.groupBy("entity_name", "layer_name").agg(
         F.max(F.struct(*[F.col(c) for c in order])).alias("__latest"))
     joined = watermarks.join(latest, ["entity_name", "layer_name"], "left")
@@ -128,8 +128,8 @@ def mark_current(watermarks: DataFrame, order: Sequence[str] = ("updated_ts",))
     return joined.withColumn("is_current", F.coalesce(cur, F.lit(False))).select(*watermarks.columns)
 
 
-def current_watermarks(watermarks: DataFrame, order: Sequence[str] = ("updated_ts",)) -> DataFrame:
-    """F10 over the fold: one current row per (entity, layer)."""
+def current_watermarks(watermarks: DataFrame, order: Sequence[str] = ("updated_ts", "run_id")) -> DataFrame:
+    """F10 over the fold: one current row per (entity, layer), from one scan."""
     return fold_latest(watermarks.drop("is_current"), ["entity_name", "layer_name"], order).withColumn(
         "is_current", F.lit(True))
 

@@ -47,7 +47,8 @@ def build_fact_rows(silver: DataFrame, spec: EntitySpec, gold_ts: Column | None
     """The merge source for one entity, with ``gold_delete_flag``."""
     if not spec.column_mapping:
         raise ValueError(f"entity {spec.name} has no gold column mapping")
-    fact = silver.select(*mapped_select(silver, spec.column_mapping), *_audit(silver, spec.active_flag_column, gold_ts))
+    fact = silver.select(*mapped_select(silver, spec.column_mapping, dict(spec.absent_types)),
+                         *_audit(silver, spec.active_flag_column, gold_ts))
     weighted = (spec.weighted.amount_column, spec.weighted.probability_column) if spec.weighted else None
     fact = with_fact_derivations(fact, weighted).withColumn("gold_delete_flag", delete_flag("is_active"))
     if not spec.business_key or spec.business_key not in fact.columns:

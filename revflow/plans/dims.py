@@ -16,13 +16,16 @@ def date_key(c: Column) -> Column:
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
 
 
-def dim_date(dates: DataFrame, column: str = "date") -> DataFrame:
-    """One row per day between the min and max of ``column``.
+def dim_date(dates: DataFrame, *columns: str) -> DataFrame:
+    """One row per day between the smallest and the largest date of ``columns``.
 
-    The only driver-free way to densify a range: a one-row min/max aggregate
-    exploded with ``sequence`` (the range is days, bounded by the calendar).
+    The only driver-free way to densify a range: a one-row min/max aggregate over
+    all the columns in one pass, exploded with ``sequence`` (the range is days,
+    bounded by the calendar).
     """
-    rng = dates.agg(F.min(F.col(column).cast("date")).alias("lo"), F.max(F.col(column).cast("date")).alias("hi"))
+    days = [F.col(c).cast("date") for c in columns]
+    rng = dates.agg(F.array_min(F.array(*(F.min(d) for d in days))).alias("lo"),
+                    F.array_max(F.array(*(F.max(d) for d in days))).alias("hi"))
     d = rng.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
     return d.select(
         date_key(F.col("date")).alias("date_key"), "date",

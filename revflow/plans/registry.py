@@ -24,7 +24,7 @@ from revflow.operators.layout import compact, file_count
 from revflow.operators.replay import replay_current_state
 from revflow.operators.snapshot import build_snapshot
 from revflow.plans import dims, marts, ops_views
-from revflow.plans.medallion import bronze_rows, checked, merge_batches, silver_state_of_feed
+from revflow.plans.medallion import bronze_rows, checked, merge_batches, silver_increment, silver_state_of_feed
 from revflow.plans.oracle_sql import AS_OF_OPS, AS_OF_SALES
 from revflow.session import ensure_checkpoint_dir, scratch_path
 from revflow.sources import crm_feeds as feeds
@@ -206,9 +206,7 @@ def q_forecast(spark, sf):
 @query("dim_date")
 def q_dim_date(spark, sf):
     prepare(spark)
-    f = fact_opportunity(spark, sf)
-    dates = f.select(F.col("created_date").alias("d")).unionByName(f.select(F.col("expected_close_date").alias("d")))
-    return dims.dim_date(dates, "d")
+    return dims.dim_date(fact_opportunity(spark, sf), "created_date", "expected_close_date")
 
 
 @query("dim_sales_owner")
@@ -355,8 +353,8 @@ def q_gold_incremental(spark, sf):
     gold_ts = _ts(AS_OF_OPS)
     first = build_fact_rows(old, EVENT_GOLD, gold_ts)
     gold = merge_fact(first.drop("gold_delete_flag").limit(0), first, "user_id")
-    watermark = old.agg(F.max("silver_updated_ts")).first()[0]  # A3: one scalar
-    increment = new.filter(F.col("silver_updated_ts") > F.lit(watermark))  # F2, strict
+    watermark = old.agg(F.max("silver_updated_ts")).scalar()  # A3, a subquery of the same plan
+    increment = new.filter(F.col("silver_updated_ts") > watermark)  # F2, strict
     gold = merge_fact(gold, build_fact_rows(increment, EVENT_GOLD, gold_ts), "user_id")
     return finalize(gold.select(*GOLD_COLUMNS))
 
@@ -375,9 +373,10 @@ BACKFILL = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 def q_silver_backfill(spark, sf):
     """Only changes ingested inside the backfill window [from, to)."""
     prepare(spark)
-    ts = F.col("bronze_ingest_ts")
-    window = (ts >= F.to_timestamp(F.lit(BACKFILL[0]))) & (ts < F.to_timestamp(F.lit(BACKFILL[1])))
-    return finalize(event_state(spark, sf, where=window))
+    window = silver_increment(event_bronze(spark, sf), backfill=BACKFILL)
+    valid, _ = split_valid_invalid(checked(window, EVENT_SPEC))
+    return finalize(replay_current_state(valid, EVENT_SPEC, "batch_date", "batch_run_id", "batch_ingest_ts",
+                                         EVENT_TIE_BREAKERS).select(*STATE_COLUMNS))
 
 
 CHANGE_FEED_CUT = "2024-01-16"
@@ -591,8 +590,7 @@ def q_health(spark, sf):
 def q_current_watermarks(spark, sf):
     """M5 + F10: exactly one current watermark per (entity, layer)."""
     prepare(spark)
-    wm = control.mark_current(feeds.watermark_events(spark, sf), ["updated_ts", "run_id"])
-    return wm.filter(F.col("is_current"))
+    return control.current_watermarks(feeds.watermark_events(spark, sf))
 
 
 @query("stale_watermarks")
@@ -601,7 +599,7 @@ def q_stale_watermarks(spark, sf):
     prepare(spark)
     from revflow.plans.oracle_sql import AS_OF_OPS_LATE
 
-    wm = control.mark_current(feeds.watermark_events(spark, sf), ["updated_ts", "run_id"])
+    wm = control.current_watermarks(feeds.watermark_events(spark, sf))
     return finalize(ops_views.stale_watermarks_at(wm, [AS_OF_OPS, AS_OF_OPS_LATE]))
 
 

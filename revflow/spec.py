@@ -6,7 +6,7 @@ kept together below as fixed values.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,12 @@ class EntitySpec:
     activity_type: str | None = None
     serving_view: str | None = None
     snapshot_view: str | None = None
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    # (gold column, type) pairs that a mapped column takes where its source is absent; others are STRING
+    absent_types: tuple[tuple[str, str], ...] = (
+        ("created_ts", "timestamp"), ("modified_ts", "timestamp"), ("expected_close_date", "date"),
+        ("start_date", "timestamp"), ("end_date", "timestamp"), ("estimated_value", "double"), ("probability", "double"),
+        ("quote_amount", "double"), ("contract_value", "double"),
+    )
 
     def with_(self, **kw) -> "EntitySpec":
         from dataclasses import replace

@@ -36,6 +36,13 @@ def test_exactly_one_current_watermark(spark):
     assert control.current_watermarks(ev).count() == 2
 
 
+def test_one_current_watermark_where_times_tie(spark):
+    ev = control.watermark_event(spark, "quote", "gold", "t", "first", "r1", T0)
+    ev = ev.unionByName(control.watermark_event(spark, "quote", "gold", "t", "second", "r2", T0))
+    assert [r.watermark_value for r in control.mark_current(ev).filter("is_current").collect()] == ["second"]
+    assert [r.watermark_value for r in control.current_watermarks(ev).collect()] == ["second"]
+
+
 def test_health_and_staleness(spark):
     rows = [("r1", "opportunity", "silver", "running", T0 - timedelta(minutes=10)),
             ("r2", "quote", "silver", "skipped", T0 - timedelta(minutes=40)),
