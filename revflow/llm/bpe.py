@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -204,14 +205,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "token_ids",
            out: str = "decoded") -> DataFrame:
     """All columns of the id and ids plus the decoded bytes. A null id list decodes to empty bytes; an unknown id fails."""
-    shared = _Shared(tokens.sparkSession, read_ranks(ranks_path), ".")
+    shared = _Shared(tokens.sparkSession, read_ranks(ranks_path), None)
     src = tokens.select(F.col(id_col).cast("long").alias("k"), F.col(ids_col).alias("v"))
 
     def start():
-        codec = _codec(shared)
+        token = {r: k for k, r in shared.value[1][0]}  # decoding needs no perfect hash
 
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [codec.decode(x or ()) for x in b.column(1).to_pylist()]
+            ids = b.column(1)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy()).tolist()
+            parts = list(map(token.__getitem__, ids.flatten().to_numpy(zero_copy_only=False).tolist()))  # skips null lists
+            texts = [b"".join(parts[i:j]) for i, j in zip([0, *ends], ends)]
             return pa.record_batch([b.column(0), b.column(1), pa.array(texts, pa.binary())], names=["k", "v", "d"])
 
         return work

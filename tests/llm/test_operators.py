@@ -438,3 +438,12 @@ def test_components(spark):
         root[max(x, y)] = min(x, y)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()}
     assert got == {n: find(n) for a, b in edges if a != b for n in (a, b)}
+
+
+def test_bpe_decodes_null_and_empty_lists(spark):
+    path = P.path(RANKS)
+    codec = bpe.Codec(bpe.read_ranks(path), P.PATTERN)
+    rows = [(1, codec.encode("one two")), (2, None), (3, []), (4, codec.encode("né à 😀")), (None, codec.encode("x"))]
+    out = bpe.decode(spark.createDataFrame(rows, "doc_id long, token_ids array<int>").coalesce(1), path).collect()
+    assert {r.doc_id: bytes(r.decoded).decode() for r in out} == {1: "one two", 2: "", 3: "", 4: "né à 😀", None: "x"}
+    assert [r.token_ids for r in sorted(out, key=lambda r: r.doc_id or 0)][2] is None
