@@ -106,7 +106,11 @@ def _hashed(vectors: DataFrame, largest: float, query: bool, tables: int, k: int
 
 
 def _nearest(keep: int):
-    """Cogroup function: a block of queries against a shard; (qkey, vkey, score) of each query's best ``keep`` in visited buckets."""
+    """Cogroup function: a block of queries against a shard; (qkey, vkey, score) of each query's best ``keep`` in visited buckets.
+
+    The matrix product's last bits depend on the other rows and queries of the block. It only preselects, with its rounding error as
+    margin; the scores that count are row sums of a pair's products, the same wherever the pair is met.
+    """
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = {"qkey": [], "vkey": [], "score": []}
@@ -114,20 +118,24 @@ def _nearest(keep: int):
             rows = rows.sort_values("key", ignore_index=True)
             keys = rows["key"].to_numpy()
             data = np.array([np.frombuffer(x, np.float64) for x in rows["v"]])
+            rounding = 4 * data.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(data, axis=1).max()
             kinds, bucket = np.unique(rows["code"].to_numpy(), return_inverse=True)
             for at in range(0, len(queries), 128):
                 part = queries.iloc[at : at + 128]
-                scores = np.array([np.frombuffer(x, np.float64) for x in part["v"]]) @ data.T
+                asked = np.array([np.frombuffer(x, np.float64) for x in part["v"]])
+                scores = asked @ data.T
+                margin = rounding * np.linalg.norm(asked, axis=1)
                 seen = np.zeros((len(part), len(kinds)), bool)
                 for i, visited in enumerate(part["codes"]):
                     seen[i] = True if visited is None else np.isin(kinds, visited)
-                for key, own, s in zip(part["key"], seen, scores):
+                for key, x, own, s, m in zip(part["key"], asked, seen, scores, margin):
                     near = np.flatnonzero(own[bucket])
                     if len(near) > keep:
-                        least = np.partition(s[near], -keep)[-keep]
+                        least = np.partition(s[near], -keep)[-keep] - m
                         near = near[s[near] >= least]
-                    near = near[np.argsort(-s[near], kind="stable")][:keep]  # stable: equal scores stay by id
-                    out["qkey"].append(np.full(len(near), key)), out["vkey"].append(keys[near]), out["score"].append(s[near])
+                    exact = (data[near] * x).sum(axis=1)
+                    best = np.argsort(-exact, kind="stable")[:keep]  # stable: equal scores stay by id
+                    out["qkey"].append(np.full(len(best), key)), out["vkey"].append(keys[near[best]]), out["score"].append(exact[best])
         return pd.DataFrame({c: np.concatenate(v) if v else np.empty(0, float if c == "score" else np.int64) for c, v in out.items()})
 
     return run
@@ -171,7 +179,8 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "
     on = ["dim", "t", "shard", "block"]
     result = "qkey long, vkey long, score double"
     found = visits.groupBy(*on).cogroup(placed.groupBy(*on)).applyInPandas(_nearest(keep), result)
-    found = staged(found.distinct(), "found")
+    folded = lambda pairs: pairs.groupBy("qkey", "vkey").agg(F.max("score").alias("score"))  # noqa: E731  (a pair is met in several tables)
+    found = staged(folded(found), "found")
 
     counts = members.groupBy("key").agg(F.count("*").alias("copies"))
     enough = (found.join(counts, F.col("vkey") == F.col("key")).groupBy("qkey").agg(F.sum("copies").alias("n")).filter(F.col("n") >= keep))
@@ -183,7 +192,7 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "
                .withColumn("block", spread(F.lit(blocks)).cast("int")))
         ask = ask.select("dim", F.lit(0).alias("t"), "shard", "block", "key", "v", F.lit(None).cast("array<long>").alias("codes"))
         exact = ask.groupBy(*on).cogroup(every.groupBy(*on)).applyInPandas(_nearest(keep), result)
-        found = found.unionByName(exact).distinct()
+        found = folded(found.unionByName(exact))
 
     order = lambda key: Window.partitionBy(key).orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("n", F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("score"), "vkey"))).filter(F.col("n") <= keep)

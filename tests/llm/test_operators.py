@@ -158,6 +158,22 @@ def test_neighbours_odd_vectors_and_copies(spark):
     assert ann.neighbours(df.filter("false"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_neighbours_are_distinct_over_many_shards(spark, monkeypatch):
+    """Tables cut into different shards meet a pair beside other rows; it must still be one candidate with one score."""
+    monkeypatch.setattr(ann, "SHARD", 150)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    x = np.random.default_rng(3).standard_normal((900, 96))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in ann.neighbours(df, F.col("id") % 20 == 0).collect():
+        found[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert set(found) == set(range(0, 900, 20))
+    for q, rows in found.items():
+        assert [r for r, _, _ in sorted(rows)] == list(range(1, 21))
+        assert len({v for _, v, _ in rows}) == 20
+        assert all(c == (x[v : v + 1] * x[q]).sum(axis=1)[0] for _, v, c in rows)
+
+
 # 4 substring deduplication
 
 def test_gear_hash_by_definition():
