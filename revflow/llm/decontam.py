@@ -1,17 +1,18 @@
-"""Operator 7: benchmark decontamination with SimHash windows, native DataFrame functions only.
+"""Operator 7: benchmark decontamination by item-sized windows, native DataFrame functions only.
 
 Words are runs of letters and digits, lower case. A benchmark item of L words is compared with windows of L words of the documents.
 1. Blocking. Similarity is the weighted Jaccard index of five-word shingles, so a window that shares no shingle with any item has
    similarity 0. Each position's shingle hash probes the items' shingles; where a run of shared shingles begins, the alignment
    of that run gives the window, and ``SLACK`` words to either side give its neighbours.
-2. SimHash. Each of the 64 bits is the majority of the words' hash bits in the window. The counters are packed: masking a hash with
-   one bit in each field and adding the masked hashes counts 64 / field-width bits at once.
-3. Multi-index. Fingerprints are cut into RADIUS + 1 blocks; two fingerprints that differ in at most RADIUS bits agree in at least one
-   block, so probing every block against the items of the same length misses none within the radius. The bits that differ are
-   then counted.
-4. Verification. sum(weight * min(count)) / sum(weight * max(count)) over the shingles of the window and the item, a shingle's weight
+2. Candidates. A window is paired with the items of its length whose rare shingles it shares: an item's shingles in the order of
+   falling weight, until they hold more than ``1 - similarity`` of its weight. A window with none of them lacks too much of the
+   item to reach ``similarity``, so no pair is lost, and shingles that very many items share pair nothing.
+3. Verification. sum(weight * min(count)) / sum(weight * max(count)) over the shingles of the window and the item, a shingle's weight
    being 1 + ln(items / items with it), and 1 + ln(items) for one that the item does not have; at least ``similarity``.
 
+(SimHash fingerprints within a fixed number of bits did step 2 before: words replaced at an item's edge cost one shingle each but as
+many bits as any other word, so such windows were lost although their similarity is above the threshold.)
+
 The items' two probe tables are broadcast when their counted rows stay under BROADCAST_ROWS and are shuffled otherwise.
 
 Defined results: null or empty texts and items take no part; repeated items count once, different texts under one item_id each count. An item of fewer than five words has its whole sequence as its one
@@ -22,15 +23,14 @@ are read.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from revflow.llm.common import unused
 from revflow.llm.graph import staged
 
-SHINGLE, SIMILARITY, RADIUS, SLACK = 5, 0.8, 11, 2
+SHINGLE, SIMILARITY, SLACK = 5, 0.8, 2
 BROADCAST_ROWS = 500_000
 
 
@@ -38,42 +38,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _signed(x: int) -> Column:
-    return F.lit(x - (1 << 64) if x >= 1 << 63 else x)
-
-
-def simhash(hashes: Column, size: Column, field: int) -> Column:
-    """The 64-bit majority fingerprint of an array of hashes; ``field`` bits for each counter, so up to 2**(field - 1) - 1 hashes."""
-    fields = 64 // field
-    ones = sum(1 << field * i for i in range(fields))
-    low = sum(((1 << field) - 1) << field * i for i in range(fields - 1))
-    tops = sum(1 << field * i + field - 1 for i in range(fields - 1))
-    low_ones = sum(1 << field * i for i in range(fields - 1))
-    half = F.floor(size / 2).cast("long")
-    lift = (F.lit((1 << field - 1) - 1) - half) * F.lit(low_ones)
-    out = F.lit(0).cast("long")
-    def count_of(k: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(ones)))
-
-    for k in range(field):
-        count = count_of(k)
-        major = (count.bitwiseAND(F.lit(low)) + lift).bitwiseAND(F.lit(tops))
-        last = F.when(F.shiftrightunsigned(count, 64 - field) > half, _signed(1 << 64 - field + k)).otherwise(F.lit(0).cast("long"))
-        out = out.bitwiseOR(F.shiftrightunsigned(major, field - 1 - k)).bitwiseOR(last)
-    return out
-
-
-def blocks(fingerprint: Column, radius: int) -> Column:
-    """Array of (block number and block value) keys: radius + 1 blocks cover the 64 bits."""
-    n, keys, at = radius + 1, [], 0
-    for i in range(n):
-        width = 64 // n + (i < 64 % n)
-        value = F.shiftrightunsigned(fingerprint, at).bitwiseAND(F.lit((1 << width) - 1))
-        keys.append(value * n + i)
-        at += width
-    return F.array(*keys)
-
-
 def _shingles(words: Column, q: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(words) - q + 1), lambda i: F.array_join(F.slice(words, i, q), " "))
 
@@ -103,12 +67,11 @@ def _items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-            item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+            item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(id, hash of the text, item_id, similarity, word_start, n_words) for every verified window; callers take the best."""
     known = staged(_items(items, item_id, item_text), "items")
-    facts = known.agg(F.count("*").alias("rows"), F.max("n").alias("longest"), F.sum(F.col("n") - F.col("q") + 1).alias("grams"),
+    facts = known.agg(F.count("*").alias("rows"), F.sum(F.col("n") - F.col("q") + 1).alias("grams"),
                       F.collect_set(F.when(F.col("q") < SHINGLE, F.col("q"))).alias("short")).first()
-    field = next(f for f in (8, 16, 32) if f == 32 or (facts.longest or 0) < 1 << f - 1)
     small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
@@ -124,23 +87,24 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         begins = (F.col("d") == 0) | (F.col("t") == 0) | (F.get("hs", F.col("d") - 1) != F.col("before"))
         first = F.explode(F.array(*(F.greatest(F.lit(0), F.least(F.col("d") - F.col("t") + s, F.size("hs") - F.col("n")))
                                     for s in range(-SLACK, SLACK + 1))))
-        found = hit.filter(begins).select("id", "th", "n", "words", "hs", first.alias("p"))
-        found = found.select("id", "th", "n", "p", F.slice("words", F.col("p") + 1, F.col("n")).alias("win"),
-                             F.slice("hs", F.col("p") + 1, F.col("n")).alias("wh"))
+        found = hit.filter(begins).select("id", "th", "n", "words", first.alias("p"))
+        found = found.select("id", "th", "n", "p", F.slice("words", F.col("p") + 1, F.col("n")).alias("win"))
         runs = found if runs is None else runs.unionByName(found)
-    # staged: fingerprints are computed once, and what follows reads narrow columns
-    windows = staged(runs.dropDuplicates(["id", "th", "n", "p"]).withColumn("fp", simhash(F.col("wh"), F.size("wh"), field)).drop("wh"), "windows")
-    index = staged(known.select("item", "item_id", "n", "q", "wg", "other", simhash(F.col("ih"), F.col("n"), field).alias("ifp")), "index")
-
-    probes = windows.select("*", F.explode(blocks(F.col("fp"), radius)).alias("key"))
-    entries = index.select("item", "n", "q", "ifp", F.explode(blocks(F.col("ifp"), radius)).alias("key"))
-    close = probes.join(small(entries, (facts.rows or 0) * (radius + 1)), ["n", "key"]).filter(
-        F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius).select("id", "th", "n", "p", "win", "item", "q").distinct()
+    windows = staged(runs.dropDuplicates(["id", "th", "n", "p"]), "windows")  # staged: what follows reads narrow columns
+    index = known.select("item", "item_id", "n", "q", "wg", "other", F.aggregate("wg", F.lit(0.0), lambda a, e: a + e["w"] * e["c"]).alias("whole"))
+
+    weighty = index.select("item", "n", "q", "whole", F.explode("wg").alias("e")).select("item", "n", "q", "whole", "e.g", "e.c", "e.w")
+    heavier = Window.partitionBy("item").orderBy(F.desc("w"), "g").rowsBetween(Window.unboundedPreceding, -1)
+    rare = weighty.withColumn("before", F.coalesce(F.sum(F.col("w") * F.col("c")).over(heavier), F.lit(0.0)))
+    rare = rare.filter(F.col("before") <= (1 - similarity + 1e-6) * F.col("whole")).select("item", "n", "q", "g")  # 1e-6: rounded sums
+    rare = staged(rare, "rare")  # a plain scan on this side lets the skew join split a shingle that very many windows hold
+    probes = windows.select("*", F.explode(F.array_distinct(_shingles(F.col("win"), F.least(F.lit(SHINGLE), "n", F.size("win"))))).alias("g"))
+    close = probes.join(small(rare, facts.grams or 0), ["n", "g"]).select("id", "th", "n", "p", "win", "item", "q").distinct()
     # weighted multiset similarity: what the window has of the item, and what it has beyond it, a row for each distinct shingle
     key = ["id", "th", "p", "n", "item"]
     own = close.select(*key, F.explode(_shingles(F.col("win"), F.least(F.col("q"), F.size("win")))).alias("g")).groupBy(*key, "g").agg(F.count("*").alias("o"))
     weights = index.select("item", F.explode("wg").alias("e")).select("item", "e.g", "e.c", "e.w")
-    totals = index.select("item", "item_id", "other", F.aggregate("wg", F.lit(0.0), lambda a, e: a + e["w"] * e["c"]).alias("whole"))
+    totals = index.select("item", "item_id", "other", "whole")
     scored = own.join(small(weights, facts.grams or 0), ["item", "g"], "left").join(small(totals, facts.rows or 0), "item")
     both = F.coalesce(F.col("w") * F.least("o", "c"), F.lit(0.0))
     beyond = F.coalesce(F.col("w") * F.greatest(F.col("o") - F.col("c"), F.lit(0)), F.col("o") * F.col("other"))

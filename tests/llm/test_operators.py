@@ -330,6 +330,27 @@ def test_decontamination_equals_brute_force(spark):
     assert decontam.contaminated(d, b.filter("false")).count() == 0 and decontam.contaminated(d.filter("false"), b).count() == 0
 
 
+def test_decontamination_with_replaced_edge_words(spark):
+    """Several words replaced at an item's edges, up to the threshold, also in items of few different words."""
+    rnd = random.Random(8)
+    vocab = ["v%d" % i for i in range(4000)]
+    text = lambda n, of=vocab: " ".join(rnd.choice(of) for _ in range(n))
+    items = [(i, text(n)) for i, n in enumerate([15, 24, 35, 45, 55, 59] * 5)] + [(30 + i, text(40, vocab[:6])) for i in range(6)]
+    docs = []
+    for i, t in items:
+        words = t.split()
+        for most in range(1, 2 + (len(words) - 4) // 10):
+            for left in range(most + 1):
+                kept = words[left : len(words) - (most - left)]
+                docs.append((len(docs), " ".join([text(12 + left), *kept, text(12 + most - left)])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.contaminated(d, b).collect()}
+    want = brute_contaminated(docs, items)
+    assert len(want) > 250 and set(got) == set(want)
+    assert all(abs(got[k] - want[k][0]) < 1e-6 for k in want)
+
+
 # 8 near duplicates
 
 def components_of(docs, words, percent=80):
