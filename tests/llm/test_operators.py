@@ -212,6 +212,32 @@ def test_passages_found_and_clean_left_alone(spark):
     assert chunks.repeated_spans(df.filter("false")).count() == 0
 
 
+def test_passages_of_repeated_words_and_lines_are_found_whole(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzäé") for _ in range(rnd.randint(3, 9)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    passages = [(w := word() + " ") * (320 // len(w)) for _ in range(20)]
+    passages += [(line := words(4) + "\n") * (320 // len(line)) for _ in range(20)]
+    for _ in range(20):
+        few = [word() for _ in range(4)]
+        passages.append(" ".join(rnd.choice(few) for _ in range(50)))
+    passages += [words(40) for _ in range(20)] + ["-" * 300, "ab" * 150]
+    # what stands beside a passage differs between its holders
+    rows = [(10 * p + j, f"{words(rnd.randint(5, 40))}{'QRS'[j]}{t}{'XYZ'[j]}{words(rnd.randint(5, 40))}") for p, t in enumerate(passages) for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = defaultdict(list)
+    for r in chunks.repeated_spans(df).collect():
+        spans[r.doc_id].append((r.start, r.end, r.is_first))
+    for i, t in rows:
+        at = t.index(passages[i // 10])
+        to = at + len(passages[i // 10])
+        assert (at, to, i % 10 == 0) in spans[i], (i, passages[i // 10])
+        assert all(at <= a and b <= to and own for a, b, own in spans[i] if (a, b, own) != (at, to, i % 10 == 0))  # a chunk first held by the second
+    texts = dict(rows)
+    for r in chunks.drop_repeats(df).collect():
+        assert r.text == (texts[r.doc_id] if r.doc_id % 10 == 0 else texts[r.doc_id].replace(passages[r.doc_id // 10], ""))
+
+
 # 5 token counts
 
 def test_unigram_counts_equal_the_tokenizer(spark, docs, texts, odd):
