@@ -2,7 +2,7 @@
 
 Base kinds (the contract's): ``email``, ``ip`` (four parts of at most 255), ``card`` (12 to 19 digits passing Luhn), ``phone``
 (``+`` and 9 to 15 digits), each leftmost and non-overlapping within its kind; a match that fails its check is dropped. Added
-kinds: ``iban`` (mod-97 remainder 1), ``ssn`` (three-two-four digits with a valid area, group and serial) and ``local_phone``
+kinds: ``iban`` (mod-97 remainder 1, of its country's length or up to the end of the run), ``ssn`` (three-two-four digits with a valid area, group and serial) and ``local_phone``
 (ten grouped digits without ``+``). Every proposal starts at its kind's score; a context word of the kind within 40 characters
 before it adds 0.3, a word that speaks against it takes 0.3 away. Added spans need 0.5, so an ssn or a local phone needs context,
 and they must not overlap a base span. Base spans always stay, with their score.
@@ -45,6 +45,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Letters and digits of an IBAN by its country; the words and numbers after it can look like more of it.
+_IBAN_SIZE = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}.items() for c in codes.split()}
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -97,10 +103,22 @@ def _base(text: str):
             yield "phone", *m.span()
 
 
+def _ibans(text: str):
+    m = _IBAN.search(text)
+    while m:
+        ends = [m.end()]
+        if size := _IBAN_SIZE.get(m[0][:2]):
+            places = [i for i, c in enumerate(m[0], 1) if c != " "]
+            if size <= len(places) and m[0][places[size - 1] :][:1] in ("", " "):
+                ends.insert(0, m.start() + places[size - 1])
+        end = next((e for e in ends if mod97(text[m.start() : e])), None)
+        if end:
+            yield "iban", m.start(), end
+        m = _IBAN.search(text, end or m.start() + 1)
+
+
 def _added(text: str):
-    for m in _IBAN.finditer(text):
-        if mod97(m[0]):
-            yield "iban", *m.span()
+    yield from _ibans(text)
     for m in _SSN.finditer(text):
         area, group, serial = m.groups()
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":

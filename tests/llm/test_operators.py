@@ -275,6 +275,16 @@ def brute_pii(t):
     return sorted(out, key=lambda x: (x[1], pii.KINDS.index(x[0])))
 
 
+def test_iban_before_words_and_numbers():
+    iban = "DE89 3704 0044 0532 0130 00"
+    for after in ("", " BIC COBADEFF now", " 12 345", " GB29 NWBK 6016 1331 9268 19 X", ", then"):
+        t = f"IBAN {iban}{after}"
+        found = [t[a:b] for k, a, b, _ in pii.find(t) if k == "iban"]
+        assert found == [iban] + ["GB29 NWBK 6016 1331 9268 19"] * ("GB29" in after), t
+    assert pii.redacted(f"pay {iban} BIC COBADEFF").count("3704") == 0
+    assert not any(k == "iban" for k, *_ in pii.find("IBAN DE88 3704 0044 0532 0130 00 BIC"))
+
+
 def test_pii_spans(docs, texts, odd):
     rnd = random.Random(1)
     for _ in range(20_000):
