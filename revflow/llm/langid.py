@@ -171,11 +171,16 @@ def fit_on_documents(docs: DataFrame, **how) -> Model:
 
 
 def drop_unidentified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; all columns and other rows stay as they are."""
+    """``docs`` without the rows whose language is ``und``; all columns and other rows stay as they are.
+
+    A model that had no labels to learn from calls every text ``und``; then only null texts and texts without a letter are dropped.
+    """
+    identified = lambda t: model.predict(t)[0] != UND if model.families else bool(t and _LETTER.search(t))
+
     def start():
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
             at = b.schema.names.index(text_col)
-            keep = [model.predict(t)[0] != UND for t in b.column(at).to_pylist()]
+            keep = [identified(t) for t in b.column(at).to_pylist()]
             return b.filter(pa.array(keep, pa.bool_()))
 
         return work

@@ -68,6 +68,13 @@ def test_language_without_labels(odd):
     assert langid.predict(odd.filter("false"), model).count() == 0
 
 
+def test_no_document_is_dropped_for_lack_of_labels(odd):
+    model = langid.fit_on_documents(odd.withColumn("lang", F.lit(None).cast("string")))
+    left = langid.drop_unidentified(odd, model)
+    assert left.columns == odd.columns
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 5, 6, 7, 7, 8, 9]
+
+
 # 2 chat formatting
 
 def brute_repair(roles):
