@@ -15,7 +15,8 @@ end at its last places (those within DRIFT, as the outermost cuts of a periodic
 
 A digest counts as repeated when at least two documents hold it. Digests are folded to their smallest and largest doc_id before the
 shuffle; occurrences are joined with the repeated digests, one row each, so a digest that very many documents hold can be
-split. No repeated passage of 15 + 4 * GAP + LEAST bytes (207) or more is missed.
+split. No repeated passage of 15 + 6 * GAP + LEAST bytes (255) or more is missed: windows that reach over
+its end can add cuts in its last 2 * GAP bytes, which move chunk ends there. (Constant stretches, cut from where they begin, are not in this bound.)
 
 Defined results: null and short texts (under LEAST bytes) have no chunks; a text without two cuts far enough apart is one chunk. Rows
 with a null doc_id take no part; rows that share a doc_id are one document. Offsets are code points, the end is exclusive.
