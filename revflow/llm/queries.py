@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import ann, bpe, chat, chunks, decontam, langid, neardup, pii, toxicity, unigram
+from revflow.llm import ann, bpe, chat, chunks, decontam, exact, langid, mend, neardup, pii, resample, toxicity, unigram
 from revflow.llm.common import held_out, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -60,9 +60,30 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, least_words=20, seed=7, n=2)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    hurt = mend.damaged(turns)
+    return mend.digests(mend.repair(hurt), hurt, turns)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_format, op3_multiprobe_lsh, op4_substring_dedup, op5_token_counts, op6_pii, op7_decontamination,
-    op8_near_duplicates, op9_toxicity, op10_byte_bpe)}
-
-#: None of the ten can be stated in DuckDB SQL (learned models, checksummed hashing by code, merges); tests use brute force.
-ORACLES: dict[str, str] = {}
+    op8_near_duplicates, op9_toxicity, op10_byte_bpe, op11_importance_resample, op12_exact_dedup, op13_conversation_repair)}
+
+#: The others learn models or hash by code; tests compare them with brute force.
+ORACLES: dict[str, str] = {
+    "op12_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+}
