@@ -3,66 +3,89 @@
 A workspace is one shared folder (a path on the cluster's shared storage):
 
     bronze/<entity>/            parquet appended by the stream, partitioned by ingestion_date
-    silver/<entity>/            current state by key bucket; a merge rewrites touched buckets only
-    gold/<fact>/                active facts by key bucket; a merge rewrites touched buckets only
-    gold/fact_pipeline_snapshot/  snapshots by snapshot_date; a run rewrites its own date only
+    silver/<entity>/            each run's changes, appended; the current state is their fold (sources.deltas)
+    gold/<fact>/                each run's fact rows, appended; the active facts are their fold
+    gold/fact_pipeline_snapshot/  snapshots by snapshot_date; a run overwrites its own date's partition only
+    schemas/<entity>/           the feed's schema history (sources.schemas)
     control/run_registry        append-only run events (folded on read)
     control/pipeline_watermark  append-only watermark rows (latest is current)
     control/bad_records         quarantined rows, partitioned by entity_name
 
 Every run logs start and end events, reads increments strictly after its
-layer's watermark and writes the next version before moving the watermark.
-A crash between the two repeats the increment, which the merges absorb
-(they are idempotent), and quarantine ids are content hashes without the run,
-so a repeated increment adds no bad row twice. A backfill never lowers a
-watermark and never overwrites newer rows.
+layer's watermark, appends its changes and then moves the watermark; what it
+writes is proportional to its increment, and its counts and marks are observed
+while it is written. A crash before the watermark moves repeats the increment;
+merging a change twice changes nothing, and quarantine ids are content
+hashes without the run, so nothing is doubled. A backfill never lowers a
+watermark and never overwrites newer rows. Watermarks are texts in UTC and are
+compared as instants, so sessions of any zone can share a workspace.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime, timezone
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from revflow.functions.quality import new_bad_records
+from revflow.functions.quality import REASONS, new_bad_records
 from revflow.operators import control
-from revflow.operators.facts import build_activity_rows, build_fact_rows
-from revflow.operators.merge import BUCKET, bucket_of, merge_fact, merge_snapshot
-from revflow.operators.snapshot import build_snapshot
+from revflow.operators.facts import activity_rows, build_fact_rows
+from revflow.operators.fold import fold_increment
+from revflow.operators.snapshot import build_snapshot, store_snapshot, stored_snapshots
 from revflow.plans import marts
-from revflow.plans.medallion import silver_increment, silver_source
+from revflow.plans.medallion import bad_rows, checked, silver_increment, valid_changes
+from revflow.sources.deltas import ChangeTable, activity_table, fact_table, state_table
 from revflow.sources.files import append
-from revflow.sources.tables import BucketedTable, publish_view
-from revflow.streaming.cdc import commit_bucketed
-from revflow.spec import APPOINTMENT, OPPORTUNITY, PHONECALL, EntitySpec
+from revflow.sources.schemas import SchemaStore
+from revflow.sources.views import publish_view
+from revflow.spec import APPOINTMENT, ENTITIES, OPPORTUNITY, PHONECALL, EntitySpec
+from revflow.streaming.cdc import micros
 from revflow.streaming.ingest import bronze_stream, read_feed_stream, start_bronze_sink
 
 
 def utcnow() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
+
+
+def _utc(t: datetime | None) -> datetime:
+    """A run's clock: now, or a given time; one without a zone is UTC."""
+    return utcnow() if t is None else t if t.tzinfo else t.replace(tzinfo=timezone.utc)
 
 
 @dataclass
 class Workspace:
     spark: SparkSession
     root: str
-    buckets: int = 64
+    hints: dict[str, T.StructType] = field(default_factory=dict)  # declared columns of an entity's feed
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def silver(self, entity: str) -> BucketedTable:
-        return BucketedTable(self.spark, self.path("silver", entity), BUCKET)
+    def bronze(self, entity: str) -> DataFrame:
+        """The bronze rows, in the feed's current schema where the store discovered it."""
+        store, path = self.schemas(entity), self.path("bronze", entity)
+        if store.schema() is None:
+            return self.spark.read.option("mergeSchema", "true").parquet(path)
+        return store.current_rows(path)
+
+    def silver(self, entity: str) -> ChangeTable:
+        return state_table(self.spark, self.path("silver", entity), ENTITIES[entity], self.schemas(entity).generation())
 
-    def gold(self, fact: str, partition_col: str = BUCKET) -> BucketedTable:
-        return BucketedTable(self.spark, self.path("gold", fact), partition_col)
+    def gold(self, fact: str) -> ChangeTable:
+        if fact == "fact_activity":
+            return activity_table(self.spark, self.path("gold", fact), max(self.schemas(s.name).generation() for s in (PHONECALL, APPOINTMENT)))
+        entity = fact.removeprefix("fact_")
+        return fact_table(self.spark, self.path("gold", fact), ENTITIES[entity].business_key, self.schemas(entity).generation())
 
-    def snapshots(self) -> BucketedTable:
-        return self.gold("fact_pipeline_snapshot", "snapshot_date")
+    def snapshots(self) -> DataFrame | None:
+        return stored_snapshots(self.spark, self.path("gold", "fact_pipeline_snapshot"))
+
+    def schemas(self, entity: str) -> SchemaStore:
+        return SchemaStore(self.spark, self.path("schemas", entity), self.hints.get(entity))
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
         try:
@@ -84,27 +107,24 @@ class Workspace:
     def log(self, df: DataFrame) -> None:
         append(df, self.path("control", "run_registry"))
 
-    def set_watermark(self, entity: str, layer: str, wm_type: str, value, run_id: str, now: datetime) -> None:
-        v = value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
+    def set_watermark(self, entity: str, layer: str, wm_type: str, value: str, run_id: str, now: datetime) -> None:
+        v = value
         append(control.watermark_event(self.spark, entity, layer, wm_type, v, run_id, now),
                self.path("control", "pipeline_watermark"))
 
-    def watermark(self, entity: str, layer: str):
+    def watermark(self, entity: str, layer: str) -> str | None:
         events = self._read("pipeline_watermark", control.WATERMARK_SCHEMA)
         return control.latest_watermark(events, entity, layer)
 
 
-WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
-
-def _wm_text(c):
-    """A watermark rendered by Spark in the session time zone, so that reading it back
-    with ``cast('timestamp')`` in the same session gives the same instant."""
-    return F.date_format(c, WATERMARK_FORMAT)
+def mark_text(us: int) -> str:
+    """An instant, in microseconds since 1970, as a watermark: a UTC text of one length, so that later is also greater."""
+    return f"{datetime(1970, 1, 1) + timedelta(microseconds=us):%Y-%m-%d %H:%M:%S.%f}"
 
 
-def _wm_now(now: datetime) -> str:
-    return now.strftime("%Y-%m-%d %H:%M:%S.%f")
+def mark_time(mark: str) -> Column:
+    """The instant of a watermark text, whatever the session's zone."""
+    return F.timestamp_micros(F.lit(micros(datetime.fromisoformat(mark))))
 
 
 def _start(ws: Workspace, run_id: str, pipeline: str, entity: str, layer: str, now: datetime,
@@ -126,37 +146,38 @@ def _guard(ws: Workspace, run_id: str, fn):
 
 # --- bronze -----------------------------------------------------------------
 
-def run_bronze(ws: Workspace, spec: EntitySpec, landing: str, schema: T.StructType, run_id: str,
+def run_bronze(ws: Workspace, spec: EntitySpec, landing: str, schema: T.StructType | None, run_id: str,
                trigger_mode: str = "available_now", fmt: str = "parquet", now: datetime | None = None,
                interval: str | None = None):
     """Stream new change files into the bronze table.
 
+    Without a ``schema`` the store discovers it from the landed files and keeps its history (S2, S5): each run looks at the landed
+    files first, so a file with a new or widened column restarts the stream with the evolved schema.
+
     ``available_now`` ingests what has landed, stops, logs the run and returns
-    the rows it wrote (F6). ``micro_batch`` starts a continuously running query
+    the rows it wrote, as the query counted them (F6, A4). ``micro_batch`` starts a continuously running query
     and returns its handle; progress is then in the query's own metrics.
     """
-    now = now or utcnow()
+    now = _utc(now)
     _start(ws, run_id, f"crm_bronze_{spec.name}", spec.name, "bronze", now)
 
     def body():
-        raw = read_feed_stream(ws.spark, landing, schema, fmt)
+        if schema is None:
+            raw = ws.schemas(spec.name).read_stream(landing, fmt)
+        else:
+            raw = read_feed_stream(ws.spark, landing, schema, fmt)
         bronze = bronze_stream(raw, spec, run_id)
         q = start_bronze_sink(bronze, ws.path("bronze", spec.name), ws.path("_checkpoints", "bronze", spec.name),
                               trigger_mode, interval)
         if trigger_mode != "available_now":
             return q
         q.awaitTermination()
-        try:
-            # only the partitions this run can have written are listed and read
-            written = (ws.spark.read.parquet(ws.path("bronze", spec.name))
-                       .filter((F.col("ingestion_date") >= F.lit(now.date())) &
-                               (F.col("bronze_pipeline_run_id") == run_id)).count())
-        except AnalysisException:
-            written = 0
+        written = sum(p["numInputRows"] for p in q.recentProgress)
         end = utcnow()
-        _end(ws, run_id, end, source_high_watermark=end.isoformat(sep=" "), source_row_count=written,
+        mark = mark_text(micros(end))
+        _end(ws, run_id, end, source_high_watermark=mark, source_row_count=written,
              target_row_count=written, rows_quarantined=0)
-        ws.set_watermark(spec.name, "bronze", "source_high_watermark", end, run_id, end)
+        ws.set_watermark(spec.name, "bronze", "source_high_watermark", mark, run_id, end)
         return written
 
     return _guard(ws, run_id, body)
@@ -164,114 +185,137 @@ def run_bronze(ws: Workspace, spec: EntitySpec, landing: str, schema: T.StructTy
 
 # --- silver -----------------------------------------------------------------
 
+def _not_older(changes: DataFrame, state: DataFrame | None, key: str) -> DataFrame:
+    """T4: without the changes that are older than the state they would change."""
+    if state is None:
+        return changes
+    stored = state.select(F.col(key).alias("__key"), F.col("silver_last_event_ts").alias("__event"))
+    joined = changes.join(stored, F.col(key) == F.col("__key"), "left")
+    newer = F.coalesce(F.col("bronze_business_event_ts") >= F.col("__event"), F.lit(False))
+    return joined.filter(F.col("__event").isNull() | newer).select(*changes.columns)
+
+
 def run_silver(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | None = None,
                backfill: tuple | None = None, time_guard: bool = False) -> str:
-    """One silver increment; returns the run status."""
-    now = now or utcnow()
+    """One silver increment; returns the run status.
+
+    Bronze is read once: the checked increment is kept for the two writes, and its counts and high mark are observed by the first.
+    """
+    now = _utc(now)
     _start(ws, run_id, f"crm_silver_{spec.name}", spec.name, "silver", now)
 
     def body():
-        run_ts = F.lit(now).cast("timestamp")
-        bronze = ws.spark.read.option("mergeSchema", "true").parquet(ws.path("bronze", spec.name))
+        run_ts = F.timestamp_micros(F.lit(micros(now)))
+        bronze = ws.bronze(spec.name)
         mark = ws.watermark(spec.name, "silver")
-        inc = silver_increment(bronze, None if backfill else mark, backfill)
-        inc = inc.persist()  # read by the emptiness probe, the counts and the merge
+        inc = silver_increment(bronze, mark_time(mark) if mark and not backfill else None, backfill)
+        table, seen = ws.silver(spec.name), Observation()
+        kept = checked(inc, spec).persist()
         try:
-            if inc.isEmpty():
+            rows = kept.observe(seen, F.count(F.lit(1)).alias("n"), F.unix_micros(F.max("bronze_ingest_ts")).alias("high"),
+                                F.count_if(F.size(REASONS) > 0).alias("bad"))
+            changes = valid_changes(rows, spec, run_id, run_ts)
+            if time_guard or backfill is not None:
+                changes = _not_older(changes, table.read(), spec.primary_key)
+            table.append(changes, run_id, micros(now))
+            stats = seen.get
+            if not stats.get("n"):
                 _end(ws, run_id, utcnow(), status="skipped")
                 return "skipped"
-            source, bad = silver_source(inc, spec, run_id, run_ts)
-            stats = inc.agg(F.count(F.lit(1)).alias("n"), _wm_text(F.max("bronze_ingest_ts")).alias("hw")).first()
-            bad = bad.persist()
-            n_bad = bad.count()
-            if n_bad:
-                append(new_bad_records(bad, ws.bad_records()), ws.path("control", "bad_records"), ["entity_name"])
-            commit_bucketed(ws.silver(spec.name), source, spec, run_id, run_ts, ws.buckets,
-                            time_guard=time_guard or backfill is not None)
-            bad.unpersist()
-            hw = stats["hw"] or _wm_now(now)  # A3 over every row read, valid or not
-            hw = max(hw, mark or hw)  # both in WATERMARK_FORMAT; a backfill never lowers the mark
-            status = "partial_success" if n_bad else "success"
-            _end(ws, run_id, utcnow(), status=status, source_high_watermark=str(hw), source_row_count=stats["n"],
-                 target_row_count=stats["n"] - n_bad, rows_quarantined=n_bad)
-            ws.set_watermark(spec.name, "silver", "bronze_ingest_ts", hw, run_id, utcnow())
-            return status
+            n_bad = stats["bad"]
+            if n_bad and spec.quarantine_enabled:
+                stored = ws.bad_records().filter(F.col("entity_name") == spec.name)  # one partition
+                append(new_bad_records(bad_rows(kept, spec, run_id, run_ts), stored), ws.path("control", "bad_records"), ["entity_name"])
         finally:
-            inc.unpersist()
+            kept.unpersist()
+        high = mark_text(stats["high"] if stats["high"] is not None else micros(now))  # A3 over every row read, valid or not
+        high = max(high, mark or high)  # a backfill never lowers the mark
+        status = "partial_success" if n_bad else "success"
+        _end(ws, run_id, utcnow(), status=status, source_high_watermark=high, source_row_count=stats["n"],
+             target_row_count=stats["n"] - n_bad, rows_quarantined=n_bad)
+        ws.set_watermark(spec.name, "silver", "bronze_ingest_ts", high, run_id, utcnow())
+        return status
 
     return _guard(ws, run_id, body)
 
 
 # --- gold -------------------------------------------------------------------
 
-def _silver_increment(ws: Workspace, entity: str, layer_entity: str) -> DataFrame | None:
-    """silver rows updated after the gold watermark. Only buckets rewritten by
-    a silver run after the watermark are listed and scanned."""
+def _silver_increment(ws: Workspace, entity: str, mark: str | None) -> DataFrame | None:
+    """silver rows updated after the gold watermark, from the changes appended since then (older partitions are pruned)."""
     table = ws.silver(entity)
-    wm = ws.watermark(layer_entity, "gold")
-    if wm is None:
+    if mark is None:
         return table.read()
-    buckets = table.buckets_updated_after(wm)
-    s = table.read(only=buckets)
-    return None if s is None else s.filter(F.col("silver_updated_ts") > F.lit(wm).cast("timestamp"))
+    changes = table.changes()
+    return None if changes is None else fold_increment(changes, ENTITIES[entity], mark_time(mark))
+
+
+def _counted(rows: DataFrame, seen: Observation) -> DataFrame:
+    """``rows`` with their number, how many are active and the latest silver time observed."""
+    return rows.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("gold_delete_flag")).alias("active"),
+                        F.unix_micros(F.max("gold_source_updated_ts")).alias("high"))
 
 
 def run_gold(ws: Workspace, spec: EntitySpec, run_id: str, now: datetime | None = None) -> str:
-    """Merge the silver increment into the entity's fact."""
-    now = now or utcnow()
+    """Append the silver increment's rows to the entity's fact, in one pass that also counts them."""
+    now = _utc(now)
     _start(ws, run_id, f"crm_gold_{spec.name}", spec.name, "gold", now)
 
     def body():
-        inc = _silver_increment(ws, spec.name, spec.name)
-        if inc is None or inc.isEmpty():
+        inc = _silver_increment(ws, spec.name, ws.watermark(spec.name, "gold"))
+        if inc is None:
+            _end(ws, run_id, utcnow(), status="skipped")
+            return "skipped"
+        seen, fact = Observation(), ws.gold(f"fact_{spec.name}")
+        rows = build_fact_rows(inc, spec, F.timestamp_micros(F.lit(micros(now))))
+        fact.append(_counted(rows, seen), run_id, micros(now))
+        stats = seen.get
+        if not stats.get("n"):
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
-        rows = build_fact_rows(inc, spec, F.lit(now).cast("timestamp"))
-        fact = ws.gold(f"fact_{spec.name}")
-        rows = rows.withColumn(BUCKET, bucket_of([spec.business_key], fact.bucket_count(ws.buckets)))
-        fact.merge(rows, lambda tgt, src: merge_fact(tgt, src, spec.business_key, BUCKET, touched_only=True),
-                   _first_fact)
         if spec.serving_view:
-            publish_view(fact.read().drop(BUCKET), spec.serving_view)
-        stats = inc.agg(F.count(F.lit(1)).alias("n"), _wm_text(F.max("silver_updated_ts")).alias("hw"),
-                        F.count_if(F.col(spec.active_flag_column) != F.lit(False)).alias("active")).first()
-        hw = stats["hw"] or _wm_now(now)
-        _end(ws, run_id, utcnow(), source_high_watermark=str(hw), source_row_count=stats["n"],
+            publish_view(fact.read(), spec.serving_view)
+        high = mark_text(stats["high"] if stats["high"] is not None else micros(now))
+        _end(ws, run_id, utcnow(), source_high_watermark=high, source_row_count=stats["n"],
              target_row_count=stats["active"], rows_quarantined=0)
-        ws.set_watermark(spec.name, "gold", "silver_updated_ts", hw, run_id, utcnow())
+        ws.set_watermark(spec.name, "gold", "silver_updated_ts", high, run_id, utcnow())
         return "success"
 
     return _guard(ws, run_id, body)
 
 
-def _first_fact(rows: DataFrame) -> DataFrame:
-    """The first version of a fact: M2 into an empty target keeps the unflagged rows."""
-    return rows.filter(~F.col("gold_delete_flag")).drop("gold_delete_flag")
-
+def run_activity(ws: Workspace, run_id: str, now: datetime | None = None) -> str:
+    """The increments of both activity kinds, each after its own watermark, appended to fact_activity as one run.
 
-def run_activity(ws: Workspace, run_id: str, now: datetime | None = None, duplicates: str = "latest") -> str:
-    """Both activity kinds merged into fact_activity (full, as designed)."""
-    now = now or utcnow()
+    A kind's deletes travel as flagged rows. Only changed activities are read; the fold equals a full refresh.
+    """
+    now = _utc(now)
     _start(ws, run_id, "crm_gold_activity", "activity", "gold", now)
 
     def body():
-        phone, appt = ws.silver(PHONECALL.name).read(), ws.silver(APPOINTMENT.name).read()
-        if phone is None and appt is None:
+        rows, seen = None, {}
+        for spec in (PHONECALL, APPOINTMENT):
+            inc = _silver_increment(ws, spec.name, ws.watermark(f"activity_{spec.name}", "gold"))
+            if inc is None:
+                continue  # a kind without a silver table yet has no rows; the other kind is built all the same
+            seen[spec.name] = Observation()
+            kind = _counted(activity_rows(inc, spec.activity_type or spec.name, F.timestamp_micros(F.lit(micros(now)))), seen[spec.name])
+            rows = kind if rows is None else rows.unionByName(kind)
+        if rows is None:
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
-        # a kind without a silver table yet has no rows; the other kind is built all the same
-        phone = appt.limit(0) if phone is None else phone
-        appt = phone.limit(0) if appt is None else appt
-        rows = build_activity_rows(phone.drop(BUCKET), appt.drop(BUCKET), F.lit(now).cast("timestamp"), duplicates)
         fact = ws.gold("fact_activity")
-        rows = rows.withColumn(BUCKET, bucket_of(["activity_id"], fact.bucket_count(ws.buckets)))
-        fact.merge(rows, lambda tgt, src: merge_fact(tgt, src, "activity_id", BUCKET, touched_only=True),
-                   _first_fact)
-        publish_view(fact.read().drop(BUCKET), PHONECALL.serving_view)
-        stats = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("gold_delete_flag")).alias("kept")).first()
-        _end(ws, run_id, utcnow(), source_high_watermark=now.isoformat(sep=" "), source_row_count=stats["n"],
-             target_row_count=stats["kept"], rows_quarantined=0)
-        ws.set_watermark("activity", "gold", "run_timestamp", now, run_id, utcnow())
+        fact.append(rows, run_id, micros(now))
+        stats = {k: o.get for k, o in seen.items()}
+        read = sum(s.get("n") or 0 for s in stats.values())
+        publish_view(fact.read(), PHONECALL.serving_view)
+        mark = mark_text(micros(now))
+        _end(ws, run_id, utcnow(), source_high_watermark=mark, source_row_count=read,
+             target_row_count=sum(s.get("active") or 0 for s in stats.values()), rows_quarantined=0)
+        for kind, s in stats.items():
+            if s.get("n"):
+                ws.set_watermark(f"activity_{kind}", "gold", "silver_updated_ts", mark_text(s["high"]), run_id, utcnow())
+        ws.set_watermark("activity", "gold", "run_timestamp", mark, run_id, utcnow())
         return "success"
 
     return _guard(ws, run_id, body)
@@ -280,7 +324,7 @@ def run_activity(ws: Workspace, run_id: str, now: datetime | None = None, duplic
 def run_snapshot(ws: Workspace, snapshot_ts: str, run_id: str, spec: EntitySpec = OPPORTUNITY,
                  now: datetime | None = None) -> str:
     """An idempotent snapshot of the current opportunity fact."""
-    now = now or utcnow()
+    now = _utc(now)
     _start(ws, run_id, "crm_gold_pipeline_snapshot", spec.name, "gold_snapshot", now)
 
     def body():
@@ -288,13 +332,12 @@ def run_snapshot(ws: Workspace, snapshot_ts: str, run_id: str, spec: EntitySpec
         if fact is None:
             _end(ws, run_id, utcnow(), status="skipped")
             return "skipped"
-        snap = build_snapshot(fact.drop(BUCKET), snapshot_ts, run_id, spec, F.lit(now).cast("timestamp"))
-        table = ws.snapshots()
-        keys = list(spec.snapshot.keys) if spec.snapshot else ["snapshot_ts", spec.business_key]
-        table.merge(snap, lambda tgt, src: merge_snapshot(tgt, src, keys, touched_only=True), lambda src: src)
-        if spec.snapshot_view:
-            publish_view(table.read(), spec.snapshot_view)
-        n = fact.count()
+        seen, path = Observation(), ws.path("gold", "fact_pipeline_snapshot")
+        snap = build_snapshot(fact.observe(seen, F.count(F.lit(1)).alias("n")), snapshot_ts, run_id, spec, F.timestamp_micros(F.lit(micros(now))))
+        store_snapshot(path, snap, snapshot_ts, spec)
+        n = seen.get.get("n", 0)
+        if spec.snapshot_view and n:
+            publish_view(ws.snapshots(), spec.snapshot_view)
         _end(ws, run_id, utcnow(), source_high_watermark=snapshot_ts, source_row_count=n, target_row_count=n,
              rows_quarantined=0)
         ws.set_watermark(spec.name, "gold_snapshot", "snapshot_ts", snapshot_ts, run_id, utcnow())
@@ -305,7 +348,7 @@ def run_snapshot(ws: Workspace, snapshot_ts: str, run_id: str, spec: EntitySpec
 
 def serving_views(ws: Workspace, as_of: str) -> dict[str, DataFrame]:
     """The serving layer: scorecard and stale deals over the current fact."""
-    fact = ws.gold("fact_opportunity").read().drop(BUCKET)
+    fact = ws.gold("fact_opportunity").read()
     views = {"vw_rep_scorecard": marts.rep_scorecard(fact), "vw_stale_deals": marts.stale_deals(fact, as_of)}
     for name, df in views.items():
         publish_view(df, name)
@@ -314,42 +357,23 @@ def serving_views(ws: Workspace, as_of: str) -> dict[str, DataFrame]:
 
 def run_maintenance(ws: Workspace, entities=("opportunity", "quote", "contract", "phonecall", "appointment")
                     ) -> dict[str, str]:
-    """Compact the silver tables of ``entities``, their facts and fact_activity into new versions.
+    """Fold the silver tables of ``entities``, their facts and fact_activity into new bases clustered by key.
 
-    Returns each table's outcome: ``compacted``, ``absent`` or the error; a failed
+    Returns each table's outcome: ``folded``, ``unchanged`` (no run since the last fold), ``absent`` or the error; a failed
     table is also logged as a failed run, and the others continue.
     """
     kinds = (PHONECALL.name, APPOINTMENT.name)
-    tables = [(f"silver/{e}", ws.silver(e), _spec(e).primary_key) for e in entities]
-    tables += [(f"gold/fact_{e}", ws.gold(f"fact_{e}"), _spec(e).business_key) for e in entities if e not in kinds]
+    tables = [(f"silver/{e}", ws.silver(e), ENTITIES[e].primary_key) for e in entities]
+    tables += [(f"gold/fact_{e}", ws.gold(f"fact_{e}"), ENTITIES[e].business_key) for e in entities if e not in kinds]
     if any(e in kinds for e in entities):
         tables.append(("gold/fact_activity", ws.gold("fact_activity"), "activity_id"))
     done = {}
     for name, table, key in tables:
         try:
-            done[name] = "compacted" if _compact(table, key) else "absent"
+            done[name] = "absent" if not table.exists() else "unchanged" if table.fold(key) is None else "folded"
         except Exception as e:  # noqa: BLE001  reported in the outcome and the run registry
             done[name] = f"{type(e).__name__}: {e}"
             now, run_id = utcnow(), f"maintenance-{name.replace('/', '-')}-{utcnow():%Y%m%d%H%M%S%f}"
             _start(ws, run_id, "crm_maintenance", name, "maintenance", now)
             _end(ws, run_id, now, status="failed", error_message=done[name])
     return done
-
-
-def _compact(table: BucketedTable, key: str) -> bool:
-    """Rewrite every live bucket with its rows clustered by ``key``; the content is
-    unchanged, so each bucket keeps its recorded run time. A bucket is dealt by key
-    range over several tasks where it is large (the rebalance splits partitions
-    over the advisory size), and small ones stay one file."""
-    cur = table.read()
-    if cur is None:
-        return False
-    buckets = [b for b, _ in table.bucket_versions()]
-    table.commit(cur.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, key), buckets, run_ts=table.run_times())
-    return True
-
-
-def _spec(name: str) -> EntitySpec:
-    from revflow.spec import ENTITIES
-
-    return ENTITIES[name]

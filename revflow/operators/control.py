@@ -59,9 +59,6 @@ BAD_RECORDS_SCHEMA = T.StructType([
     T.StructField("quarantined_ts", T.TimestampType(), False),
 ])
 
-RUN_STATUSES = ("running", "success", "partial_success", "failed", "skipped")
-
-
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A typed empty table."""
     return spark.createDataFrame([], schema)
@@ -104,10 +101,10 @@ def fold_latest(events: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def fold_runs(events: DataFrame, order: Sequence[str] = ("updated_ts",)) -> DataFrame:
-    """Current run registry from its events (one row per ``run_id``). Where events tie, an end counts after a start."""
+    """Current run registry from its events (one row per ``run_id``). An end counts after every start, whatever the clocks say."""
     ended = "__ended"
     marked = events.withColumn(ended, F.coalesce(F.col("status") != "running", F.lit(False)))
-    return fold_latest(marked, ["run_id"], [*order, ended]).drop(ended)
+    return fold_latest(marked, ["run_id"], [ended, *order]).drop(ended)
 
 
 # --- watermarks (M5, F3, F10) ----------------------------------------------

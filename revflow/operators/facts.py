@@ -10,8 +10,6 @@ from revflow.functions.columns import col_or_null, delete_flag, mapped_select, w
 from revflow.operators.dedup import ensure_unique
 from revflow.spec import EntitySpec
 
-GOLD_AUDIT = ("is_active", "source_event_ts", "source_run_id", "gold_source_updated_ts", "gold_updated_ts")
-
 # The conformed activity projection, (target, source) in output order.
 ACTIVITY_MAPPING = (
     ("activity_id", "activityid"),
@@ -74,6 +72,11 @@ def select_activity(silver: DataFrame, activity_type: str, gold_ts: Column | Non
     )
 
 
+def activity_rows(silver: DataFrame, activity_type: str, gold_ts: Column | None = None) -> DataFrame:
+    """P12 + P11 of one kind: its projection with ``gold_delete_flag``."""
+    return select_activity(silver, activity_type, gold_ts).withColumn("gold_delete_flag", delete_flag("is_active"))
+
+
 def build_activity_rows(phonecall: DataFrame, appointment: DataFrame, gold_ts: Column | None = None,
                         duplicates: str | None = None) -> DataFrame:
     """U1 + P11: both kinds by name, with ``gold_delete_flag``.

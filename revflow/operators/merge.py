@@ -131,9 +131,6 @@ def keyed_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 # --- the pipeline's merges ------------------------------------------------
 
-SILVER_AUDIT = ("is_active", "silver_deleted_ts", "silver_last_event_ts", "silver_last_run_id", "silver_updated_ts")
-
-
 #: Columns that steer a merge and are never stored.
 STEERING = ("gold_delete_flag", "bronze_is_delete")
 
@@ -145,7 +142,7 @@ def with_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.withColumns(new) if new else target
 
 
-def prepare_silver_source(valid: DataFrame, spec: EntitySpec, run_id: str, run_ts: Column | None = None) -> DataFrame:
+def prepare_silver_source(valid: DataFrame, spec: EntitySpec, run_id: str | Column, run_ts: Column | None = None) -> DataFrame:
     """P4-P6 on a deduplicated batch: active flag, deleted time and audit stamp."""
     run_ts = run_ts if run_ts is not None else F.current_timestamp()
     is_del = F.col("bronze_is_delete") == F.lit(True)
@@ -156,7 +153,7 @@ def prepare_silver_source(valid: DataFrame, spec: EntitySpec, run_id: str, run_t
                 F.lit(None).cast("timestamp")
             ),
             "silver_last_event_ts": F.col("bronze_business_event_ts"),
-            "silver_last_run_id": F.lit(run_id),
+            "silver_last_run_id": F.lit(run_id),  # a column stays what it is
             "silver_updated_ts": run_ts.cast("timestamp"),
         }
     )

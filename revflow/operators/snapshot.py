@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from revflow.functions.columns import with_snapshot_stamp
 from revflow.operators.merge import merge_snapshot
@@ -23,3 +25,26 @@ def upsert_snapshot(target: DataFrame | None, snap: DataFrame, spec: EntitySpec
     if target is None:
         target = snap.limit(0)
     return merge_snapshot(target, snap, keys)
+
+
+def stored_snapshots(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored snapshots, partitioned by ``snapshot_date``; None before the first."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def store_snapshot(path: str, snap: DataFrame, snapshot_ts: str, spec: EntitySpec = OPPORTUNITY) -> None:
+    """M4 on storage: upsert the snapshot of ``snapshot_ts`` into its date's partition with Spark's dynamic partition overwrite.
+
+    Only that date is read and replaced; the other dates' files stay. A rerun replaces its own rows; rows of the date's other
+    snapshot times, and those of keys that left since, are kept.
+    """
+    stored = stored_snapshots(snap.sparkSession, path)
+    if stored is not None:
+        stored = stored.filter(F.col("snapshot_date") == F.to_date(F.to_timestamp(F.lit(snapshot_ts))))
+        snap = upsert_snapshot(stored, snap, spec)
+    snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)

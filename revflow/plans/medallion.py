@@ -6,16 +6,17 @@ jobs that persist versions and control tables live in ``revflow.jobs``.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revflow.functions.cdc import classify_changes, stamp_lineage, standardize_event_time
 from revflow.functions.quality import apply_entity_rules, build_bad_records, split_valid_invalid
-from revflow.operators.dedup import latest_per_key, silver_order
+from revflow.operators.dedup import ensure_unique, latest_per_key, silver_order
 from revflow.operators.merge import merge_current_state, prepare_silver_source, silver_schema_frame
+from revflow.operators.fold import ORDER, RUN
+from revflow.sources.deltas import ChangeTable
 from revflow.spec import EntitySpec
 
 
@@ -27,6 +28,10 @@ def bronze_rows(feed: DataFrame, spec: EntitySpec, run_id: str, ingest_ts: Colum
     return stamp_lineage(classify_changes(feed, spec), spec, run_id, ingest_ts, source_file)
 
 
+#: Days that the date of an instant can differ between the zones of two sessions.
+ZONE_DAYS = 2
+
+
 def silver_increment(bronze: DataFrame, watermark=None, backfill: tuple | None = None) -> DataFrame:
     """Rows newer than the watermark (strict), or inside a backfill window
     ``[from, to)`` which replaces the watermark filter.
@@ -40,13 +45,13 @@ def silver_increment(bronze: DataFrame, watermark=None, backfill: tuple | None =
         lo, hi = (F.lit(x).cast("timestamp") for x in backfill)
         cond = (ts >= lo) & (ts < hi)
         if dated:
-            cond = cond & (F.col("ingestion_date") >= F.to_date(lo)) & (F.col("ingestion_date") <= F.to_date(hi))
+            cond = cond & (F.col("ingestion_date") >= F.date_sub(lo, ZONE_DAYS)) & (F.col("ingestion_date") <= F.date_add(hi, ZONE_DAYS))
         return bronze.filter(cond)
     if watermark is not None:
         wm = F.lit(watermark).cast("timestamp")
         cond = ts > wm
         if dated:
-            cond = cond & (F.col("ingestion_date") >= F.to_date(wm))
+            cond = cond & (F.col("ingestion_date") >= F.date_sub(wm, ZONE_DAYS))
         return bronze.filter(cond)
     return bronze
 
@@ -66,11 +71,25 @@ def silver_source(bronze: DataFrame, spec: EntitySpec, run_id: str, run_ts: Colu
     Invalid rows leave before dedup, so an older valid row beats a newer
     invalid one.
     """
-    valid, invalid = split_valid_invalid(checked(bronze, spec, deletes_exempt))
-    bad = build_bad_records(invalid, run_id, spec.name, "silver", spec.primary_key,
-                            quarantined_ts if quarantined_ts is not None else run_ts)
-    latest = latest_per_key(valid, [spec.primary_key], silver_order(tie_breakers))
-    return prepare_silver_source(latest, spec, run_id, run_ts), bad
+    rows = checked(bronze, spec, deletes_exempt)
+    bad = bad_rows(rows, spec, run_id, quarantined_ts if quarantined_ts is not None else run_ts)
+    return valid_changes(rows, spec, run_id, run_ts, tie_breakers), bad
+
+
+def bad_rows(rows: DataFrame, spec: EntitySpec, run_id: str, quarantined_ts: Column | None) -> DataFrame:
+    """The quarantine rows (D5) of checked rows."""
+    return build_bad_records(split_valid_invalid(rows)[1], run_id, spec.name, "silver", spec.primary_key, quarantined_ts)
+
+
+def valid_changes(rows: DataFrame, spec: EntitySpec, run_id: str, run_ts: Column | None = None,
+                  tie_breakers: Sequence[str | Column] = ()) -> DataFrame:
+    """W1 + P4-P6: one prepared change for each key of checked rows."""
+    valid = split_valid_invalid(rows)[0]
+    if spec.dedup_enabled:
+        valid = latest_per_key(valid, [spec.primary_key], silver_order(tie_breakers))
+    else:
+        valid = ensure_unique(valid, [spec.primary_key], "error")
+    return prepare_silver_source(valid, spec, run_id, run_ts)
 
 
 def silver_merge(target: DataFrame | None, source: DataFrame, spec: EntitySpec, run_id: str,
@@ -91,56 +110,15 @@ def silver_state_of_feed(feed: DataFrame, spec: EntitySpec, run_id: str, run_ts:
     return silver_merge(None, source, spec, run_id, run_ts)
 
 
-def bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int,
-                   partition_by: str | None = None) -> DataFrame:
-    """Store ``df`` at ``path`` (shared storage) as an external table bucketed by
-    ``key``; a join on ``key`` of two such tables with the same bucket count
-    reads both sides co-partitioned and needs no exchange."""
-    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
-def merge_batches(spark, valid: DataFrame, spec: EntitySpec, batch_col: str, stage_path: str,
-                  run_id_of, run_ts_of, tie_breakers: Sequence[str | Column] = (), buckets: int | None = None,
-                  **merge_kw) -> DataFrame:
-    """The incremental path: apply M1 to each batch of ``valid`` in order.
-
-    Every batch's dedup is independent of the others, so the winners of all
-    (key, batch) pairs are found in one windowed pass and staged partitioned
-    by batch (X28). The loop then only merges: each step reads one staged
-    partition, joins it with the state and writes the new state as a table in
-    the shared checkpoint folder, which also cuts the lineage. The loop count
-    is the number of batches, not rows. ``run_id_of`` / ``run_ts_of`` map a
-    batch value to its run id and run time.
-
-    The staged winners and every state version are tables bucketed by the key
-    with one bucket count (default: the session's shuffle partitions), so each
-    batch's full outer join reads both sides co-partitioned: the state, which
-    grows with the data, is never shuffled; each task merges and writes one
-    bucket. The winners are repartitioned by key once (at most one row per key
-    and batch), so each bucket and batch is one file.
+def append_batches(table: ChangeTable, valid: DataFrame, spec: EntitySpec, batch_col: str, run_id_of: Callable[[Column], Column],
+                   run_ts_of: Callable[[Column], Column], tie_breakers: Sequence[str | Column] = ()) -> None:
+    """The incremental path of many batches at once: append the changes of every batch to ``table`` as its own run.
+
+    Each batch's dedup is independent of the others, so the winners of all (key, batch) pairs are found by one window (a partial top-1
+    before the shuffle) and written in one job, one partition of the change log for each batch. Batches are ordered by their run time.
+    ``run_id_of`` / ``run_ts_of`` map the batch column to its run id and run time.
     """
-    key = spec.primary_key
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = "revflow_" + re.sub(r"[^0-9a-zA-Z]", "_", stage_path.rstrip("/").rsplit("/", 1)[-1])
-    winners = latest_per_key(valid, [key, batch_col], silver_order(tie_breakers))
-    staged = bucketed_table(winners.repartition(n, key), f"{tag}_winners", f"{stage_path}/winners", key, n,
-                            partition_by=batch_col)
-    batches = [r[0] for r in staged.select(batch_col).distinct().orderBy(batch_col).collect()]
-    state, state_name = None, None
-    for i, b in enumerate(batches):
-        run_id, run_ts = run_id_of(b), F.lit(run_ts_of(b)).cast("timestamp")
-        inc = staged.filter(F.col(batch_col) == F.lit(b)).drop(batch_col)
-        src = prepare_silver_source(inc, spec, run_id, run_ts)
-        merged = silver_merge(state, src, spec, run_id, run_ts, **merge_kw)
-        if state is None:
-            merged = merged.repartition(n, key)  # the first version: one file per bucket
-        name = f"{tag}_state_{i:05d}"
-        state = bucketed_table(merged, name, f"{stage_path}/state-{i:05d}", key, n)
-        if state_name is not None:
-            spark.sql(f"DROP TABLE IF EXISTS {state_name}")  # external: only the catalog entry goes
-        state_name = name
-    return state
+    winners = latest_per_key(valid, [spec.primary_key, batch_col], silver_order(tie_breakers))
+    run_id, run_ts = run_id_of(F.col(batch_col)), run_ts_of(F.col(batch_col))
+    rows = winners.withColumns({ORDER: F.unix_micros(run_ts), RUN: run_id})
+    table.append_runs(prepare_silver_source(rows, spec, run_id, run_ts).drop(batch_col))

@@ -8,7 +8,7 @@ Clocks are fixed (``as_of``), so results are reproducible.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +22,14 @@ from revflow.operators.diff import table_diff
 from revflow.operators.facts import current_activity, current_fact
 from revflow.operators.layout import compact, file_count
 from revflow.operators.replay import replay_current_state
-from revflow.operators.snapshot import build_snapshot
+from revflow.operators.snapshot import build_snapshot, store_snapshot, stored_snapshots
 from revflow.plans import dims, marts, ops_views
-from revflow.plans.medallion import bronze_rows, checked, merge_batches, silver_increment, silver_state_of_feed
+from revflow.plans.medallion import append_batches, bronze_rows, checked, silver_increment, silver_state_of_feed
 from revflow.plans.oracle_sql import AS_OF_OPS, AS_OF_SALES
 from revflow.session import ensure_checkpoint_dir, scratch_path
 from revflow.sources import crm_feeds as feeds
 from revflow.sources.files import infer_feed_schema, read_feed
-from revflow.sources.tables import BucketedTable
+from revflow.sources.deltas import state_table
 from revflow.spec import APPOINTMENT, CONTRACT, OPPORTUNITY, PHONECALL, QUOTE, EntitySpec
 from revflow.streaming.cdc import CurrentStateWriter, start_current_state_stream
 from revflow.streaming.ingest import bronze_stream, read_feed_stream, run_bronze_available_now
@@ -312,21 +312,25 @@ def q_silver_state(spark, sf):
     return finalize(event_state(spark, sf))
 
 
-def _run_id_of(b: date) -> str:
-    return f"silver-{b:%Y%m%d}"
+def _run_id_of(b):
+    return F.concat(F.lit("silver-"), F.date_format(b, "yyyyMMdd"))
 
 
-def _run_ts_of(b: date) -> str:
-    return f"{b + timedelta(days=1):%Y-%m-%d} 00:00:00"
+def _run_ts_of(b):
+    return F.date_add(b, 1).cast("timestamp")
 
 
 @query("silver_incremental_merge")
 def q_silver_incremental(spark, sf):
-    """M1 applied batch after batch with the keyed merge (the incremental path)."""
+    """M1 batch after batch as appended changes: the batches before the cut are folded to a base, the later ones read on top of it."""
     prepare(spark)
-    state = merge_batches(spark, event_valid(spark, sf), EVENT_SPEC, "batch_date",
-                          scratch_path(spark, "bronze-events"), _run_id_of, _run_ts_of, EVENT_TIE_BREAKERS)
-    return finalize(state.select(*STATE_COLUMNS))
+    table = state_table(spark, scratch_path(spark, "event-state"), EVENT_SPEC)
+    valid, cut = event_valid(spark, sf), F.to_date(F.lit(CHANGE_FEED_CUT))
+    for part in (F.col("batch_date") < cut, F.col("batch_date") >= cut):
+        if table.exists():
+            table.fold()
+        append_batches(table, valid.filter(part), EVENT_SPEC, "batch_date", _run_id_of, _run_ts_of, EVENT_TIE_BREAKERS)
+    return finalize(table.read().select(*STATE_COLUMNS))
 
 
 # Gold mapping of the change-log entity (business key user_id).
@@ -525,21 +529,17 @@ SNAPSHOT_COLUMNS = ("opportunity_id", "snapshot_ts", "snapshot_date", "snapshot_
 
 def opportunity_snapshot(spark, sf) -> DataFrame:
     """The daily snapshot stored by date, then the same snapshot run again (M4):
-    the rerun merges into the stored date partition and changes nothing."""
-    from revflow.operators.merge import merge_snapshot
-    from revflow.sources.tables import BucketedTable as _Table
-
+    the rerun overwrites the stored date's partition with the same rows."""
     fact = fact_opportunity(spark, sf)
     snap = build_snapshot(fact, AS_OF_SALES, "snapshot-20010801", OPPORTUNITY, _ts(AS_OF_SALES))
-    table = _Table(spark, scratch_path(spark, "snapshots"), "snapshot_date")
-    keys = list(OPPORTUNITY.snapshot.keys)
+    path = scratch_path(spark, "snapshots")
     snap = snap.persist()  # one snapshot, stored and then rerun
     try:
         for _ in range(2):
-            table.merge(snap, lambda tgt, src: merge_snapshot(tgt, src, keys, touched_only=True), lambda src: src)
+            store_snapshot(path, snap, AS_OF_SALES)
     finally:
         snap.unpersist()
-    return table.read()
+    return stored_snapshots(spark, path)
 
 
 @query("opportunity_snapshot")
@@ -662,16 +662,15 @@ STREAM_CUT = "2024-01-16"
 
 @query("cdc_stream_state")
 def q_cdc_stream(spark, sf):
-    """T5: two file drops streamed through foreachBatch (dedup + M1 into a
-    bucketed, versioned state); each drop is one micro-batch."""
+    """T5: two file drops streamed through foreachBatch (dedup + M1 as appended
+    changes, folded on read); each drop is one micro-batch."""
     prepare(spark)
     base = scratch_path(spark, "cdc-stream")
     landing = f"{base}/landing"
     events = feeds.table(spark, sf, "events")
     cut = F.to_timestamp(F.lit(STREAM_CUT))
-    state = BucketedTable(spark, f"{base}/state")
-    writer = CurrentStateWriter(state, EVENT_SPEC, lambda b: f"stream-{b}", f"{base}/quarantine", _ts(AS_OF_OPS),
-                                EVENT_TIE_BREAKERS, buckets=16)
+    state = state_table(spark, f"{base}/state", EVENT_SPEC)
+    writer = CurrentStateWriter(state, EVENT_SPEC, lambda b: f"stream-{b}", f"{base}/quarantine", _ts(AS_OF_OPS), EVENT_TIE_BREAKERS)
     for drop in (events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)):
         drop.write.mode("append").parquet(landing)
         raw = read_feed_stream(spark, landing, EVENT_SCHEMA)
@@ -735,7 +734,7 @@ def q_jobs_fact(spark, sf):
     from revflow import jobs
 
     base = scratch_path(spark, "jobs")
-    ws = jobs.Workspace(spark, f"{base}/ws", buckets=16)
+    ws = jobs.Workspace(spark, f"{base}/ws")
     landing = f"{base}/landing"
     feed = feeds.opportunity_feed(spark, sf)
     late = F.col("createdon") >= F.to_timestamp(F.lit("1998-01-01 00:00:00"))
@@ -762,6 +761,6 @@ def q_silver_late(spark, sf):
     arrival = F.when(F.col("amount") < 5.0, F.date_add("batch_date", LATE_DAYS)).otherwise(F.col("batch_date"))
     late = valid.withColumn("batch_date", arrival).withColumn(
         "bronze_ingest_ts", F.date_add("batch_date", 1).cast("timestamp"))
-    state = merge_batches(spark, late, EVENT_SPEC, "batch_date", scratch_path(spark, "late-events"), _run_id_of,
-                          _run_ts_of, EVENT_TIE_BREAKERS, time_guard=True)
-    return finalize(state.select(*STATE_COLUMNS))
+    table = state_table(spark, scratch_path(spark, "late-events"), EVENT_SPEC, time_guard=True)
+    append_batches(table, late, EVENT_SPEC, "batch_date", _run_id_of, _run_ts_of, EVENT_TIE_BREAKERS)
+    return finalize(table.read().select(*STATE_COLUMNS))

@@ -45,6 +45,8 @@ class EntitySpec:
     activity_type: str | None = None
     serving_view: str | None = None
     snapshot_view: str | None = None
+    quarantine_enabled: bool = True  # D6: without it, bad rows are counted but not stored
+    dedup_enabled: bool = True  # W1: without it, a key that changes twice in one increment is an error
     # (gold column, type) pairs that a mapped column takes where its source is absent; others are STRING
     absent_types: tuple[tuple[str, str], ...] = (
         ("created_ts", "timestamp"), ("modified_ts", "timestamp"), ("expected_close_date", "date"),

@@ -1,24 +1,30 @@
 """Continuous change data capture into the silver current state (T5).
 
-Each micro-batch is checked, its bad rows are quarantined, and the rest is deduplicated and merged (M1) into a bucketed
-state table. The stream's id and the batch id are recorded with the version, so a micro-batch replayed after a failure
-between the merge and the checkpoint commit is skipped, while a new stream's batches are not.
+Each micro-batch is checked, its bad rows are quarantined, and the rest is deduplicated and appended to the state's change log as one
+run, named by the stream's id and the batch id. A micro-batch that is replayed after a failure between the write and the checkpoint's
+commit replaces its own rows, while a new stream's batches are runs of their own. The write is proportional to the batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revflow.operators import control
-from revflow.operators.merge import BUCKET, bucket_of, merge_current_state
-from revflow.plans.medallion import silver_merge, silver_source
-from revflow.sources.tables import BucketedTable
+from revflow.plans.medallion import silver_source
+from revflow.sources.deltas import ChangeTable
 from revflow.spec import EntitySpec
 
 
+def micros(t: datetime) -> int:
+    """Microseconds since 1970 (UTC); a time without a zone is UTC."""
+    t = t if t.tzinfo else t.replace(tzinfo=timezone.utc)
+    return round((t - datetime(1970, 1, 1, tzinfo=timezone.utc)).total_seconds() * 1e6)
+
+
 def stream_id(spark: SparkSession) -> str:
     """The id of the streaming query that runs this micro-batch (kept in its checkpoint); empty outside a stream."""
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
@@ -30,49 +36,27 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 
 class CurrentStateWriter:
-    """``foreachBatch`` callback: bronze micro-batch -> bad rows to ``quarantine``, the others merged into ``state``.
+    """``foreachBatch`` callback: bronze micro-batch -> bad rows to ``quarantine``, the others to the change log of ``state``.
 
     A batch's bad rows are written to its own folder under ``quarantine`` (overwritten when the batch is replayed), so none
     is lost or doubled.
     """
 
-    def __init__(self, state: BucketedTable, spec: EntitySpec, run_id_of: Callable[[int], str], quarantine: str,
-                 run_ts: Column | None = None, tie_breakers: Sequence[str] = (), buckets: int = 64):
+    def __init__(self, state: ChangeTable, spec: EntitySpec, run_id_of: Callable[[int], str], quarantine: str,
+                 run_ts: Column | None = None, tie_breakers: Sequence[str] = ()):
         self.state, self.spec = state, spec
         self.run_id_of, self.run_ts = run_id_of, run_ts
-        self.tie_breakers, self.buckets = tuple(tie_breakers), buckets
+        self.tie_breakers = tuple(tie_breakers)
         self.quarantine = quarantine.rstrip("/")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        query_id = stream_id(batch.sparkSession)
-        if self.state.has_batch(batch_id, query_id):
-            return
-        run_id = self.run_id_of(batch_id)
-        run_ts = self.run_ts if self.run_ts is not None else F.current_timestamp()
-        source, bad = silver_source(batch, self.spec, run_id, run_ts, self.tie_breakers)
-        bad.write.mode("overwrite").parquet(f"{self.quarantine}/query_id={query_id or 'none'}/batch_id={batch_id}")
-        commit_bucketed(self.state, source, self.spec, run_id, run_ts, self.buckets, batch_id, query_id)
-
-
-def commit_bucketed(state: BucketedTable, source: DataFrame, spec: EntitySpec, run_id: str, run_ts: Column,
-                    buckets: int, batch_id: int | None = None, query_id: str | None = None, **merge_kw) -> int:
-    """M1 of a prepared batch into a bucketed state: only touched buckets are
-    read, joined and rewritten. The touched-bucket ids (at most as many as buckets)
-    are the only values collected to the driver. A table keeps the bucket count it was created with."""
-    source = source.withColumn(BUCKET, bucket_of([spec.primary_key], state.bucket_count(buckets)))
-    # the run time, rendered once in the session zone, lets readers find the
-    # buckets this run rewrote (see BucketedTable.buckets_updated_after)
-    run_ts_text = source.sparkSession.range(1).select(
-        F.date_format(run_ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-    # pinned: every row of this run carries exactly the time recorded in the manifest,
-    # even when the caller passed current_timestamp()
-    run_ts = F.to_timestamp(F.lit(run_ts_text))
-    return state.merge(
-        source,
-        lambda tgt, src: merge_current_state(tgt, src, spec, run_id, run_ts, bucket_col=BUCKET,
-                                             touched_only=True, **merge_kw),
-        lambda src: silver_merge(None, src, spec, run_id, run_ts),
-        batch_id, run_ts_text, query_id)
+        query_id = stream_id(batch.sparkSession) or "none"
+        now = micros(datetime.now(timezone.utc))
+        run_ts = self.run_ts if self.run_ts is not None else F.timestamp_micros(F.lit(now))
+        source, bad = silver_source(batch, self.spec, self.run_id_of(batch_id), run_ts, self.tie_breakers)
+        if self.spec.quarantine_enabled:
+            bad.write.mode("overwrite").parquet(f"{self.quarantine}/query_id={query_id}/batch_id={batch_id}")
+        self.state.append(source, f"{query_id}-{batch_id:012d}", now, replays=True)
 
 
 def start_current_state_stream(bronze: DataFrame, writer: CurrentStateWriter, checkpoint: str,

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from revflow.functions.cdc import classify_changes, stamp_lineage
 from revflow.sources.files import check_format
+from revflow.sources.schemas import GENERATION
 from revflow.spec import DEFAULT_MICROBATCH_INTERVAL, EntitySpec
 
 
@@ -46,18 +47,21 @@ def bronze_stream(raw: DataFrame, spec: EntitySpec, run_id: str, ingest_ts=None)
     """P1 + P2 on the stream; the source file comes from the file metadata column,
     and ``ingestion_date`` is added for partitioning (X28)."""
     df = stamp_lineage(classify_changes(raw, spec), spec, run_id, ingest_ts, F.col("_metadata.file_path"))
+    if "_metadata" in df.columns:  # carried by a feed that was parsed from lines
+        df = df.drop("_metadata")
     return df.withColumn("ingestion_date", F.to_date("bronze_ingest_ts"))
 
 
 def start_bronze_sink(bronze: DataFrame, table_path: str, checkpoint: str, trigger_mode: str = "available_now",
                       interval: str | None = None, query_name: str | None = None) -> StreamingQuery:
-    """Append to a parquet table partitioned by ingestion date.
+    """Append to a parquet table partitioned by ingestion date (and the schema's generation, where a store gives it).
 
     The checkpoint makes the file sink exactly-once: a restarted query with the
     same checkpoint skips files it already committed.
     """
+    parts = [c for c in (GENERATION, "ingestion_date") if c in bronze.columns]
     w = (bronze.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .option("path", table_path).partitionBy("ingestion_date").outputMode("append")
+         .option("path", table_path).partitionBy(*parts).outputMode("append")
          .trigger(**trigger_kwargs(trigger_mode, interval)))
     if query_name:
         w = w.queryName(query_name)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from helpers import SPEC, log_df, run_ts_of
 from revflow.operators.dedup import ensure_unique, latest_per_key, silver_order
 from revflow.operators.merge import (
-    DELETE, Clause, bucket_of, keyed_merge, merge_fact, merge_snapshot, prepare_silver_source)
+    DELETE, Clause, bucket_of, keyed_merge, merge_current_state, merge_fact, merge_snapshot, prepare_silver_source)
 from revflow.plans.medallion import silver_merge
 
 
@@ -99,35 +99,52 @@ def test_duplicate_guard(spark):
     assert sorted(tuple(r) for r in ensure_unique(df, ["k"], "latest", ["s"]).collect()) == [(1, 2), (2, 1)]
 
 
-def test_bucketed_state_rewrites_only_touched_buckets(spark, scratch):
-    from revflow.sources.tables import BucketedTable
-    from revflow.streaming.cdc import commit_bucketed
-    from helpers import log_df
-
-    state = BucketedTable(spark, f"{scratch}/state")
-    log = log_df(spark, [(k, k, float(k), "I", 1) for k in range(40)])
-    ts = F.lit(run_ts_of(1)).cast("timestamp")
-    src = prepare_silver_source(latest_per_key(log.drop("batch"), ["k"], silver_order(["seq"])), SPEC, "r1", ts)
-    commit_bucketed(state, src, SPEC, "r1", ts, 8)
-    files_before = set(state.read().inputFiles())
-    # batch 2 deletes key 3 and updates key 5: at most two buckets are rewritten
-    log2 = log_df(spark, [(3, 100, 0.0, "D", 2), (5, 101, 55.0, "U", 2)])
-    ts2 = F.lit(run_ts_of(2)).cast("timestamp")
-    src2 = prepare_silver_source(latest_per_key(log2.drop("batch"), ["k"], silver_order(["seq"])), SPEC, "r2", ts2)
-    commit_bucketed(state, src2, SPEC, "r2", ts2, 8)
+def run_rows(spark, log, run):
+    """One run's prepared changes of a small log."""
+    ts = F.lit(run_ts_of(run)).cast("timestamp")
+    return prepare_silver_source(latest_per_key(log_df(spark, log).drop("batch"), ["k"], silver_order(["seq"])), SPEC, f"r{run}", ts)
+
+
+def test_a_run_adds_only_its_own_files(spark, scratch):
+    from revflow.sources.deltas import state_table
+
+    state = state_table(spark, f"{scratch}/state", SPEC)
+    state.append(run_rows(spark, [(k, k, float(k), "I", 1) for k in range(40)], 1), "r1", 1)
+    files = set(state.appended().inputFiles())
+    state.append(run_rows(spark, [(3, 100, 0.0, "D", 2), (5, 101, 55.0, "U", 2)], 2), "r2", 2)
     cur = {r.k: r for r in state.read().collect()}
     assert len(cur) == 40 and not cur[3].is_active and cur[5].v == 55.0 and cur[7].v == 7.0
-    files_after = set(state.read().inputFiles())
-
-    def dirs(files):
-        return {f.rsplit("/", 1)[0] for f in files}
-
-    changed = dirs(files_after) - dirs(files_before)
-    assert 1 <= len(changed) <= 2  # only the touched buckets were rewritten
-    assert len(dirs(files_before) & dirs(files_after)) >= len(dirs(files_before)) - 2
-    # hard delete can empty a bucket entirely
-    log3 = log_df(spark, [(k, 200 + k, 0.0, "D", 3) for k in range(40)])
-    ts3 = F.lit(run_ts_of(3)).cast("timestamp")
-    src3 = prepare_silver_source(latest_per_key(log3.drop("batch"), ["k"], silver_order(["seq"])), SPEC, "r3", ts3)
-    commit_bucketed(state, src3, SPEC, "r3", ts3, 8, hard_delete=True)
-    assert state.read() is None or state.read().count() == 0
+    assert files < set(state.appended().inputFiles())
+    assert state.fold("k") == 2 and {r.k: r for r in state.read().collect()} == cur
+    # a replayed run replaces its own rows; an order that is taken gives way to the next
+    assert state.append(run_rows(spark, [(5, 101, 56.0, "U", 2)], 3), "r3", 1, replays=True) == 3
+    assert state.append(run_rows(spark, [(5, 101, 57.0, "U", 2)], 3), "r3", 9, replays=True) == 3
+    assert {r.k: r.v for r in state.read().collect()}[5] == 57.0
+    gone = state_table(spark, f"{scratch}/state", SPEC, hard_delete=True)
+    gone.append(run_rows(spark, [(k, 200 + k, 0.0, "D", 4) for k in range(40)], 4), "r4", 4)
+    assert gone.read().count() == 0 and state.read().count() == 40
+
+
+@pytest.mark.parametrize("hard,guard", [(False, False), (True, False), (False, True), (True, True)])
+def test_fold_equals_merging_run_by_run(spark, scratch, hard, guard):
+    """Random logs with late and repeated changes: the fold, with bases in between, gives what the keyed merge gives run after run."""
+    import random
+
+    from revflow.sources.deltas import state_table
+
+    rng = random.Random(hard * 2 + guard)
+    table = state_table(spark, f"{scratch}/t", SPEC, hard_delete=hard, time_guard=guard)
+    target = None
+    for run in range(1, 7):
+        log = [(rng.randrange(12), rng.randrange(60), float(rng.randrange(100)), rng.choice("IUUD"), run) for _ in range(14)]
+        rows = run_rows(spark, log, run)
+        src = spark.createDataFrame(rows.collect(), rows.schema)
+        table.append(src, f"r{run}", run)
+        ts = F.lit(run_ts_of(run)).cast("timestamp")
+        first = src.filter(~F.col("bronze_is_delete")).drop("bronze_is_delete")
+        merged = first if target is None else merge_current_state(target, src, SPEC, f"r{run}", ts, time_guard=guard, hard_delete=hard)
+        target = spark.createDataFrame(merged.collect(), merged.schema)
+        if run in (2, 5):
+            table.fold("k")
+        got = table.read().select(*target.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, target.collect())), run

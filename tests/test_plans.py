@@ -1,6 +1,7 @@
 """Physical-plan properties of the registered queries (checked on sf0.001)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -59,63 +60,42 @@ def test_bucketed_merge_broadcasts_only_the_touched_set(spark):
     assert "BroadcastExchange" in p and "LeftSemi" in p
 
 
-def test_bucketed_read_scans_only_touched_partitions(spark, scratch):
-    from pyspark.sql import functions as F
-
-    from revflow.operators.merge import bucket_of
-    from revflow.sources.tables import BucketedTable
-
-    t = BucketedTable(spark, f"{scratch}/t")
-    df = spark.range(2000).select(F.col("id").alias("k")).withColumn("_bucket", bucket_of(["k"], 16))
-    t.commit(df, list(range(16)))
-    src = spark.range(2).select(F.col("id").alias("k")).withColumn("_bucket", bucket_of(["k"], 16))
-    touched = t.touched_values(src)
-    part = t.read(only=touched)
-    assert {r[0] for r in part.select("_bucket").distinct().collect()} == set(touched)
-    assert len(part.inputFiles()) < len(t.read().inputFiles())
-
-
-def test_buckets_updated_after_watermark(spark, scratch):
-    from pyspark.sql import functions as F
-
-    from revflow.operators.merge import bucket_of
-    from revflow.sources.tables import BucketedTable
-
-    t = BucketedTable(spark, f"{scratch}/u")
-    df = spark.range(500).select(F.col("id").alias("k")).withColumn("_bucket", bucket_of(["k"], 8))
-    t.commit(df, list(range(8)), run_ts="2024-01-01 00:00:00.000000")
-    one = df.filter(F.col("_bucket") == 3)
-    t.commit(one, [3], run_ts="2024-01-02 00:00:00.000000")
-    assert t.buckets_updated_after("2024-01-01 00:00:00.000000") == ["3"]
-    assert sorted(t.buckets_updated_after("2023-12-31 00:00:00.000000")) == [str(b) for b in range(8)]
-    t.commit(df, list(range(8)), run_ts=t.run_times())  # a rewrite keeping each bucket's run time
-    assert t.buckets_updated_after("2024-01-01 00:00:00.000000") == ["3"]
-    t.commit(df, list(range(8)))  # a commit without a run time forces a full read
-    assert t.buckets_updated_after("2024-01-05 00:00:00.000000") is None
-
-
-def test_batch_merge_loop_joins_bucketed_state_without_exchange(spark, scratch):
-    """Each batch's merge reads the key-bucketed state and staged winners co-partitioned."""
-    from pyspark.sql import functions as F
-
-    import revflow.plans.medallion as M
+def test_appended_changes_are_pruned_and_proportional(spark, scratch):
+    """A run adds only its own files; what changed after a mark is found without reading older runs' files."""
+    from revflow.operators.fold import ORDER, fold_increment
     from revflow.plans import registry as R
-
-    seen = []
-    orig = M.bucketed_table
-
-    def spy(df, name, *a, **k):
-        seen.append(plan_of(df))
-        return orig(df, name, *a, **k)
-
-    M.bucketed_table = spy
-    try:
-        R.prepare(spark)
-        valid = R.event_valid(spark, SF).filter(F.col("batch_date") <= F.to_date(F.lit("2024-01-03")))
-        state = M.merge_batches(spark, valid, R.EVENT_SPEC, "batch_date", scratch, R._run_id_of, R._run_ts_of,
-                                R.EVENT_TIE_BREAKERS)
-    finally:
-        M.bucketed_table = orig
-    merges = [p for p in seen[2:]]  # winners staging and the first version come first
-    assert merges and all("SortMergeJoin" in p and "Exchange" not in p for p in merges)
-    assert state.count() == R.event_state(spark, SF, where=F.col("batch_date") <= F.to_date(F.lit("2024-01-03"))).count()
+    from revflow.plans.medallion import append_batches
+    from revflow.sources.deltas import state_table
+
+    table = state_table(spark, f"{scratch}/t", R.EVENT_SPEC)
+    valid = R.event_valid(spark, SF)
+    days = [r[0] for r in valid.select("batch_date").distinct().orderBy("batch_date").limit(4).collect()]
+
+    def add(day):
+        append_batches(table, valid.filter(F.col("batch_date") == F.lit(day)), R.EVENT_SPEC, "batch_date", R._run_id_of, R._run_ts_of, R.EVENT_TIE_BREAKERS)
+
+    for d in days[:3]:
+        add(d)
+    before = set(table.appended().inputFiles())
+    add(days[3])
+    after = set(table.appended().inputFiles())
+    assert before < after
+    last = table.appended().agg(F.max(ORDER)).first()[0]
+    table.fold("user_id")
+    mark = F.timestamp_micros(F.lit(last - 1))
+    scans = [x.split("]")[0] for x in plan_of(fold_increment(table.changes(), R.EVENT_SPEC, mark)).split("PartitionFilters: [")[1:]]
+    assert any(f"{last - 1})" in x and ORDER in x for x in scans)
+    assert table.read().count() == R.event_state(spark, SF, where=F.col("batch_date") <= F.lit(days[3])).count()
+
+
+def test_fold_shuffles_once(spark, scratch):
+    """The current state is one exchange over the live changes, partially folded before it."""
+    from revflow.plans import registry as R
+    from revflow.plans.medallion import append_batches
+    from revflow.sources.deltas import state_table
+
+    table = state_table(spark, f"{scratch}/u", R.EVENT_SPEC)
+    append_batches(table, R.event_valid(spark, SF), R.EVENT_SPEC, "batch_date", R._run_id_of, R._run_ts_of, R.EVENT_TIE_BREAKERS)
+    assert plan_of(table.read()).count("Exchange hashpartitioning") == 1
+    assert table.fold("user_id") is not None and table.fold("user_id") is None
+    assert plan_of(table.read()).count("Exchange hashpartitioning") == 1
