@@ -107,6 +107,14 @@ def activity_opportunity_map(fact_activity: DataFrame) -> DataFrame:
         "activity_id", "opportunity_id", "activity_type")
 
 
+def silver_activity(fact_activity: DataFrame) -> DataFrame:
+    """The unified activity table: who did what, when, in which state, for which opportunity."""
+    return fact_activity.select(
+        "activity_id", "activity_type", F.col("owner_id").alias("activity_owner"),
+        F.to_date(F.coalesce("actual_end", "created_ts")).alias("activity_date"), F.col("status_code").alias("activity_status"),
+        F.col("opportunity_id").alias("related_opportunity"))
+
+
 def opportunity_star(fact_opportunity: DataFrame, fact_quote: DataFrame, fact_activity: DataFrame,
                      owners: DataFrame) -> DataFrame:
     """fact_opportunity with owner, stage and date keys and last activity date.

@@ -10,17 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-OPEN, WON, LOST = "Open", "Won", "Lost"
-
-
-def money_sum(c: str | Column) -> Column:
-    """Sum of a money column, exact: summed as DECIMAL and rounded to cents.
+from revflow.functions.columns import money_sum
 
-    A DOUBLE sum depends on the order partitions are combined in; the
-    decimal sum is the same on 8 or 8000 tasks.
-    """
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(F.sum(col.cast("decimal(28,6)")), 2).cast("double")
+OPEN, WON, LOST = "Open", "Won", "Lost"
 
 
 def _ts(as_of: str) -> Column:

@@ -122,3 +122,27 @@ def schema_drift(expected: T.StructType, actual: T.StructType, spark) -> DataFra
         elif exp[n] != act[n]:
             rows.append((n, "TYPE_CHANGED", exp[n], act[n]))
     return spark.createDataFrame(rows, "column_name string, change string, expected_type string, actual_type string")
+
+
+def landed_drift(lines: DataFrame, declared: T.StructType) -> DataFrame:
+    """X26 over landed JSON files: each column that is new, missing or of another type, in how many files, and the first of them.
+
+    ``lines`` are the files' lines (``value``) with ``file`` and ``landed`` (its time). One pass over the lines gives a row for each
+    file, column and type (combined before its shuffle); the fold over files is as small as the number of files.
+    """
+    entries = lines.select("file", "landed", F.explode(F.from_json("value", "map<string,string>")).alias("column_name", "text")).filter(F.col("text").isNotNull())
+    kind = F.when(F.col("text").rlike(r"^-?[0-9]+$"), "bigint").when(F.col("text").try_cast("double").isNotNull(), "double").when(
+        F.col("text").isin("true", "false"), "boolean").otherwise("string")
+    seen = entries.groupBy("file", "landed", "column_name").agg(F.collect_set(kind).alias("kinds"))
+    numeric = F.when(F.size("kinds") == 1, F.col("kinds")[0]).when(
+        F.forall("kinds", lambda k: k.isin("bigint", "double")), "double").otherwise("string")
+    found = seen.select("file", "landed", "column_name", numeric.alias("actual_type"))
+    files = lines.select("file", "landed").distinct()
+    rule = F.array(*(F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("expected_type")) for f in declared.fields))
+    expected = files.select("file", "landed", F.inline(rule))  # the declared columns of each file
+    both = expected.join(found, ["file", "landed", "column_name"], "full_outer")
+    change = (F.when(F.col("expected_type").isNull(), "NEW_COLUMN").when(F.col("actual_type").isNull(), "MISSING_COLUMN")
+              .when((F.col("expected_type") != F.col("actual_type")) & ~((F.col("expected_type") == "double") & (F.col("actual_type") == "bigint")), "TYPE_CHANGED"))
+    return both.withColumn("change", change).filter("change is not null").groupBy("column_name", "change", "expected_type").agg(
+        F.max("actual_type").alias("actual_type"), F.count(F.lit(1)).alias("files"), F.min("landed").alias("first_landed"),
+        F.min_by("file", "landed").alias("first_file"))

@@ -611,3 +611,58 @@ SELECT u.user_id, u.event_id, u.modifiedon, u.change_operation, u.amount, u.even
   CASE WHEN l.is_del THEN l.batch_run_id ELSE u.batch_run_id END AS silver_last_run_id,
   CASE WHEN l.is_del THEN l.batch_ingest_ts ELSE u.batch_ingest_ts END AS silver_updated_ts
 FROM u JOIN l ON u.user_id = l.user_id"""
+
+ORACLES["schema_evolution"] = with_(OPP_CTES) + """
+SELECT opportunityid, ownerid, modifiedon,
+  CASE WHEN NOT (opportunityid % 3 = 2 AND opportunityid % 10 = 4) THEN estimatedvalue END AS estimatedvalue,
+  'I' AS change_operation, opportunityid % 10 + CASE WHEN opportunityid % 3 = 2 THEN 0.5 ELSE 0 END::DOUBLE AS priority,
+  CASE WHEN opportunityid % 3 > 0 THEN 'c' || (opportunityid % 10)::VARCHAR END AS channel,
+  CASE WHEN opportunityid % 3 = 2 AND opportunityid % 10 = 4 THEN '{"estimatedvalue":"n/a"}' END AS rescued,
+  'bronze-' || (opportunityid % 3)::VARCHAR AS bronze_pipeline_run_id, 'INSERT' AS bronze_op_type
+FROM opp_feed"""
+
+# one file for each drop; modifiedon is declared but left out of the rule, so it counts as new
+ORACLES["landed_drift"] = with_(OPP_CTES) + """
+, d AS (SELECT DISTINCT opportunityid % 3 AS i FROM opp_feed),
+clash AS (SELECT count(*) AS n FROM opp_feed WHERE opportunityid % 3 = 2 AND opportunityid % 10 = 4)
+SELECT column_name, 'NEW_COLUMN' AS change, CAST(NULL AS VARCHAR) AS expected_type, max(t) AS actual_type, count(*) AS files,
+  min(TIMESTAMP '2024-01-01' + i * INTERVAL 1 DAY) AS first_landed
+FROM (SELECT 'modifiedon' AS column_name, 'string' AS t, i FROM d
+      UNION ALL SELECT 'priority', CASE WHEN i = 2 THEN 'double' ELSE 'bigint' END, i FROM d
+      UNION ALL SELECT 'channel', 'string', i FROM d WHERE i > 0) GROUP BY column_name
+UNION ALL
+SELECT 'estimatedvalue', 'TYPE_CHANGED', 'double', 'string', 1, TIMESTAMP '2024-01-03' FROM clash WHERE n > 0"""
+
+ORACLES["activity_incremental"] = with_(ACTIVITY_CTES) + """
+SELECT activity_id, activity_type, owner_id AS activity_owner, CAST(coalesce(actual_end, created_ts) AS DATE) AS activity_date,
+  CASE WHEN activity_type = 'phonecall' AND activity_id % 5 = 0 THEN 'Reopened' ELSE status_code END AS activity_status,
+  opportunity_id AS related_opportunity
+FROM fact_activity WHERE activity_id % 7 <> 0"""
+
+_DATES = ("2024-01-05", "2024-01-10", "2024-01-15", "2024-01-20", "2024-01-25")
+_SNAPS = with_(ev_ctes(), *(f"""
+e{i} AS (SELECT * FROM ev_valid WHERE batch_date <= DATE '{d}'),{state_ctes(f"d{i}", src=f"e{i}")}""" for i, d in enumerate(_DATES))) + """
+, snaps AS (
+""" + " UNION ALL ".join(f"""
+  SELECT user_id, DATE '{d}' AS snapshot_date, event_type AS stage_name, amount AS estimated_value FROM d{i}_state WHERE is_active"""
+                         for i, d in enumerate(_DATES)) + ")"
+
+ORACLES["snapshot_movement"] = _SNAPS + """
+SELECT user_id, snapshot_date, stage_name, estimated_value,
+  lag(stage_name) OVER w AS previous_stage, lag(estimated_value) OVER w AS previous_amount,
+  estimated_value - lag(estimated_value) OVER w AS amount_change,
+  CASE WHEN lag(stage_name) OVER w IS NULL THEN 'NEW' WHEN lag(stage_name) OVER w <> stage_name THEN 'MOVED'
+       ELSE 'SAME' END AS movement
+FROM snaps WINDOW w AS (PARTITION BY user_id ORDER BY snapshot_date)"""
+
+ORACLES["pipeline_trend"] = _SNAPS + """
+, t AS (
+  SELECT snapshot_date, stage_name, count(*) AS opportunity_count,
+    CAST(round(sum(CAST(estimated_value AS DECIMAL(28,6))), 2) AS DOUBLE) AS pipeline_value
+  FROM snaps WHERE day(snapshot_date) BETWEEN 8 AND 22 GROUP BY snapshot_date, stage_name)
+SELECT snapshot_date, stage_name, opportunity_count, pipeline_value,
+  opportunity_count - lag(opportunity_count) OVER w AS count_change,
+  round(pipeline_value - lag(pipeline_value) OVER w, 2) AS value_change
+FROM t WINDOW w AS (PARTITION BY stage_name ORDER BY snapshot_date)"""
+
+ORACLES["z_ordered_fact"] = ORACLES["compacted_fact"]

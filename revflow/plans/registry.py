@@ -22,7 +22,7 @@ from revflow.operators.diff import table_diff
 from revflow.operators.facts import current_activity, current_fact
 from revflow.operators.layout import compact, file_count
 from revflow.operators.replay import replay_current_state
-from revflow.operators.snapshot import build_snapshot, store_snapshot, stored_snapshots
+from revflow.operators.snapshot import build_snapshot, pipeline_trend, store_movement, store_snapshot, stored_snapshots
 from revflow.plans import dims, marts, ops_views
 from revflow.plans.medallion import append_batches, bronze_rows, checked, silver_increment, silver_state_of_feed
 from revflow.plans.oracle_sql import AS_OF_OPS, AS_OF_SALES
@@ -764,3 +764,120 @@ def q_silver_late(spark, sf):
     table = state_table(spark, scratch_path(spark, "late-events"), EVENT_SPEC, time_guard=True)
     append_batches(table, late, EVENT_SPEC, "batch_date", _run_id_of, _run_ts_of, EVENT_TIE_BREAKERS)
     return finalize(table.read().select(*STATE_COLUMNS))
+
+
+# --- schema evolution, incremental activities, stored snapshots, clustering ---------------------
+
+DECLARED = T.StructType([
+    T.StructField("opportunityid", T.LongType()), T.StructField("ownerid", T.LongType()), T.StructField("modifiedon", T.TimestampType()),
+    T.StructField("estimatedvalue", T.DoubleType()), T.StructField("change_operation", T.StringType()),
+])
+
+
+def evolving_drops(spark, sf) -> list[DataFrame]:
+    """Three drops of the opportunity feed as JSON: the second adds a column, the third widens one and has values that clash."""
+    feed = feeds.opportunity_feed(spark, sf).select("opportunityid", "ownerid", "modifiedon", "estimatedvalue", "change_operation")
+    rank = F.col("opportunityid") % 10
+    drops = []
+    for i in range(3):
+        drop = feed.filter(F.col("opportunityid") % 3 == i).withColumn("priority", rank if i < 2 else rank + F.lit(0.5))
+        drop = drop if i == 0 else drop.withColumn("channel", F.concat(F.lit("c"), rank.cast("string")))
+        if i == 2:
+            drop = drop.withColumn("estimatedvalue", F.when(rank == 4, F.lit("n/a")).otherwise(F.col("estimatedvalue").cast("string")))
+        drops.append(drop)
+    return drops
+
+
+@query("schema_evolution")
+def q_schema_evolution(spark, sf):
+    """Three JSON drops whose schema grows; each run discovers it, restarts the stream with it, and nothing is lost."""
+    prepare(spark)
+    from revflow import jobs
+
+    base = scratch_path(spark, "evolution")
+    ws = jobs.Workspace(spark, f"{base}/ws", {"opportunity": DECLARED})
+    for i, drop in enumerate(evolving_drops(spark, sf)):
+        drop.write.mode("append").json(f"{base}/landing")
+        jobs.run_bronze(ws, OPPORTUNITY, f"{base}/landing", None, f"bronze-{i}", fmt="json")
+    return finalize(ws.bronze("opportunity").select(
+        "opportunityid", "ownerid", "modifiedon", "estimatedvalue", "change_operation", "priority", "channel",
+        F.to_json("_rescued").alias("rescued"), "bronze_pipeline_run_id", "bronze_op_type"))
+
+
+@query("landed_drift")
+def q_landed_drift(spark, sf):
+    """What the landed files of the three drops have that the declared schema doesn't."""
+    prepare(spark)
+    base = scratch_path(spark, "drift")
+    for i, drop in enumerate(evolving_drops(spark, sf)):
+        drop.coalesce(1).write.json(f"{base}/drop={i}")
+    lines = spark.read.text(base).select("value", F.col("_metadata.file_path").alias("file"), F.to_timestamp(
+        F.concat(F.lit("2024-01-0"), (F.col("drop") + 1).cast("string"))).alias("landed"))
+    found = ops_views.landed_drift(lines, T.StructType([f for f in DECLARED.fields if f.name != "modifiedon"]))
+    return finalize(found.select("column_name", "change", "expected_type", "actual_type", "files", "first_landed"))
+
+
+@query("activity_incremental")
+def q_activity_incremental(spark, sf):
+    """Both activity kinds in two increments (new rows, then updates and deletes of either kind), one merge with a mark each."""
+    prepare(spark)
+    from revflow import jobs
+    from revflow.plans.medallion import silver_source
+
+    ws = jobs.Workspace(spark, scratch_path(spark, "activity"))
+    key = F.col("activityid")
+    for i in range(2):
+        now = datetime(2024, 1, 1, 1 + i)
+        for spec in (PHONECALL, APPOINTMENT):
+            feed = feeds.activity_feed(spark, sf, spec.name)
+            if i == 1:  # a seventh of both kinds is deleted, a fifth of the calls reopened
+                feed = feed.filter((key % 7 == 0) | ((key % 5 == 0) & F.lit(spec is PHONECALL))).withColumns({
+                    "change_operation": F.when(key % 7 == 0, "D").otherwise("U"), "statuscode": F.lit("Reopened"),
+                    "modifiedon": F.col("modifiedon") + F.expr("INTERVAL 1 DAY")})
+            run_ts = F.lit(now).cast("timestamp")
+            changes, _ = silver_source(bronze_rows(feed, spec, f"b{i}", run_ts), spec, f"s{i}", run_ts)
+            ws.silver(spec.name).append(changes, f"s{i}", jobs.micros(now))
+        jobs.run_activity(ws, f"a{i}", now)
+    return dims.silver_activity(ws.gold("fact_activity").read())
+
+
+SNAPSHOT_DATES = ("2024-01-05", "2024-01-10", "2024-01-15", "2024-01-20", "2024-01-25")
+
+
+def stored_event_snapshots(spark, sf) -> tuple[DataFrame, str]:
+    """The active rows of the event state on several dates, stored by date, and each date's movement; the last date is run twice."""
+    base = scratch_path(spark, "stage-snapshots")
+    for day in (*SNAPSHOT_DATES, SNAPSHOT_DATES[-1]):
+        state = event_state(spark, sf, where=F.col("batch_date") <= F.to_date(F.lit(day))).filter("is_active")
+        snap = state.select("user_id", F.col("event_type").alias("stage_name"), F.col("amount").alias("estimated_value"),
+                            F.to_date(F.lit(day)).alias("snapshot_date"))
+        snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(f"{base}/snapshots")
+        store_movement(spark, stored_snapshots(spark, f"{base}/snapshots"), f"{base}/movement", day, "user_id")
+    return stored_snapshots(spark, f"{base}/snapshots"), base
+
+
+@query("snapshot_movement")
+def q_snapshot_movement(spark, sf):
+    """X25 on stored snapshots: each date read against the states carried from the date before."""
+    prepare(spark)
+    _, base = stored_event_snapshots(spark, sf)
+    return stored_snapshots(spark, f"{base}/movement/moved")
+
+
+@query("pipeline_trend")
+def q_pipeline_trend(spark, sf):
+    """Rows and value of each stage over the stored dates of one stretch of the calendar (dynamic partition pruning)."""
+    prepare(spark)
+    snaps, _ = stored_event_snapshots(spark, sf)
+    calendar = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-12-31')) AS snapshot_date")
+    return pipeline_trend(snaps, calendar.filter(F.dayofmonth("snapshot_date").between(8, 22)))
+
+
+@query("z_ordered_fact")
+def q_z_ordered(spark, sf):
+    """The opportunity fact compacted on two columns alike (Z-order): the same rows."""
+    prepare(spark)
+    base = scratch_path(spark, "z-order")
+    fact = fact_opportunity(spark, sf).select("opportunity_id", "owner_id", "state_code", "estimated_value", "created_date")
+    fact.repartition(16).write.parquet(f"{base}/v0")
+    return compact(spark, f"{base}/v0", f"{base}/v1", ["owner_id", "created_date"], rows_per_file=2_000, z_order=True)

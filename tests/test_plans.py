@@ -16,7 +16,8 @@ def plan_of(df) -> str:
 
 # These run streams, job chains or merge loops first and return a read of what they wrote.
 WRITERS = {"bronze_stream", "cdc_stream_state", "medallion_jobs_fact", "silver_incremental_merge",
-           "silver_late_data", "feed_formats", "compacted_fact", "opportunity_snapshot", "snapshot_age_buckets"}
+           "silver_late_data", "feed_formats", "compacted_fact", "opportunity_snapshot", "snapshot_age_buckets", "schema_evolution",
+           "landed_drift", "activity_incremental", "snapshot_movement", "pipeline_trend", "z_ordered_fact"}
 
 
 @pytest.fixture(scope="module")
