@@ -71,7 +71,11 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
 
 
 def z_ordered(df: DataFrame, columns: Sequence[str], files: int | None = None, bits: int = 6) -> DataFrame:
-    """The rows dealt and sorted by their place on the Z-curve, so that every file covers a small range of each column."""
+    """The rows dealt and sorted by their place on the Z-curve, so that every file covers a small range of each column.
+
+    Readers skip by the files' statistics; Spark writes none for TIMESTAMP columns unless ``spark.sql.parquet.outputTimestampType`` is
+    TIMESTAMP_MICROS.
+    """
     place = "__z"
     rows = df.withColumn(place, z_value(df, columns, bits))
     dealt = rows.repartitionByRange(files, place, *columns) if files else rows.repartitionByRange(place, *columns)

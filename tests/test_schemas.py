@@ -2,7 +2,7 @@
 
 import json
 import random
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,13 +106,13 @@ def rows_scanned(spark, df) -> int:
 
 def test_z_order_skips_on_either_column(spark, scratch):
     rng = random.Random(4)
-    rows = [(i, rng.randrange(1000), datetime(2024, 1, 1 + rng.randrange(28)), rng.choice(["u", "v", None])) for i in range(20_000)]
-    df = spark.createDataFrame(rows, "id long, a int, t timestamp, s string")
+    rows = [(i, rng.randrange(1000), date(2024, 1, 1 + rng.randrange(28)), rng.choice(["u", "v", None])) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id long, a int, t date, s string")
     df.repartition(20).write.parquet(f"{scratch}/v0")
     z = compact(spark, f"{scratch}/v0", f"{scratch}/z", ["a", "t"], rows_per_file=500, z_order=True)
     line = compact(spark, f"{scratch}/v0", f"{scratch}/line", ["a", "t"], rows_per_file=500)
     assert sorted(z.collect()) == sorted(df.collect())
-    on_a, on_t = F.col("a").between(500, 520), F.col("t").between(F.lit(datetime(2024, 1, 14)), F.lit(datetime(2024, 1, 15)))
+    on_a, on_t = F.col("a").between(500, 520), F.col("t").between(F.lit(date(2024, 1, 14)), F.lit(date(2024, 1, 15)))
     whole = 20_000
     assert rows_scanned(spark, spark.read.parquet(f"{scratch}/v0").filter(on_a)) == whole
     assert rows_scanned(spark, line.filter(on_t)) > 0.9 * whole  # sorted by a first: t rules nothing out
