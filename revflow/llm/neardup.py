@@ -8,10 +8,12 @@ propose larger values. Documents that agree on all slots of a band are candidate
 
 Equal sets are first folded into one representative, so exact copies never meet in a bucket. In each bucket every document is
 verified against the bucket's smallest id, on the full sets; verified links give components. Documents of one bucket that are still in
-different components are then compared by longer signatures of FINE slots, inside tasks and in blocks of about BLOCK documents, each
-pair in the first bucket that it shares; pairs whose share of equal slots is above the threshold less 4.5 standard deviations (a
-link lies below with probability 3e-6) are verified on the full sets as well. Links inside a component change nothing, so
-they are not enumerated, and the components equal those of all candidate pairs.
+different components are then compared by longer signatures of FINE slots, inside tasks and in blocks of about BLOCK documents; pairs
+whose share of equal slots is above the threshold less 4.5 standard deviations (a link lies below with probability 3e-6) make a
+graph of which each task hands on a spanning forest only. Documents that are connected in it meet once more, by blocks, with their full
+sets; there the pairs between different components are counted exactly through an inverted index of the block's shingles, and a task
+hands on only the links that join two components it had apart. So what leaves the tasks grows with the documents and not with their
+pairs; links inside a component change nothing, and the components equal those of all candidate pairs.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and is its own
 component. A document with fewer words than a shingle has its whole word sequence as one shingle. Rows that share a doc_id are
@@ -35,6 +37,8 @@ from revflow.llm.graph import components, staged
 #: 32 bands of 6 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**32 = 6e-5, at 0.85 with 3e-7.
 BANDS, ROWS = 32, 6
 FINE, BLOCK = 1024, 2048
+#: Shingles of a block of full sets.
+ELEMENTS = 1 << 20
 
 _G, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S27, _S30, _S31, _S32, _LOW = np.uint64(27), np.uint64(30), np.uint64(31), np.uint64(32), np.uint64(0xFFFFFFFF)
@@ -172,18 +176,71 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
             .filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b").distinct())
 
 
-def _similar(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``rows(key, hub, id, n, component, keys, sig)``: same key, different components, sizes and signatures near enough.
+class _Forest:
+    """Union-find over the numbers below ``n``; ``join`` tells whether two trees became one."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def find(self, x: int) -> int:
+        p = self.parent
+        while p[x] != x:
+            p[x] = p[p[x]]
+            x = p[x]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
 
-    A key's rows are dealt to blocks by id, and each pair of blocks is compared in one task; only the pairs found leave it.
+
+def _in_blocks(rows: DataFrame, key: str, blocks: DataFrame, compare) -> DataFrame:
+    """Pairs (a, b) that ``compare(key, part)`` finds among the rows of a key. ``rows`` begins with the key and the id.
+
+    A key's rows are dealt to its ``blocks`` by id, and each two blocks meet in one task; a part's rows have their block and not the key.
     """
-    count = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(count, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = rows.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "hub", "n", "component", "keys", "sig")
-    group = ["key", "i", "j"]
+        key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *(c for c in rows.columns if c != key))
+    group = [key, "i", "j"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def run(batches):
+        found, at, part = [], None, []
+
+        def rows_of():
+            for b in batches:
+                yield from zip(*(c.to_numpy(zero_copy_only=False) if pa.types.is_list(c.type) else c.to_pylist() for c in b.columns))
+
+        def batch():
+            a, b = zip(*found)
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        def pairs():
+            # blocks i and j of one key: rows of a single block are compared where i and j are that block
+            if len(part) > 1 and (at[1] == at[2] or len({x[0] for x in part}) == 2):
+                yield from compare(at[0], part)
+
+        for r in rows_of():
+            if r[:3] != at:
+                found += pairs()
+                at, part = r[:3], []
+                if len(found) >= 20_000:
+                    yield batch()
+                    found = []
+            part.append(r[3:])
+        found += pairs()
+        if found:
+            yield batch()
+
+    return dealt.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long").distinct()
+
+
+def _similar(rows: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest of the pairs (a, b) of ``rows(key, id, hub, n, component, keys, sig)``: same key, different components, sizes and
+    signatures near enough."""
+    blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     share = percent / 100
     least = FINE * share - 4.5 * (FINE * share * (1 - share)) ** 0.5
 
@@ -195,7 +252,7 @@ def _similar(rows: DataFrame, percent: int) -> DataFrame:
         keys = np.frombuffer(b"".join(r[5] for r in part), np.int64).reshape(len(part), -1)
         sig = np.frombuffer(b"".join(r[6] for r in part), np.uint8).reshape(len(part), -1)
         band = int(np.flatnonzero(keys[0] == key)[0])
-        lone = own.min() == own.max()
+        lone, tree = own.min() == own.max(), _Forest(len(part))
         for x in range(len(part)):
             if ids[x] == hubs[x]:
                 continue
@@ -203,38 +260,47 @@ def _similar(rows: DataFrame, percent: int) -> DataFrame:
             if not lone:
                 can &= own != own[x]
             at = np.flatnonzero(can)
-            at = at[~(keys[at, :band] == keys[x, :band]).any(1)]
+            at = at[~(keys[at, :band] == keys[x, :band]).any(1)]  # those that met in an earlier band
             if len(at):
                 for y in at[(sig[at] == sig[x]).sum(1) >= least].tolist():
+                    if tree.join(x, y):
+                        yield int(ids[x]), int(ids[y])
+
+    return _in_blocks(rows, "key", blocks, compare)
+
+
+def _joined(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of ``rows(near, id, component, s)`` that join two components, by exact counts of the full sets within ``near``."""
+    blocks = rows.groupBy("near").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("s")) / ELEMENTS)).cast("int").alias("blocks"))
+
+    def compare(_, part):
+        own, ids, comp = (np.array(c) for c in list(zip(*part))[:3])
+        sets = [r[3] for r in part]
+        n = np.array([len(x) for x in sets])
+        # postings: the documents of each shingle of the block
+        shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        doc = np.repeat(np.arange(len(part)), n)
+        posted = doc[np.argsort(shingle, kind="stable")]
+        size = np.bincount(shingle)
+        start = np.cumsum(size) - size
+        at = np.cumsum(n) - n
+        roots = np.unique(comp, return_inverse=True)[1].tolist()
+        lone, tree = own.min() == own.max(), _Forest(max(roots) + 1)
+        for x in range(len(part)):
+            can = (ids > ids[x]) & (comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+            if not lone:
+                can &= own != own[x]
+            if not can.any():
+                continue
+            mine = shingle[at[x] : at[x] + n[x]]
+            many = size[mine]
+            where = np.repeat(start[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            both = np.bincount(posted[where], minlength=len(part))
+            for y in np.flatnonzero(can & (100 * both >= percent * (n + n[x] - both))).tolist():
+                if tree.join(roots[x], roots[y]):
                     yield int(ids[x]), int(ids[y])
 
-    def run(batches):
-        found, key, part = [], None, []
-
-        def rows_of():
-            for b in batches:
-                yield from zip(*(c.to_pylist() for c in b.columns))
-
-        def batch():
-            a, b = zip(*found)
-            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        for r in rows_of():
-            if r[:3] != key:
-                # blocks i and j of one key: rows of a single block are compared where i and j are that block
-                if len(part) > 1 and (key[1] == key[2] or len({x[0] for x in part}) == 2):
-                    found += compare(key[0], part)
-                key, part = r[:3], []
-                if len(found) >= 20_000:
-                    yield batch()
-                    found = []
-            part.append(r[3:])
-        if len(part) > 1 and (key[1] == key[2] or len({x[0] for x in part}) == 2):
-            found += compare(key[0], part)
-        if found:
-            yield batch()
-
-    return dealt.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long").distinct()
+    return _in_blocks(rows, "near", blocks, compare)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 2, percent: int = 80,
@@ -265,8 +331,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     rest = staged(placed.join(mixed, "key"), "mixed")
     rest = rest.join(_fine(src.join(rest.select("id").distinct(), "id", "left_semi"), words, bands, rows), ["id", "n"])
-    more = staged(verified(_similar(rest, percent), src, words, percent), "more-links")
-    if more.take(1):
+    rest = rest.select("key", "id", "hub", "n", "component", "keys", "sig")
+    near = staged(_similar(rest, percent).select(F.col("b").alias("u"), F.col("a").alias("v")), "near")
+    if near.take(1):
+        near = components(near, "near").withColumnsRenamed({"node": "id", "component": "near"})
+        meet = near.join(comp.withColumnRenamed("node", "id"), "id", "left").select("near", "id", F.coalesce("component", "id").alias("component"))
+        sets = _sets(src.join(near, "id", "left_semi"), words).filter(F.size("s") > 0)
+        meet = staged(meet.join(sets, "id").select("near", "id", "component", "s").distinct(), "meet")
+        more = staged(_joined(meet, percent), "more-links")
         comp = components(edges.unionByName(more.select(F.col("b").alias("u"), F.col("a").alias("v"))))
     found = rows_of.select("id", "n").join(comp.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("component", "id")
@@ -275,8 +347,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id, in one row. Rows with a null id all stay."""
+    """``docs`` with one document of each group: the one with the smallest id. Its repeated rows with one text become one row, its rows
+    with other texts stay, and so do all rows with a null id."""
     key = unused(docs, "gone")
     gone = near_duplicates(docs, id_col, text_col, **how).filter(~F.col("kept")).select(F.col("doc_id").alias(key))
     left = docs.join(gone, F.col(id_col) == F.col(key), "left_anti")
-    return left.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+    return left.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -81,6 +81,18 @@ QUERIES = {f.__name__: f for f in (
 
 #: The others learn models or hash by code; tests compare them with brute force.
 ORACLES: dict[str, str] = {
+    "op8_near_duplicates": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+                ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+        reach AS (SELECT doc_id, doc_id AS r FROM w UNION SELECT doc_id, b FROM reach JOIN link ON a = r)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)""",
     "op12_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,

@@ -444,6 +444,42 @@ def test_near_duplicate_chains_in_one_bucket(spark):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == components_of(rows, 2)
 
 
+def test_what_leaves_the_tasks_grows_with_the_documents(spark, monkeypatch):
+    """Near copies around the threshold: pairs of them are quadratic, what the comparing tasks hand on is not."""
+    made = {}
+    for name in ("_similar", "_joined"):
+        def counted(rows, percent, name=name, plain=getattr(neardup, name)):
+            out = plain(rows, percent)
+            made[name] = out.count()
+            return out
+
+        monkeypatch.setattr(neardup, name, counted)
+    seen = []
+    for size in (100, 200, 400):
+        rnd = random.Random(8)
+        base = ["v%d" % i for i in range(100)]
+        rows = []
+        for n in range(size):
+            w = list(base)
+            for at in rnd.sample(range(100), 4):
+                w[at] = "e%d" % rnd.randrange(10_000)
+            rows.append((n, " ".join(w)))
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+        if size < 400:
+            assert got == components_of(rows, 2)
+        assert made["_similar"] and made["_joined"]
+        seen.append(made["_similar"] + made["_joined"])
+    assert seen[2] <= 3 * seen[1] + 50 and seen[1] <= 3 * seen[0] + 50 and seen[2] < 40 * 400
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    df = spark.createDataFrame([(1, a, "x"), (1, b, "y"), (1, b, "y"), (2, b, "z"), (3, "c d e", None)], "doc_id long, text string, kept string")
+    left = neardup.drop_near_duplicates(df)
+    assert left.columns == df.columns and sorted((r.doc_id, r.text) for r in left.collect()) == [(1, a), (1, b), (3, "c d e")]
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
