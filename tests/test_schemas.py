@@ -109,8 +109,8 @@ def test_z_order_skips_on_either_column(spark, scratch):
     rows = [(i, rng.randrange(1000), date(2024, 1, 1 + rng.randrange(28)), rng.choice(["u", "v", None])) for i in range(20_000)]
     df = spark.createDataFrame(rows, "id long, a int, t date, s string")
     df.repartition(20).write.parquet(f"{scratch}/v0")
-    z = compact(spark, f"{scratch}/v0", f"{scratch}/z", ["a", "t"], rows_per_file=500, z_order=True)
-    line = compact(spark, f"{scratch}/v0", f"{scratch}/line", ["a", "t"], rows_per_file=500)
+    z = compact(spark, f"{scratch}/v0", f"{scratch}/z", ["a", "t"], rows_per_file=100, z_order=True)
+    line = compact(spark, f"{scratch}/v0", f"{scratch}/line", ["a", "t"], rows_per_file=100)
     assert sorted(z.collect()) == sorted(df.collect())
     on_a, on_t = F.col("a").between(500, 520), F.col("t").between(F.lit(date(2024, 1, 14)), F.lit(date(2024, 1, 15)))
     whole = 20_000
