@@ -36,7 +36,7 @@ from revflow.llm.graph import components, staged
 
 #: 32 bands of 6 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**32 = 6e-5, at 0.85 with 3e-7.
 BANDS, ROWS = 32, 6
-FINE, BLOCK = 1024, 2048
+FINE, BLOCK = 1024, 8192
 #: Shingles of a block of full sets.
 ELEMENTS = 1 << 20
 
@@ -136,7 +136,7 @@ def sketch(docs: DataFrame, words: int = 2, bands: int = BANDS, rows: int = ROWS
 
 
 def _fine(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(id, n, keys, sig): the band keys again, as bytes, and one byte of each of FINE slots."""
+    """(id, n, keys, sig): four bytes of each band key, and one byte of each of FINE slots."""
 
     def start():
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -145,7 +145,7 @@ def _fine(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 s = shingle_set(t, words)
                 if len(s):
                     sig = (_mix(signatures([s], FINE)[0]) & np.uint64(255)).astype(np.uint8)
-                    out.append((i, len(s), band_keys(signatures([s], bands * rows), bands, rows)[0].tobytes(), sig.tobytes()))
+                    out.append((i, len(s), band_keys(signatures([s], bands * rows), bands, rows)[0].astype(np.uint32).tobytes(), sig.tobytes()))
             cols = zip(*out) if out else ((), (), (), ())
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "n", "keys", "sig"])
@@ -245,13 +245,14 @@ def _similar(rows: DataFrame, percent: int) -> DataFrame:
     least = FINE * share - 4.5 * (FINE * share * (1 - share)) ** 0.5
 
     def compare(key, part):
-        part = [r for r in part if key in np.frombuffer(r[5], np.int64)]  # not another text under the same id
+        low = np.int64(key).astype(np.uint32)
+        part = [r for r in part if low in np.frombuffer(r[5], np.uint32)]  # not another text under the same id
         if not part:
             return
         own, ids, hubs, n, comp = (np.array(c) for c in list(zip(*part))[:5])
-        keys = np.frombuffer(b"".join(r[5] for r in part), np.int64).reshape(len(part), -1)
+        keys = np.frombuffer(b"".join(r[5] for r in part), np.uint32).reshape(len(part), -1)
         sig = np.frombuffer(b"".join(r[6] for r in part), np.uint8).reshape(len(part), -1)
-        band = int(np.flatnonzero(keys[0] == key)[0])
+        band = int(np.flatnonzero(keys[0] == low)[0])
         lone, tree = own.min() == own.max(), _Forest(len(part))
         for x in range(len(part)):
             if ids[x] == hubs[x]:

@@ -373,6 +373,56 @@ def test_decontamination_equals_brute_force(spark):
     assert decontam.contaminated(d, b.filter("false")).count() == 0 and decontam.contaminated(d.filter("false"), b).count() == 0
 
 
+def test_blocks_find_every_fingerprint_within_the_radius(spark):
+    """Pigeonhole: two fingerprints that differ in at most r bits agree on one of the r + 1 blocks."""
+    rnd = random.Random(6)
+    rows = []
+    for r in (1, 2, 7, 20, 21, 40, 63):
+        for _ in range(60):
+            x = rnd.getrandbits(64)
+            y = x
+            for bit in rnd.sample(range(64), r):
+                y ^= 1 << bit
+            rows.append((x - (1 << 63), y - (1 << 63), r))
+    df = spark.createDataFrame(rows, "x long, y long, r int")
+    shared = df.select("r", F.arrays_overlap(decontam.blocks("x", "r"), decontam.blocks("y", "r")).alias("hit"), F.size(decontam.blocks("x", "r")).alias("n"))
+    assert all(r.hit and r.n == r.r + 1 for r in shared.collect())
+
+
+def test_radius_misses_fewer_than_one_in_ten_thousand(spark):
+    """Sets of m shingles with the most differences that similarity 0.8 allows: how often their fingerprints lie beyond the radius."""
+    rng = np.random.default_rng(5)
+    for m, k in ((11, 1), (20, 2), (31, 3), (41, 4), (55, 6), (100, 11)):
+        r = spark.range(1).select(decontam.radius(F.lit(m), F.lit(k), F.lit(k)).alias("r")).first().r
+        beyond, trials = 0, 40_000
+        for _ in range(trials // 2_000):
+            h = rng.integers(0, 2, (2_000, m + k, 64), dtype=np.int8)
+            a, b = h[:, :m].sum(1) > m // 2, h[:, k:].sum(1) > m // 2
+            beyond += int(((a != b).sum(1) > r).sum())
+        assert beyond <= 4 and r < 40, (m, k, r, beyond)
+
+
+def test_fingerprint_is_the_majority_of_the_shingles(spark):
+    words = "a b c d e f g h i a b c d e".split()
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    grams = sorted({" ".join(words[i : i + 5]) for i in range(10)})
+    hashes = [r[0] & (1 << 64) - 1 for r in spark.createDataFrame([(g,) for g in grams], "g string").select(F.xxhash64("g")).collect()]
+    want = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) > len(hashes) // 2)
+    for field in (8, 16, 32):
+        assert df.select(decontam._fingerprint(F.col("w"), F.lit(5), field)).first()[0] & (1 << 64) - 1 == want
+
+
+def test_decontamination_of_long_documents_shuffles_in_proportion(spark, monkeypatch):
+    """Without broadcasts: passages in texts of 20,000 words are found, and no array of a whole text meets the items."""
+    rnd = random.Random(3)
+    item = " ".join(f"k{i}" for i in range(30))
+    docs = [(i, " ".join(f"w{rnd.randrange(5000)}" for _ in range(20_000 if i == 1 else 300)) + (" " + item if i < 3 else "")) for i in range(6)] + [(None, item)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item), (8, "k1 k2")], "item_id long, text string")
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.contaminated(d, b).collect()}
+    assert got == {(i, x): 1.0 for i in (0, 1, 2, None) for x in (7, 8)}
+
+
 def test_decontamination_with_replaced_edge_words(spark):
     """Several words replaced at an item's edges, up to the threshold, also in items of few different words."""
     rnd = random.Random(8)
