@@ -9,8 +9,10 @@ estimated chance of success (the sum of the squared distances to the crossed cel
 Copies of a vector are folded into one before hashing, with their KEEP smallest ids (no answer needs more). Buckets are packed into
 shards of about SHARD vectors; a larger bucket is split over several shards and a query visits all of them; queries are cut
 into blocks of about QUERY_BLOCK. A task scores one block against one shard and returns at most KEEP rows for each query, so
-neither copies nor dense buckets gather in one task. Queries that found fewer than KEEP candidates are run exactly against every
-shard. Every row is indexed; no fit needs a sample.
+neither copies nor dense buckets gather in one task. The shards of all tables are visited in rounds, each twice as many as before it;
+a query carries its KEEP-th best score so far, and tasks return only what reaches it. About as many rows as are kept reach it in a
+round, so the rows that leave the tasks grow with the queries and the logarithm of the shards, and no answer is lost. Queries that
+found fewer than KEEP candidates are run exactly against every shard. Every row is indexed; no fit needs a sample.
 
 Defined results: rows with a null id, or a vector that is null, empty, zero or holds null or non-finite components, take no part. A
 repeated id counts once, with its smallest vector. Vectors of different lengths are never compared. Ties go to the smaller id;
@@ -106,7 +108,8 @@ def _hashed(vectors: DataFrame, largest: float, query: bool, tables: int, k: int
 
 
 def _nearest(keep: int):
-    """Cogroup function: a block of queries against a shard; (qkey, vkey, score) of each query's best ``keep`` in visited buckets.
+    """Cogroup function: a block of queries against a shard; (qkey, vkey, score) of each query's best ``keep`` in visited buckets that
+    reach the query's bound (null: none yet).
 
     The matrix product's last bits depend on the other rows and queries of the block. It only preselects, with its rounding error as
     margin; the scores that count are row sums of a pair's products, the same wherever the pair is met.
@@ -128,12 +131,14 @@ def _nearest(keep: int):
                 seen = np.zeros((len(part), len(kinds)), bool)
                 for i, visited in enumerate(part["codes"]):
                     seen[i] = True if visited is None else np.isin(kinds, visited)
-                for key, x, own, s, m in zip(part["key"], asked, seen, scores, margin):
-                    near = np.flatnonzero(own[bucket])
+                bounds = part["bound"].to_numpy(np.float64, na_value=-np.inf)
+                for key, x, own, s, m, bound in zip(part["key"], asked, seen, scores, margin, np.where(np.isnan(bounds), -np.inf, bounds)):
+                    near = np.flatnonzero(own[bucket] & (s >= bound - m))
                     if len(near) > keep:
                         least = np.partition(s[near], -keep)[-keep] - m
                         near = near[s[near] >= least]
                     exact = (data[near] * x).sum(axis=1)
+                    near, exact = near[exact >= bound], exact[exact >= bound]
                     best = np.argsort(-exact, kind="stable")[:keep]  # stable: equal scores stay by id
                     out["qkey"].append(np.full(len(best), key)), out["vkey"].append(keys[near[best]]), out["score"].append(exact[best])
         return pd.DataFrame({c: np.concatenate(v) if v else np.empty(0, float if c == "score" else np.int64) for c, v in out.items()})
@@ -163,40 +168,57 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "
 
     n_queries = wanted.count()
     blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    code_rows = hashed.select("key", "dim", "v", F.posexplode(F.flatten("codes")).alias("t", "code"))
+    code_rows = hashed.select("key", "dim", F.posexplode(F.flatten("codes")).alias("t", "code"))
     spread = lambda n: F.pmod(F.xxhash64("key"), n)
     sizes = code_rows.groupBy("dim", "t", "code").agg(F.count("*").alias("size"))
     sizes = staged(sizes.join(sizes.groupBy("dim", "t").agg(F.ceil(F.sum("size") / SHARD).cast("long").alias("shards")), ["dim", "t"])
                    .withColumn("parts", F.ceil(F.col("size") / SHARD).cast("long")), "bucket-sizes")
     shard = F.pmod(F.xxhash64("code", "part"), F.col("shards"))
+    turn = F.floor(F.log2(F.col("shard") * tables + F.col("t") + 1)).cast("int")
+    # where each row and each visit belongs, without the vectors
     placed = (code_rows.join(sizes, ["dim", "t", "code"]).withColumn("part", spread(F.col("parts"))).withColumn("shard", shard)
-              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("dim", "t", "shard", "block", "key", "v", "code"))
+              .select("dim", "t", "shard", "key", "code", turn.alias("turn")))
+    placed = staged(placed, "placed")
     visits = wanted.select("key", "dim", F.posexplode("codes").alias("t", "list")).select("key", "dim", "t", F.explode("list").alias("code"))
     visits = (visits.join(sizes, ["dim", "t", "code"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
               .withColumn("shard", shard).withColumn("block", spread(F.lit(blocks)).cast("int"))
               .groupBy("dim", "t", "shard", "block", "key").agg(F.collect_set("code").alias("codes")))
-    visits = visits.join(wanted.select("key", "v"), "key")
+    visits = staged(visits.withColumn("turn", turn), "visits")
+    in_blocks = lambda rows: rows.join(hashed.select("key", "v"), "key").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("dim", "t", "shard", "block", "key", "v", "code")
     on = ["dim", "t", "shard", "block"]
     result = "qkey long, vkey long, score double"
-    found = visits.groupBy(*on).cogroup(placed.groupBy(*on)).applyInPandas(_nearest(keep), result)
     folded = lambda pairs: pairs.groupBy("qkey", "vkey").agg(F.max("score").alias("score"))  # noqa: E731  (a pair is met in several tables)
-    found = staged(folded(found), "found")
+    kept = lambda pairs: pairs.withColumn("n", F.row_number().over(
+        Window.partitionBy("qkey").orderBy(F.desc("score"), "vkey"))).filter(F.col("n") <= keep).drop("n")
+    vectors_of = wanted.select("key", "v")
+    found = None
+    for now in range(((placed.agg(F.max("turn")).first()[0]) or 0) + 1):  # as many rounds as the shards have binary digits
+        asking = visits.filter(F.col("turn") == now).drop("turn").join(vectors_of, "key")
+        if found is None:
+            asking = asking.withColumn("bound", F.lit(None).cast("double"))
+        else:
+            bounds = found.groupBy("qkey").agg(F.when(F.count("*") >= keep, F.min("score")).alias("bound"))
+            asking = asking.join(bounds, F.col("key") == F.col("qkey"), "left").drop("qkey")
+        rows_now = in_blocks(placed.filter(F.col("turn") == now))
+        pairs = asking.groupBy(*on).cogroup(rows_now.groupBy(*on)).applyInPandas(_nearest(keep), result)
+        found = staged(kept(folded(pairs if found is None else found.unionByName(pairs))), "found")
 
     counts = members.groupBy("key").agg(F.count("*").alias("copies"))
     enough = (found.join(counts, F.col("vkey") == F.col("key")).groupBy("qkey").agg(F.sum("copies").alias("n")).filter(F.col("n") >= keep))
     short = staged(wanted.join(enough, F.col("key") == F.col("qkey"), "left_anti").select("key", "dim", "v"), "short")
     if short.take(1):
-        every = placed.filter("t = 0")
+        every = in_blocks(placed.filter("t = 0"))
         shards = sizes.filter("t = 0").select("dim", "shards").distinct()
         ask = (short.join(shards, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
                .withColumn("block", spread(F.lit(blocks)).cast("int")))
-        ask = ask.select("dim", F.lit(0).alias("t"), "shard", "block", "key", "v", F.lit(None).cast("array<long>").alias("codes"))
+        ask = ask.select("dim", F.lit(0).alias("t"), "shard", "block", "key", F.lit(None).cast("array<long>").alias("codes"), "v",
+                         F.lit(None).cast("double").alias("bound"))
         exact = ask.groupBy(*on).cogroup(every.groupBy(*on)).applyInPandas(_nearest(keep), result)
         found = folded(found.unionByName(exact))
 
     order = lambda key: Window.partitionBy(key).orderBy(F.desc("score"), "vec_id")
-    best = found.withColumn("n", F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("score"), "vkey"))).filter(F.col("n") <= keep)
-    lists = (best.join(members.select(F.col("key").alias("vkey"), F.col("id").alias("vec_id")), "vkey")
+    lists = (kept(found).join(members.select(F.col("key").alias("vkey"), F.col("id").alias("vec_id")), "vkey")
              .withColumn("n", F.row_number().over(order("qkey"))).filter(F.col("n") <= keep).select("qkey", "vec_id", "score"))
     each = named.filter(queries).select(F.col("id").alias("query_id"), F.col("key").alias("qkey"))
     answers = each.join(lists, "qkey").filter("query_id <> vec_id")

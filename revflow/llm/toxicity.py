@@ -6,17 +6,17 @@ spelled-out letters ("i d i o t") are joined. The word kernel is the inner produ
 both words' lists of occurrence weights, to the power POWER; the sentence kernel is the sum over the word pairs of two sentences. Landmark words give the Nystroem map K_mm^(-1/2) k_m, on
 which a linear support vector machine is trained. Because the map is additive over words, a word's part of the decision is one
 number, remembered by word. A sentence counts each of its distinct words once and is cut into pieces of at most PIECE words; a
-document's score is the logistic value of the mean of its TOP highest pieces (of all its pieces, if fewer).
+document's score is the logistic value of the mean of its ``top`` highest pieces (of all its pieces, if fewer).
 
 Learning is multiple-instance: a toxic document has at least one toxic sentence. The fit reads at most ``per_class`` labelled
 documents of each label (smallest hashes). Landmarks are the words and word beginnings most typical of toxic documents (document
 frequency less its expectation, in standard deviations), none the beginning of another. From each document INSTANCES pieces,
-those nearest the landmarks, are training rows; the support vector machine and the choice of a toxic document's TOP highest
-pieces alternate.
+those nearest the landmarks, are training rows; the support vector machine and the choice of a toxic document's ``top`` highest
+pieces alternate. ``top`` is the one of TOPS with the smallest log loss in a cross-validation of FOLDS folds over the training documents.
 
 Defined results: a null or empty text, or one without letters, has one empty sentence and the score of the bare intercept; without
 labelled documents of both labels every score is 0. Labels that are null count for nothing, a document with several labels is
-toxic if one says so; repeated rows are scored alike; only the id, text and label columns are read.
+toxic if one says so; of an id's texts the smallest is learned from; repeated rows are scored alike; only the id, text and label columns are read.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ from revflow.llm.common import held_out, map_rows
 from revflow.llm.graph import staged
 from revflow.llm.langid import linear_svm, sample
 
-DECAY, POWER, PIECE, INSTANCES, TOP = 0.6, 3, 12, 12, 2
+DECAY, POWER, PIECE, INSTANCES = 0.6, 3, 12, 12
+TOPS, FOLDS = (1, 2, 3), 3
 LANDMARKS = 48
 THRESHOLD = 0.7
 _GAPS = [(a, b) for b in range(2, 5) for a in range(1, b)]
@@ -103,7 +104,8 @@ class Kernel:
 
 
 class Model:
-    def __init__(self, landmarks: list[str]):
+    def __init__(self, landmarks: list[str], top: int = TOPS[0]):
+        self.top = top
         self.kernel = Kernel(landmarks)
         k = self.kernel(landmarks).astype(np.float64)
         k = (k + k.T) / 2
@@ -119,7 +121,7 @@ class Model:
     def learn(self, bags: list[np.ndarray], toxic: np.ndarray, toxic_share: float) -> None:
         """Alternate: support vector machine on each toxic bag's chosen row and all clean rows; choose again; then fit the logistic."""
         clean = np.concatenate([b for b, y in zip(bags, toxic) if not y])
-        chosen = [list(range(min(TOP, len(b)))) for b in bags]
+        chosen = [list(range(min(self.top, len(b)))) for b in bags]
         for _ in range(5):
             rows = np.concatenate([b[c] for b, c, y in zip(bags, chosen, toxic) if y])
             x = np.concatenate([rows, clean]).astype(np.float32)
@@ -128,7 +130,7 @@ class Model:
             w = linear_svm(x, y, decay=1e-4, steps=1500)
             self.weights, self.intercept = w[:-1].astype(np.float64), float(w[-1])
             tops = [b @ self.weights for b in bags]
-            chosen = [np.argsort(-t, kind="stable")[:TOP].tolist() for t in tops]
+            chosen = [np.argsort(-t, kind="stable")[: self.top].tolist() for t in tops]
         top = np.array([t[c].mean() for t, c in zip(tops, chosen)]) + self.intercept
         share = np.where(toxic, toxic_share / toxic.sum(), (1 - toxic_share) / (~toxic).sum())
         a, c = 1.0, 0.0
@@ -151,7 +153,8 @@ def _train_docs(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[Dat
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     ids = sample(known, F.col("toxic"), "doc_id", "doc_id", per_class, 2 * per_class).select("label", F.col("text").alias("doc_id"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])  # ids: at most 2 * per_class
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # ids: at most 2 * per_class
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # of an id's texts always the same one
     return staged(rows.select("label", "text"), "toxicity-sample"), share
 
 
@@ -207,12 +210,32 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Model | No
     rows = map_rows(train.select("label", "text"), start, "y int, x binary").collect()  # at most 2 * per_class * INSTANCES vectors
     rows.sort(key=lambda r: (r.y, bytes(r.x)))
     bags = [np.frombuffer(r.x, np.float32).reshape(-1, len(landmarks)) for r in rows]
-    model.learn(bags, np.array([r.y == 1 for r in rows]), share)
+    toxic = np.array([r.y == 1 for r in rows])
+    model.top = min(TOPS, key=lambda top: (_log_loss(landmarks, bags, toxic, share, top), top))
+    model.learn(bags, toxic, share)
     return model
 
 
-def _mean_top(values: list[float]) -> float:
-    best = nlargest(TOP, values)
+def _log_loss(landmarks: list[str], bags: list[np.ndarray], toxic: np.ndarray, share: float, top: int) -> float:
+    """Mean log loss of documents that a model of the other folds scores, each label with its share."""
+    loss = np.zeros(len(bags))
+    fold = np.empty(len(bags), int)
+    for label in (False, True):  # every fold has both labels
+        fold[toxic == label] = np.arange((toxic == label).sum()) % FOLDS
+    for f in range(FOLDS):
+        own, rest = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+        if not len(own) or toxic[rest].all() or not toxic[rest].any():
+            continue
+        model = Model(landmarks, top)
+        model.learn([bags[i] for i in rest], toxic[rest], share)
+        for i in own:
+            p = min(max(model.probability(_mean_top((bags[i] @ model.weights).tolist(), top)), 1e-6), 1 - 1e-6)
+            loss[i] = -np.log(p if toxic[i] else 1 - p)
+    return float(np.round(share * loss[toxic].mean() + (1 - share) * loss[~toxic].mean(), 9))
+
+
+def _mean_top(values: list[float], top: int) -> float:
+    best = nlargest(top, values)
     return sum(best) / len(best)
 
 
@@ -235,7 +258,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 part = new[at : at + 20_000]
                 known.update(zip(part, model.word_scores(part).tolist()))
             look = known.__getitem__
-            tops = [_mean_top([sum(map(look, s)) for s in d]) for d in docs]
+            tops = [_mean_top([sum(map(look, s)) for s in d], model.top) for d in docs]
             return pa.record_batch([b.column(0), pa.array([model.probability(x) for x in tops], pa.float64())], names=["k", "score"])
 
         return work

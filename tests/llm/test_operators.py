@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -165,6 +166,31 @@ def test_neighbours_odd_vectors_and_copies(spark):
     assert ann.neighbours(df.filter("false"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_scored_rows_do_not_grow_with_the_shards(spark, monkeypatch):
+    """A query's bound is carried through the rounds: many shards return hardly more rows than few, and the answers are the same."""
+    x = np.random.default_rng(9).standard_normal((1200, 16))
+    df = spark.createDataFrame([(i, v.tolist(), "x", 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, v string, key int")
+    plain, made, answers = ann._nearest, {}, {}
+    for shard in (1200, 40):
+        total = spark.sparkContext.accumulator(0)
+
+        def counted(keep, total=total):
+            run = plain(keep)
+
+            def count(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+                out = run(queries, rows)
+                total.add(len(out))
+                return out
+
+            return count
+
+        monkeypatch.setattr(ann, "SHARD", shard)
+        monkeypatch.setattr(ann, "_nearest", counted)
+        answers[shard] = sorted(map(tuple, ann.neighbours(df, F.col("id") % 20 == 0).collect()))
+        made[shard] = total.value
+    assert answers[1200] == answers[40] and made[40] < 3 * made[1200] < 3 * 60 * 6 * 21
+
+
 def test_neighbours_are_distinct_over_many_shards(spark, monkeypatch):
     """Tables cut into different shards meet a pair beside other rows; it must still be one candidate with one score."""
     monkeypatch.setattr(ann, "SHARD", 150)
