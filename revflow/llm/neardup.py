@@ -36,7 +36,7 @@ from revflow.llm.graph import components, staged
 
 #: 32 bands of 6 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**32 = 6e-5, at 0.85 with 3e-7.
 BANDS, ROWS = 32, 6
-FINE, BLOCK = 1024, 8192
+FINE, BLOCK = 512, 8192
 #: Shingles of a block of full sets.
 ELEMENTS = 1 << 20
 
@@ -195,16 +195,17 @@ class _Forest:
         return a != b
 
 
-def _in_blocks(rows: DataFrame, key: str, blocks: DataFrame, compare) -> DataFrame:
-    """Pairs (a, b) that ``compare(key, part)`` finds among the rows of a key. ``rows`` begins with the key and the id.
-
-    A key's rows are dealt to its ``blocks`` by id, and each two blocks meet in one task; a part's rows have their block and not the key.
-    """
+def _dealt(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """``rows`` with (key, i, j, own): a key's rows are dealt to its ``blocks`` by id, and each two blocks i and j meet."""
     dealt = rows.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *(c for c in rows.columns if c != key))
-    group = [key, "i", "j"]
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _in_blocks(dealt: DataFrame, compare) -> DataFrame:
+    """Pairs (a, b) that ``compare(key, part)`` finds among the dealt rows (key, i, j, own, ...) that meet; a part's rows begin with ``own``."""
+    group = dealt.columns[:3]
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         found, at, part = [], None, []
@@ -237,9 +238,9 @@ def _in_blocks(rows: DataFrame, key: str, blocks: DataFrame, compare) -> DataFra
     return dealt.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long").distinct()
 
 
-def _similar(rows: DataFrame, percent: int) -> DataFrame:
-    """A spanning forest of the pairs (a, b) of ``rows(key, id, hub, n, component, keys, sig)``: same key, different components, sizes and
-    signatures near enough."""
+def _similar(rows: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest of the pairs (a, b) of ``rows(key, id, hub, n, component)``: same key, different components, sizes and
+    signatures (``fine``) near enough."""
     blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     share = percent / 100
     least = FINE * share - 4.5 * (FINE * share * (1 - share)) ** 0.5
@@ -267,7 +268,8 @@ def _similar(rows: DataFrame, percent: int) -> DataFrame:
                     if tree.join(x, y):
                         yield int(ids[x]), int(ids[y])
 
-    return _in_blocks(rows, "key", blocks, compare)
+    dealt = _dealt(rows, "key", blocks).join(fine, ["id", "n"])  # narrow rows are dealt, then joined with their signatures
+    return _in_blocks(dealt.select("key", "i", "j", "own", "id", "hub", "n", "component", "keys", "sig"), compare)
 
 
 def _joined(rows: DataFrame, percent: int) -> DataFrame:
@@ -301,7 +303,7 @@ def _joined(rows: DataFrame, percent: int) -> DataFrame:
                 if tree.join(roots[x], roots[y]):
                     yield int(ids[x]), int(ids[y])
 
-    return _in_blocks(rows, "near", blocks, compare)
+    return _in_blocks(_dealt(rows, "near", blocks), compare)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 2, percent: int = 80,
@@ -331,9 +333,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = members.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     rest = staged(placed.join(mixed, "key"), "mixed")
-    rest = rest.join(_fine(src.join(rest.select("id").distinct(), "id", "left_semi"), words, bands, rows), ["id", "n"])
-    rest = rest.select("key", "id", "hub", "n", "component", "keys", "sig")
-    near = staged(_similar(rest, percent).select(F.col("b").alias("u"), F.col("a").alias("v")), "near")
+    fine = _fine(src.join(rest.select("id").distinct(), "id", "left_semi"), words, bands, rows)
+    near = staged(_similar(rest.select("key", "id", "hub", "n", "component"), fine, percent).select(F.col("b").alias("u"), F.col("a").alias("v")), "near")
     if near.take(1):
         near = components(near, "near").withColumnsRenamed({"node": "id", "component": "near"})
         meet = near.join(comp.withColumnRenamed("node", "id"), "id", "left").select("near", "id", F.coalesce("component", "id").alias("component"))

@@ -524,8 +524,8 @@ def test_what_leaves_the_tasks_grows_with_the_documents(spark, monkeypatch):
     """Near copies around the threshold: pairs of them are quadratic, what the comparing tasks hand on is not."""
     made = {}
     for name in ("_similar", "_joined"):
-        def counted(rows, percent, name=name, plain=getattr(neardup, name)):
-            out = plain(rows, percent)
+        def counted(*how, name=name, plain=getattr(neardup, name)):
+            out = plain(*how)
             made[name] = out.count()
             return out
 
