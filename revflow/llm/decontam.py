@@ -127,9 +127,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     for q in sorted({SHINGLE, *(facts.short or [])}):
         own = known.filter(F.col("q") == q).select("n", "ih", F.posexplode("ih").alias("t", "h")).filter(F.col("t") <= F.col("n") - q)
         own = own.select(_hash(F.col("ih"), F.col("t"), q).alias("g"), "t", "n", F.get("ih", F.col("t") - 1).alias("before")).distinct()
-        at = tokens.filter(F.size("hs") >= q).select("id", "th", F.size("hs").alias("size"), F.explode(F.transform(
-            F.sequence(F.lit(0), F.size("hs") - q), lambda d: F.struct(d.alias("d"), _hash(F.col("hs"), d, q).alias("g"), F.get("hs", d - 1).alias("last")))).alias("e"))
-        hit = at.select("id", "th", "size", "e.d", "e.g", "e.last").join(small(own, facts.grams or 0), "g")
+        at = tokens.select("id", "th", "hs", F.posexplode("hs").alias("d", "h0")).filter(F.col("d") <= F.size("hs") - q)
+        # the arrays stay behind before anything is joined
+        at = at.select("id", "th", F.size("hs").alias("size"), "d", _hash(F.col("hs"), F.col("d"), q).alias("g"), F.get("hs", F.col("d") - 1).alias("last"))
+        hit = at.join(small(own, facts.grams or 0), "g")
         begins = (F.col("d") == 0) | (F.col("t") == 0) | (F.col("last") != F.col("before"))
         first = F.explode(F.array(*(F.greatest(F.lit(0), F.least(F.col("d") - F.col("t") + s, F.col("size") - F.col("n")))
                                     for s in range(-SLACK, SLACK + 1))))
