@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revflow.llm.common import unused
 from revflow.session import scratch_path
 
 
@@ -16,6 +17,35 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the map that ``maybe_in`` broadcasts: at most 4,096 rows of 4 KB, 16 MB in all, however many ids there are.
+BITS = 1 << 27
+
+
+def maybe_in(df: DataFrame, col: str, ids: DataFrame, maybe: str) -> DataFrame:
+    """``df`` with a boolean column ``maybe``: false only where ``col`` is surely not among ``ids(id)`` (null: false).
+
+    A bitmap of the hashed ids, so that rows without a partner are told before they are shuffled. With very many ids most bits are
+    set and fewer rows are told; a join decides about the rest.
+    """
+    bucket, bitmap = unused(df, "bucket"), unused(df, "bitmap")
+
+    def bit(c):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(BITS)) + 1
+
+    at = ids.filter("id is not null").select(F.bitmap_bucket_number(bit("id")).alias(bucket), F.bitmap_bit_position(bit("id")).alias("pos"))
+    maps = at.repartition(bucket).groupBy(bucket).agg(F.bitmap_construct_agg("pos").alias(bitmap))
+    pos = F.bitmap_bit_position(bit(col))
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (pos % 8).cast("int")) == 1
+    rows = df.withColumn(bucket, F.when(F.col(col).isNotNull(), F.bitmap_bucket_number(bit(col))))
+    return rows.join(F.broadcast(maps), bucket, "left").withColumn(maybe, F.coalesce(hit, F.lit(False))).drop(bucket, bitmap)
+
+
+def picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs(id, ...)`` whose id is among ``ids(id)``; most others are left out before the shuffle."""
+    return maybe_in(docs, "id", ids, "maybe").filter("maybe").drop("maybe").join(ids, "id", "left_semi")
+
+
 def _local_forest(edges: DataFrame) -> DataFrame:
     """Union-find within each partition: its edges (u > v) become one edge from each node to its root there."""
 

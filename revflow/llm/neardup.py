@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revflow.llm.common import map_rows, unused
-from revflow.llm.graph import components, staged
+from revflow.llm.graph import components, maybe_in, picked, staged
 
 #: 32 bands of 6 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**32 = 6e-5, at 0.85 with 3e-7.
 BANDS, ROWS = 32, 6
@@ -167,8 +167,8 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity: 100 * intersection >= percent * union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _sets(docs.join(ids, "id", "left_semi"), words)
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "paired")
+    sets = _sets(picked(docs, ids), words)
     a = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
     ab = a.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
@@ -326,19 +326,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spokes = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
     spokes = spokes.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
     spokes = spokes.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-    links = staged(verified(spokes, src, words, percent), "links")
+    links = staged(verified(staged(spokes, "spokes"), src, words, percent), "links")
     edges = edges.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     comp = components(edges)
 
     placed = members.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     rest = staged(placed.join(mixed, "key"), "mixed")
-    fine = _fine(src.join(rest.select("id").distinct(), "id", "left_semi"), words, bands, rows)
+    fine = _fine(picked(src, staged(rest.select("id").distinct(), "unlinked")), words, bands, rows)
     near = staged(_similar(rest.select("key", "id", "hub", "n", "component"), fine, percent).select(F.col("b").alias("u"), F.col("a").alias("v")), "near")
     if near.take(1):
-        near = components(near, "near").withColumnsRenamed({"node": "id", "component": "near"})
+        near = staged(components(near, "near").withColumnsRenamed({"node": "id", "component": "near"}), "near-ids")
         meet = near.join(comp.withColumnRenamed("node", "id"), "id", "left").select("near", "id", F.coalesce("component", "id").alias("component"))
-        sets = _sets(src.join(near, "id", "left_semi"), words).filter(F.size("s") > 0)
+        sets = _sets(picked(src, near), words).filter(F.size("s") > 0)
         meet = staged(meet.join(sets, "id").select("near", "id", "component", "s").distinct(), "meet")
         more = staged(_joined(meet, percent), "more-links")
         comp = components(edges.unionByName(more.select(F.col("b").alias("u"), F.col("a").alias("v"))))
@@ -350,8 +350,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id. Its repeated rows with one text become one row, its rows
-    with other texts stay, and so do all rows with a null id."""
-    key = unused(docs, "gone")
-    gone = near_duplicates(docs, id_col, text_col, **how).filter(~F.col("kept")).select(F.col("doc_id").alias(key))
-    left = docs.join(gone, F.col(id_col) == F.col(key), "left_anti")
-    return left.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+    with other texts stay, and so do all rows with a null id. Rows that are surely neither removed nor repeated are not shuffled."""
+    found = near_duplicates(docs, id_col, text_col, **how)
+    judged = found.groupBy(F.col("doc_id").alias("id")).agg(F.max(~F.col("kept")).alias("gone"), F.count("*").alias("rows"))
+    judged = staged(judged.filter("id is not null and (gone or rows > 1)").select("id", "gone"), "judged")
+    key, doubt = unused(docs, "gone_id"), unused(docs, "doubt")
+    told = maybe_in(docs.withColumn(key, F.col(id_col).cast("long")), key, judged, doubt)
+    sure, doubted = told.filter(~F.col(doubt)).drop(key, doubt), told.filter(doubt).drop(doubt)
+    left = doubted.join(judged.filter("gone").select(F.col("id").alias(key)), key, "left_anti").drop(key)
+    return sure.unionByName(left.dropDuplicates([id_col, text_col]))
