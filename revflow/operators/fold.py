@@ -82,6 +82,44 @@ def fold_increment(changes: DataFrame, spec: EntitySpec, after: Column) -> DataF
     return fold_current_state(new.unionByName(old), spec).filter(F.col("silver_updated_ts") > after)
 
 
+def fold_feed(changes: DataFrame, spec: EntitySpec, after: int, upto: int, compare: Sequence[str], carry: Sequence[str] = (),
+              hard_delete: bool | None = None) -> DataFrame:
+    """What the runs with an order in (``after``, ``upto``] did to the state: insert, update and delete rows as ``table_diff`` of the states at both.
+
+    Only these runs' changes are read whole (their partitions are selected by order). Of older rows those of the same keys are kept, for
+    the state before, so what is shuffled grows with the changes and not with the table. Both states come from one aggregation.
+    """
+    hard = spec.delete_strategy == "hard_delete" if hard_delete is None else hard_delete
+    key, audit = spec.primary_key, audit_columns(spec)
+    wanted = list(dict.fromkeys([*compare, *carry]))
+    changes = changes.select(key, ORDER, RUN, STATE, "bronze_is_delete", *(c for c in wanted if c != key))
+    new = changes.filter((F.col(ORDER) > after) & (F.col(ORDER) <= upto))
+    old = changes.filter(F.col(ORDER) <= after).join(new.select(key).distinct(), key, "left_semi")
+    known = old.unionByName(new).filter(_is_upsert() | (F.col("bronze_is_delete") == F.lit(True)))
+    place, values = F.struct(ORDER, RUN), F.struct(*wanted)
+    folds = []
+    for name, within in (("old", F.col(ORDER) <= after), ("new", F.lit(True))):
+        folds += [F.max_by(values, F.when(within & _is_upsert(), place)).alias(f"{name}_up"),
+                  F.max_by(F.struct((~_is_upsert()).alias("gone"), values.alias("row")), F.when(within, place)).alias(f"{name}_last")]
+    folded = known.groupBy(key).agg(*folds)
+
+    def there(name: str) -> Column:
+        up = F.col(f"{name}_up").isNotNull()
+        return up & ~F.col(f"{name}_last.gone") if hard else up
+
+    def value(name: str, c: str) -> Column:
+        held = F.col(f"{name}_last.row")[c] if c in audit else F.col(f"{name}_up")[c]
+        return F.when(there(name), held)
+
+    differ = F.lit(False)
+    for c in compare:
+        differ = differ | ~value("old", c).eqNullSafe(value("new", c))
+    kind = (F.when(~there("old") & there("new"), F.lit("insert")).when(there("old") & ~there("new"), F.lit("delete"))
+            .when(there("old") & there("new") & differ, F.lit("update")))
+    out = folded.withColumn("change_type", kind).filter(F.col("change_type").isNotNull())
+    return out.select(key, "change_type", *(value("old", c).alias(f"old_{c}") for c in carry), *(value("new", c).alias(f"new_{c}") for c in carry))
+
+
 def fold_fact(changes: DataFrame, key: str) -> DataFrame:
     """M2 / M3 over every run's flagged fact rows in order: the last row of a key, unless it is flagged as deleted."""
     columns = [c for c in changes.columns if c not in (key, ORDER, RUN, STATE, "gold_delete_flag")]

@@ -390,6 +390,8 @@ FROM o_state o FULL OUTER JOIN n_state n ON o.user_id = n.user_id
 WHERE o.user_id IS NULL OR n.user_id IS NULL OR o.event_id IS DISTINCT FROM n.event_id
    OR o.is_active IS DISTINCT FROM n.is_active OR o.silver_deleted_ts IS DISTINCT FROM n.silver_deleted_ts"""
 
+ORACLES["change_feed_of_runs"] = ORACLES["change_feed"]
+
 ORACLES["stage_movement"] = with_(ev_ctes()) + """
 , daily AS (
   SELECT user_id, batch_date AS snapshot_date, event_type AS stage_name, amount AS estimated_value FROM (

@@ -20,6 +20,7 @@ from revflow.operators import control
 from revflow.operators.dedup import latest_per_key
 from revflow.operators.diff import table_diff
 from revflow.operators.facts import current_activity, current_fact
+from revflow.operators.fold import fold_feed
 from revflow.operators.layout import compact, file_count
 from revflow.operators.replay import replay_current_state
 from revflow.operators.snapshot import build_snapshot, pipeline_trend, store_movement, store_snapshot, stored_snapshots
@@ -384,6 +385,8 @@ def q_silver_backfill(spark, sf):
 
 
 CHANGE_FEED_CUT = "2024-01-16"
+#: A mark after every run.
+FOREVER = (1 << 63) - 1
 
 
 @query("change_feed")
@@ -396,6 +399,18 @@ def q_change_feed(spark, sf):
                       carry=["event_id", "is_active"])
 
 
+@query("change_feed_of_runs")
+def q_change_feed_of_runs(spark, sf):
+    """X29 from what was written: the runs from the cut on, over the base of the runs before; the same rows as the two states' difference."""
+    prepare(spark)
+    table = state_table(spark, scratch_path(spark, "event-feed"), EVENT_SPEC)
+    valid, cut = event_valid(spark, sf), F.to_date(F.lit(CHANGE_FEED_CUT))
+    append_batches(table, valid.filter(F.col("batch_date") < cut), EVENT_SPEC, "batch_date", _run_id_of, _run_ts_of, EVENT_TIE_BREAKERS)
+    after = table.fold()
+    append_batches(table, valid.filter(F.col("batch_date") >= cut), EVENT_SPEC, "batch_date", _run_id_of, _run_ts_of, EVENT_TIE_BREAKERS)
+    return fold_feed(table.changes_at(after or 0), EVENT_SPEC, after or 0, FOREVER, ["event_id", "is_active", "silver_deleted_ts"], carry=["event_id", "is_active"])
+
+
 @query("stage_movement")
 def q_stage_movement(spark, sf):
     """Each user's daily state (stage = event type) against the day before."""

@@ -65,6 +65,12 @@ class ChangeTable:
             {ORDER: F.lit(upto).cast("long"), RUN: F.lit(""), STATE: F.lit(True)})
         return base if rows is None else _union([rows.filter(F.col(ORDER) > upto), base])
 
+    def changes_at(self, after: int) -> DataFrame | None:
+        """The changes from which the state at ``after`` and later ones follow: with the base if it is not later than ``after``, else
+        every run's (their partitions must still be there)."""
+        base = self.upto()
+        return self._live(self.appended(), base if base is not None and base <= after else None)
+
     def exists(self) -> bool:
         """S10."""
         return any(self._read(f"changes/{GENERATION}={g}", merge=False) is not None for g in range(self.generation + 1))

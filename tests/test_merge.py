@@ -148,3 +148,32 @@ def test_fold_equals_merging_run_by_run(spark, scratch, hard, guard):
             table.fold("k")
         got = table.read().select(*target.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, target.collect())), run
+
+
+@pytest.mark.parametrize("hard", [False, True])
+def test_feed_of_runs_equals_the_difference_of_two_states(spark, scratch, hard):
+    """Random logs with deletes, revivals and late changes; every pair of marks, before and after the base."""
+    import random
+
+    from revflow.operators.diff import table_diff
+    from revflow.operators.fold import fold_feed
+    from revflow.sources.deltas import state_table
+
+    rng = random.Random(5 + hard)
+    table = state_table(spark, f"{scratch}/feed", SPEC, hard_delete=hard)
+    states = {0: None}
+    for run in range(1, 5):
+        log = [(rng.randrange(9), rng.randrange(60), float(rng.randrange(9)), rng.choice("IUDD"), run) for _ in range(9)]
+        table.append(run_rows(spark, log, run), f"r{run}", run)
+        state = table.read()
+        states[run] = spark.createDataFrame(state.collect(), state.schema)
+        if run == 2:
+            table.fold("k")
+    compare, seen = ["v", "is_active", "silver_deleted_ts"], set()
+    for after, upto in ((0, 1), (0, 4), (1, 3), (2, 3), (2, 4), (3, 4), (4, 9)):
+        got = fold_feed(table.changes_at(after), SPEC, after, upto, compare, carry=["v", "is_active"], hard_delete=hard).collect()
+        new = states[min(upto, 4)]
+        want = table_diff(new.limit(0) if states[after] is None else states[after], new, ["k"], compare, carry=["v", "is_active"]).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)), (after, upto)
+        seen |= {r.change_type for r in got}
+    assert seen == ({"insert", "update", "delete"} if hard else {"insert", "update"})
