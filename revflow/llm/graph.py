@@ -17,8 +17,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Bits of the map that ``maybe_in`` broadcasts: at most 4,096 rows of 4 KB, 16 MB in all, however many ids there are.
-BITS = 1 << 27
+#: Bits of the map that ``maybe_in`` broadcasts: at most 524,288 rows of one 64-bit word, about 25 MB, however many ids there are.
+BITS = 1 << 25
 
 
 def maybe_in(df: DataFrame, col: str, ids: DataFrame, maybe: str) -> DataFrame:
@@ -27,18 +27,16 @@ def maybe_in(df: DataFrame, col: str, ids: DataFrame, maybe: str) -> DataFrame:
     A bitmap of the hashed ids, so that rows without a partner are told before they are shuffled. With very many ids most bits are
     set and fewer rows are told; a join decides about the rest.
     """
-    bucket, bitmap = unused(df, "bucket"), unused(df, "bitmap")
+    word, bits = unused(df, "word"), unused(df, "bits")
 
     def bit(c):
-        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(BITS)) + 1
-
-    at = ids.filter("id is not null").select(F.bitmap_bucket_number(bit("id")).alias(bucket), F.bitmap_bit_position(bit("id")).alias("pos"))
-    maps = at.repartition(bucket).groupBy(bucket).agg(F.bitmap_construct_agg("pos").alias(bitmap))
-    pos = F.bitmap_bit_position(bit(col))
-    byte = F.conv(F.hex(F.substring(F.col(bitmap), (pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.getbit(byte, (pos % 8).cast("int")) == 1
-    rows = df.withColumn(bucket, F.when(F.col(col).isNotNull(), F.bitmap_bucket_number(bit(col))))
-    return rows.join(F.broadcast(maps), bucket, "left").withColumn(maybe, F.coalesce(hit, F.lit(False))).drop(bucket, bitmap)
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(BITS))
+
+    at = ids.filter("id is not null").select(F.shiftright(bit("id"), 6).alias(word), (bit("id") % 64).cast("int").alias("pos"))
+    words = at.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos"))).alias(bits))
+    hit = F.getbit(F.col(bits), (bit(col) % 64).cast("int")) == 1
+    rows = df.withColumn(word, F.when(F.col(col).isNotNull(), F.shiftright(bit(col), 6)))
+    return rows.join(F.broadcast(words), word, "left").withColumn(maybe, F.coalesce(hit, F.lit(False))).drop(word, bits)
 
 
 def picked(docs: DataFrame, ids: DataFrame) -> DataFrame:

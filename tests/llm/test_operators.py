@@ -619,12 +619,12 @@ def test_perfect_hash_is_minimal():
 # whole texts, repeated blocks
 
 def test_bitmap_misses_no_id(spark):
-    docs = spark.range(-500, 20_000).select(F.when(F.col("id") % 97 != 5, F.col("id")).alias("id"), F.lit("x").alias("bucket"))
+    docs = spark.range(-500, 20_000).select(F.when(F.col("id") % 97 != 5, F.col("id")).alias("id"), F.lit("x").alias("word"))
     ids = spark.range(-500, 20_000).filter("id % 7 = 0").unionByName(spark.sql("select cast(null as long) id"))
     told = graph.maybe_in(docs, "id", ids, "maybe")
-    assert told.columns == ["id", "bucket", "maybe"] and told.count() == docs.count()
+    assert told.columns == ["id", "word", "maybe"] and told.count() == docs.count()
     assert told.filter("id % 7 = 0 and not maybe").count() == 0  # no id is missed
-    assert told.filter("maybe and (id is null or id % 7 <> 0)").count() <= 5  # few others pass: 3,000 of 134 million bits are set
+    assert told.filter("maybe and (id is null or id % 7 <> 0)").count() <= 20  # few others pass: 3,000 of 34 million bits are set
     want = {r[0] for r in docs.filter("id % 7 = 0").collect()}
     assert {r[0] for r in graph.picked(docs, ids).select("id").collect()} == want
     assert graph.maybe_in(docs, "id", ids.limit(0), "maybe").filter("maybe").count() == 0
