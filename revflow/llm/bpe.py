@@ -110,7 +110,6 @@ class Codec:
             if len(k) == 2:
                 self.pair[k[0] << 8 | k[1]] = r
         self.split = regex.compile(pattern).findall
-        self.memo = Memo(self.piece, 250_000)
 
     def piece(self, token: str) -> tuple[int, ...]:
         data = token.encode()
@@ -151,8 +150,10 @@ class Codec:
             i = after[i]
         return tuple(out)
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.memo.__getitem__, self.split(text))))
+    def encode(self, text: str, known: Memo | None = None) -> list[int]:
+        if known is None:
+            known = Memo(self.piece)
+        return list(chain.from_iterable(map(known.__getitem__, self.split(text))))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -189,9 +190,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def start():
         codec = _codec(shared)
+        known = Memo(codec.piece)  # ends with the task; the codec stays for the worker's next ones
 
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [codec.encode(t) for t in b.column(1).to_pylist()]
+            ids = [codec.encode(t, known) for t in b.column(1).to_pylist()]
             offsets = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(x) for x in ids], out=offsets[1:])
             flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))

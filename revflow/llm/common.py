@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -29,6 +30,14 @@ def unused(df: DataFrame, base: str) -> str:
     return base
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system. Spark keeps a Python worker for later tasks and stages, and the worker keeps what it freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def map_rows(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` over slices of at most CHUNK rows. ``fn()`` runs once in each task and returns the batch function."""
 
@@ -39,21 +48,28 @@ def map_rows(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.Recor
                 out = work(b.slice(at, CHUNK))
                 if out.num_rows:
                     yield out
+        b = out = work = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
 class Memo(dict):
-    """``memo[key]`` computes a missing value; at most two generations of ``cap`` entries stay in memory."""
+    """``memo[key]`` computes a missing value; at most two generations of ``cap`` entries stay in memory.
+
+    Keys longer than ``longest`` are computed each time and not kept, so the bytes are bounded too: a text without spaces is one key.
+    """
 
-    def __init__(self, compute: Callable, cap: int = 150_000):
+    def __init__(self, compute: Callable, cap: int = 100_000, longest: int = 64):
         super().__init__()
-        self.compute, self.cap, self.old = compute, cap, {}
+        self.compute, self.cap, self.longest, self.old = compute, cap, longest, {}
 
     def __missing__(self, key):
         v = self.old.get(key)
         if v is None:
             v = self.compute(key)
+        if len(key) > self.longest:
+            return v
         if len(self) >= self.cap:
             self.old = dict(self)
             self.clear()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revflow.llm.common import map_rows, unused
+from revflow.llm.common import give_back, map_rows, unused
 from revflow.llm.graph import components, maybe_in, picked, staged
 
 #: 32 bands of 6 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**32 = 6e-5, at 0.85 with 3e-7.
@@ -234,6 +234,8 @@ def _in_blocks(dealt: DataFrame, compare) -> DataFrame:
         found += pairs()
         if found:
             yield batch()
+        found, part = [], []
+        give_back()
 
     return dealt.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long").distinct()
 

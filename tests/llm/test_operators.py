@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as P
 from revflow.llm import ann, bpe, chat, chunks, decontam, graph, langid, neardup, pii, toxicity, unigram
-from revflow.llm.common import held_out
+from revflow.llm.common import Memo, held_out
 from revflow.llm.queries import RANKS, VOCABULARY
 
 SF = "/root/testdata/sf0.001"
@@ -651,3 +651,11 @@ def test_bpe_decodes_null_and_empty_lists(spark):
     out = bpe.decode(spark.createDataFrame(rows, "doc_id long, token_ids array<int>").coalesce(1), path).collect()
     assert {r.doc_id: bytes(r.decoded).decode() for r in out} == {1: "one two", 2: "", 3: "", 4: "né à 😀", None: "x"}
     assert [r.token_ids for r in sorted(out, key=lambda r: r.doc_id or 0)][2] is None
+
+
+def test_memo_is_bounded_and_keeps_no_long_key():
+    asked = []
+    memo = Memo(lambda k: asked.append(k) or len(k), cap=3, longest=4)
+    assert [memo[k] for k in ("a", "bb", "a", "ccccc", "ccccc", "ddd", "eeee", "a", "bb")] == [1, 2, 1, 5, 5, 3, 4, 1, 2]
+    assert asked == ["a", "bb", "ccccc", "ccccc", "ddd", "eeee"]  # a and bb came from the older generation
+    assert len(memo) + len(memo.old) <= 2 * 3 and "ccccc" not in memo and "ccccc" not in memo.old
