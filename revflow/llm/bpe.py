@@ -110,6 +110,7 @@ class Codec:
             if len(k) == 2:
                 self.pair[k[0] << 8 | k[1]] = r
         self.split = regex.compile(pattern).findall
+        self.memo = Memo(self.piece, 40_000)  # about 20 MB at most, as the codec stays in the worker
 
     def piece(self, token: str) -> tuple[int, ...]:
         data = token.encode()
@@ -150,10 +151,8 @@ class Codec:
             i = after[i]
         return tuple(out)
 
-    def encode(self, text: str, known: Memo | None = None) -> list[int]:
-        if known is None:
-            known = Memo(self.piece)
-        return list(chain.from_iterable(map(known.__getitem__, self.split(text))))
+    def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(self.memo.__getitem__, self.split(text))))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -185,23 +184,30 @@ class _Shared:
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            out: str = "token_ids") -> DataFrame:
     """(id, token ids) of every whole text."""
+    return _coded(docs, ranks_path, pattern, id_col, text_col, False).select(F.col("k").alias(id_col), F.col("v").alias(out))
+
+
+def _coded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, decoded: bool) -> DataFrame:
+    """(k, v): id and token ids of every whole text; with ``decoded`` also d, the bytes that the ids decode to."""
     shared = _Shared(docs.sparkSession, read_ranks(ranks_path), pattern)
     src = docs.select(F.col(id_col).cast("long").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
 
     def start():
         codec = _codec(shared)
-        known = Memo(codec.piece)  # ends with the task; the codec stays for the worker's next ones
 
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [codec.encode(t, known) for t in b.column(1).to_pylist()]
+            ids = [codec.encode(t) for t in b.column(1).to_pylist()]
             offsets = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(x) for x in ids], out=offsets[1:])
             flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-            return pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "v"])
+            columns = [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            if decoded:
+                columns.append(pa.array(map(codec.decode, ids), pa.binary()))
+            return pa.record_batch(columns, names=["k", "v", "d"][: len(columns)])
 
         return work
 
-    return map_rows(src, start, "k long, v array<int>").select(F.col("k").alias(id_col), F.col("v").alias(out))
+    return map_rows(src, start, "k long, v array<int>" + ", d binary" * decoded)
 
 
 def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "token_ids",
@@ -227,8 +233,9 @@ def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every whole text, then decode its ids: (id, token_ids, decoded). Both steps run in one pass over the rows."""
-    return decode(encode(docs, ranks_path, pattern, id_col, text_col), ranks_path, id_col)
+    """Encode every whole text, then decode its ids: (id, token_ids, decoded). One pass, so a task needs one Python worker and one codec."""
+    return _coded(docs, ranks_path, pattern, id_col, text_col, True).select(
+        F.col("k").alias(id_col), F.col("v").alias("token_ids"), F.col("d").alias("decoded"))
 
 
 def digests(coded: DataFrame) -> DataFrame:
