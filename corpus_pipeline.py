@@ -55,7 +55,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Whole documents that travel to or from a Python worker at once. Spark's own 10,000 rows are meant for short rows: a batch
+#: of whole texts is held by the executor and its worker, several times over, outside the heap.
+BATCH_ROWS = 1_000
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. The session's Arrow batches are set to at most BATCH_ROWS rows, also while the result is read."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, BATCH_ROWS)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
