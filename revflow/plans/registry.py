@@ -701,9 +701,12 @@ def q_compacted(spark, sf):
     base = scratch_path(spark, "compaction")
     fact = fact_opportunity(spark, sf).select("opportunity_id", "owner_id", "state_code", "estimated_value",
                                              "created_date")
-    fact.repartition(32).write.parquet(f"{base}/v0")
+    rows_per_file = 50_000
+    # fragments of at most half a target file, so their number grows with the rows as the compacted files do
+    tasks = max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fact.repartition(tasks).write.option("maxRecordsPerFile", rows_per_file // 2).parquet(f"{base}/v0")
     before = file_count(spark.read.parquet(f"{base}/v0"))
-    out = compact(spark, f"{base}/v0", f"{base}/v1", ["opportunity_id"], rows_per_file=50_000)
+    out = compact(spark, f"{base}/v0", f"{base}/v1", ["opportunity_id"], rows_per_file=rows_per_file)
     if file_count(out) > before:
         raise RuntimeError("compaction produced more files than it read")
     return out

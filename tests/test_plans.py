@@ -100,3 +100,15 @@ def test_fold_shuffles_once(spark, scratch):
     assert plan_of(table.read()).count("Exchange hashpartitioning") == 1
     assert table.fold("user_id") is not None and table.fold("user_id") is None
     assert plan_of(table.read()).count("Exchange hashpartitioning") == 1
+
+
+def test_compaction_of_more_rows_than_32_target_files(spark, scratch):
+    n = 1_650_000  # 33 files of 50,000 rows
+    spark.range(n).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 1000).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        (F.col("id") % 97 + 1).cast("double").alias("o_totalprice"), F.lit("1997-05-01 10:00:00").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{scratch}/orders.parquet")
+    out = E.queries()["compacted_fact"](spark, scratch)
+    found = out.agg(F.count("*"), F.count_distinct("opportunity_id"), F.sum("opportunity_id"), F.sum("estimated_value")).first()
+    assert tuple(found) == (n, n, n * (n - 1) // 2, sum(i % 97 + 1 for i in range(n)))
+    assert len(out.inputFiles()) == 33
