@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +40,6 @@ def read_ranks(path: str) -> list[tuple[bytes, int]]:
 ODD, M64 = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
-def _hashes(key: bytes) -> tuple[int, int]:
-    h = xxhash.xxh3_128_intdigest(key)
-    return h & 0xFFFFFFFF, h >> 64
-
-
 def _place(b, d, n):
     """Slots of the hashes ``b`` under the displacements ``d``, modulo 2**64 and then n."""
     odd = np.uint64(ODD)
@@ -57,10 +52,10 @@ class PerfectHash:
     def __init__(self, keys: list[bytes]):
         n = self.n = max(1, len(keys))
         self.buckets = max(1, n // BUCKET)
-        hs = [_hashes(k) for k in keys]
+        hs = [xxhash.xxh3_64_intdigest(k) for k in keys]
         groups: dict[int, list[int]] = {}
-        for i, (a, _) in enumerate(hs):
-            groups.setdefault(a % self.buckets, []).append(i)
+        for i, h in enumerate(hs):
+            groups.setdefault(h % self.buckets, []).append(i)
         self.disp, self.slot_key = [0] * self.buckets, [b""] * n
         free, where = np.ones(n, bool), np.full(len(keys), -1)
         lone = []
@@ -68,7 +63,7 @@ class PerfectHash:
             if len(members) == 1:
                 lone.append((b, members[0]))
                 continue
-            base = np.array([hs[i][1] for i in members], np.uint64)
+            base = np.array([hs[i] for i in members], np.uint64)
             start = 0
             while True:
                 d = np.arange(start, start + 256, dtype=np.uint64)[:, None]
@@ -88,74 +83,107 @@ class PerfectHash:
         for i, k in enumerate(keys):
             self.slot_key[where[i]] = k
         self.where = where
+        self.turn = [d if d < 0 else d * ODD & M64 for d in self.disp]
 
     def slot(self, key: bytes) -> int:
         """The key's slot, or -1 for a key outside the set."""
-        a, b = _hashes(key)
-        d = self.disp[a % self.buckets]
-        s = -1 - d if d < 0 else (((b ^ (d * ODD & M64)) * ODD & M64) >> 32) % self.n
+        h = xxhash.xxh3_64_intdigest(key)
+        d = self.turn[h % self.buckets]
+        s = -1 - d if d < 0 else (((h ^ d) * ODD & M64) >> 32) % self.n
         return s if self.slot_key[s] == key else -1
 
 
+#: The links of short pieces before any merge.
+_NEXT, _LAST = list(range(1, 65)), list(range(-1, 63))
+
+
 class Codec:
+    """Encodes and decodes; many ids are handed on as packed native int32 (``bytes``), a fraction of a list's memory and time."""
+
     def __init__(self, ranks: list[tuple[bytes, int]], pattern: str):
-        self.rank = dict(ranks)
-        self.bytes_of = {r: k for k, r in ranks}
+        self.entry = {k: r << 32 for k, r in ranks}  # the heap's entries are rank << 32 | position
         self.mph = PerfectHash([k for k, _ in ranks])
-        self.slot_id = [0] * self.mph.n
+        self.slot_id = [b""] * self.mph.n
         for (_, r), s in zip(ranks, self.mph.where.tolist()):
-            self.slot_id[s] = r
-        self.pair = [None] * 65536
+            self.slot_id[s] = array("i", (r,)).tobytes()
+        self.byte, self.pair = [None] * 256, [[-1] * 256 for _ in range(256)]
+        for k, r in self.entry.items():
+            if len(k) == 1:
+                self.byte[k[0]] = r >> 32
+            elif len(k) == 2:
+                self.pair[k[0]][k[1]] = r
+        tokens = [None] * (max((r for _, r in ranks), default=-1) + 1)
         for k, r in ranks:
-            if len(k) == 2:
-                self.pair[k[0] << 8 | k[1]] = r
+            tokens[r] = k
+        self.tokens = pa.array(tokens, pa.binary())
         self.split = regex.compile(pattern).findall
-        self.memo = Memo(self.piece, 40_000)  # about 20 MB at most, as the codec stays in the worker
+        self.memo = Memo(self.piece, 120_000, 48)  # about 35 MB for common words, as the codec stays in the worker
 
-    def piece(self, token: str) -> tuple[int, ...]:
+    def piece(self, token: str) -> bytes:
         data = token.encode()
         s = self.mph.slot(data)
-        return (self.slot_id[s],) if s >= 0 else self.merge(data)
-
-    def merge(self, data: bytes) -> tuple[int, ...]:
-        get, pair, n = self.rank.get, self.pair, len(data)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        now = [pair[a << 8 | b] for a, b in zip(data, data[1:])]
-        now.append(None)
-        heap = [r << 32 | i for i, r in enumerate(now) if r is not None]
+        return self.slot_id[s] if s >= 0 else self.merge(data)
+
+    def merge(self, data: bytes) -> bytes:
+        get, pair, n = self.entry.get, self.pair, len(data)
+        if n <= len(_NEXT):
+            after, before = _NEXT[:n], _LAST[:n]
+        else:
+            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        ids = list(map(self.byte.__getitem__, data))
+        now = [pair[a][b] for a, b in zip(data, data[1:])]  # the shifted rank of each span joined with the next one; -1: none
+        now.append(-1)
+        heap = [x | i for i, x in enumerate(now) if x >= 0]
         heapq.heapify(heap)
-        pop, push = heapq.heappop, heapq.heappush
-        while heap:
+        pop, push, live = heapq.heappop, heapq.heappush, len(heap)
+        while live:  # entries of the heap that are still some span's; the others are passed over
             x = pop(heap)
             i = x & 0xFFFFFFFF
-            if now[i] != x >> 32:
+            if now[i] | i != x:
                 continue
+            ids[i] = x >> 32
             j = after[i]
             k = after[i] = after[j]
-            now[j] = None
-            r = None
+            live -= 1
             if k < n:
+                if now[j] >= 0:
+                    now[j] = -1
+                    live -= 1
                 before[k] = i
-                r = get(data[i : after[k]])
-            now[i] = r
-            if r is not None:
-                push(heap, r << 32 | i)
+                x = now[i] = get(data[i : after[k]], -1)
+                if x >= 0:
+                    push(heap, x | i)
+                    live += 1
+            else:
+                now[i] = -1
             p = before[i]
             if p >= 0:
-                r = now[p] = get(data[p:k])
-                if r is not None:
-                    push(heap, r << 32 | p)
-        out, i = [], 0
+                if now[p] >= 0:
+                    live -= 1
+                x = now[p] = get(data[p:k], -1)
+                if x >= 0:
+                    push(heap, x | p)
+                    live += 1
+        out, i = array("i"), 0
         while i < n:
-            out.append(self.rank[data[i : after[i]]])
+            out.append(ids[i])
             i = after[i]
-        return tuple(out)
+        return out.tobytes()
+
+    def packed(self, text: str) -> bytes:
+        """The text's ids, packed."""
+        return b"".join(map(self.memo.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.memo.__getitem__, self.split(text))))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+        """The bytes of each run of ``ids``; ``ends`` holds 0 and the int32 end of every run."""
+        _, starts, data = (found := self.tokens.take(ids)).buffers()
+        if found.null_count:
+            raise KeyError("an id outside the vocabulary")
+        at = np.frombuffer(starts, np.int32, len(ids) + 1)[ends] if len(ids) else np.zeros(len(ends), np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(at), data if data is not None else pa.py_buffer(b"")])
 
 
 _CODECS: dict[int, Codec] = {}
@@ -196,13 +224,13 @@ def _coded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col
         codec = _codec(shared)
 
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [codec.encode(t) for t in b.column(1).to_pylist()]
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=offsets[1:])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-            columns = [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            packed = [codec.packed(t) for t in b.column(1).to_pylist()]
+            ends = np.zeros(len(packed) + 1, np.int32)
+            np.cumsum([len(x) // 4 for x in packed], out=ends[1:])
+            ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
+            columns = [b.column(0), pa.ListArray.from_arrays(pa.array(ends), ids)]
             if decoded:
-                columns.append(pa.array(map(codec.decode, ids), pa.binary()))
+                columns.append(codec.decode(ids, ends))
             return pa.record_batch(columns, names=["k", "v", "d"][: len(columns)])
 
         return work

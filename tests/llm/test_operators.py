@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -610,6 +611,30 @@ def test_bpe_equals_tiktoken(docs, texts, odd):
     assert bpe.round_trip(odd.filter("false"), P.path(RANKS), P.PATTERN).count() == 0
 
 
+def test_bpe_merges_a_repeated_piece_once():
+    import tiktoken
+
+    ranks = bpe.read_ranks(P.path(RANKS))
+    codec, asked = bpe.Codec(ranks, P.PATTERN), []
+    compute = codec.memo.compute
+    codec.memo.compute = lambda k: asked.append(k) or compute(k)
+    text = "".join(" " + "".join(w) for w in itertools.islice(itertools.product("qaezx", "bdou", "ertyuiop", "asdfghjkl", "nmvxc", "aeiou", "stn"), 75_000))
+    ids = codec.encode(text)
+    assert codec.encode(text) == ids and len(asked) == len(set(asked)) == 75_000
+    reference = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=dict(ranks), special_tokens={})
+    assert ids == reference.encode_ordinary(text)
+    rnd = random.Random(5)
+    for n in [*range(2, 12), 63, 64, 65, 66, 300, 2000]:  # the links of pieces up to 64 bytes are prepared
+        for letters in ("ab", "abcdefghinorst", "éàüß日本"):
+            s = "".join(rnd.choices(letters, k=n))
+            assert codec.encode(s) == reference.encode_ordinary(s)
+    runs = [codec.encode(s) for s in ("", "one two", "", "né 😀", "")]
+    ends = np.cumsum([0, *map(len, runs)]).astype(np.int32)
+    decoded = codec.decode(pa.array([i for r in runs for i in r], pa.int32()), ends).to_pylist()
+    assert decoded == [s.encode() for s in ("", "one two", "", "né 😀", "")]
+    assert codec.decode(pa.array([], pa.int32()), np.zeros(3, np.int32)).to_pylist() == [b"", b""]
+
+
 def test_perfect_hash_is_minimal():
     keys = [str(i).encode() for i in range(5000)]
     h = bpe.PerfectHash(keys)
